@@ -19,7 +19,8 @@ def transactions_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
         F.concat(F.lit("txn_"), F.lpad(F.col("event_id").cast("string"), 8, "0")).alias("transaction_id"),
         F.concat(F.lit("acc_"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("account_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-        F.when(F.col("event_type") == "signup", F.col("value") * -10)
+        # Money has two decimals; ten times a double may not.
+        F.when(F.col("event_type") == "signup", F.round(F.col("value") * -10, 2))
         .otherwise(F.col("value"))
         .alias("amount"),
         F.concat(F.lit("m_"), F.col("_k").cast("string")).alias("merchant_name"),
