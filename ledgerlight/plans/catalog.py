@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from ledgerlight.plans import checks, features, models, reports, scans  # noqa: F401
+from ledgerlight.plans import checks, features, models, reports, scans, streams  # noqa: F401
 from ledgerlight.plans import profiles
 from ledgerlight.plans.registry import ORACLES, QUERIES
 from ledgerlight.sources import canonical as src

@@ -129,7 +129,7 @@ def lof_transactions(spark, d):
     m, features = scaled_matrix(spark, d)
     keyed = m.withColumn("row_hash", F.xxhash64(ID))
     x = F.array(*[F.col(c) for c in features])
-    scored = lof.fit(keyed, "row_hash", x, reference_rows=2_000).score(keyed, "row_hash", x)
+    scored = lof.fit(keyed, "row_hash", x).score(keyed, "row_hash", x)
     return prep.flag_top(scored, "lof", 0.05, "is_anomaly").select(ID, "lof", "is_anomaly")
 
 
