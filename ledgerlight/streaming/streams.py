@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ledgerlight.operators.cells import HOUR, cell_of
+from ledgerlight.operators.cells import DAY, cell_of
 from ledgerlight.session import configure, scratch_dir
 from ledgerlight.sources.canonical import table, transactions_from_events
 
@@ -89,26 +89,27 @@ def _windowed(stream: DataFrame, window: Column) -> DataFrame:
     return counts.select("account_id", F.col("w.start").alias("window_start"), F.col("count").alias("txn_count"))
 
 
-def rapid_fire(stream: DataFrame, hours: float = RAPID_HOURS) -> DataFrame:
+def rapid_fire(stream: DataFrame, hours: float = RAPID_HOURS, cell_seconds: int = DAY) -> DataFrame:
     """Flags a transaction that follows the account's previous one within the limit.
 
-    State is the last time seen per account and clock hour. Only a few minutes matter, so an hour's last rows are
-    copied into the next hour, and a busy account's hours are handled by different tasks.
+    State is the last time seen per account and cell of time. Only a few minutes matter, so a cell's last rows are
+    copied into the next one, and a busy account's history is handled by many tasks. Narrower cells split a busy
+    account further at the price of more groups.
     """
     limit = hours * 3.6e9
     us = F.unix_micros("timestamp")
     rows = stream.withWatermark("timestamp", WATERMARK).select(
-        "transaction_id", "account_id", "timestamp", us.alias("us"), cell_of(us, HOUR).alias("hour")
+        "transaction_id", "account_id", "timestamp", us.alias("us"), cell_of(us, cell_seconds).alias("home")
     )
-    late = cell_of(F.col("us") + F.lit(int(limit)), HOUR)
-    copies = F.array_distinct(F.array(F.col("hour"), late))
-    spread = rows.withColumn("cell", F.explode(copies)).withColumn("own", F.col("cell") == F.col("hour")).drop("hour")
+    late = cell_of(F.col("us") + F.lit(int(limit)), cell_seconds)
+    copies = F.array_distinct(F.array(F.col("home"), late))
+    spread = rows.withColumn("cell", F.explode(copies)).withColumn("own", F.col("cell") == F.col("home")).drop("home")
 
     def flag(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        # One hour of one account in this batch.
+        # One cell of one account in this batch.
         part = pd.concat(list(chunks)).sort_values(["us", "transaction_id"])
         last = state.get[0] if state.exists else None
         before = part["us"].shift(1)
@@ -117,7 +118,7 @@ def rapid_fire(stream: DataFrame, hours: float = RAPID_HOURS) -> DataFrame:
         part["rapid_fire"] = ((part["us"] - before) / 3.6e9 < hours).astype("int32")
         newest = int(part["us"].max()) if last is None else max(last, int(part["us"].max()))
         state.update((newest,))
-        end_ms = (int(key[1]) + 1) * HOUR * 1000
+        end_ms = (int(key[1]) + 1) * cell_seconds * 1000
         state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
         yield part.loc[part["own"], ["transaction_id", "rapid_fire"]]
 
