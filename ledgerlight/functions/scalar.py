@@ -28,6 +28,12 @@ def unit_std(n: Column, s: Column, q: Column) -> Column:
     return F.when(n > 1, F.sqrt(spread.cast("double") / (size * (size - 1))) / UNITS_PER_MONEY)
 
 
+def padded(c: Column, width: int) -> Column:
+    """Text filled with leading zeros to a least width; longer text stays whole, so keys stay distinct."""
+    text = c.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def ratio(num: Column, den: Column) -> Column:
     """Division that gives null instead of failing on a zero divisor."""
     return F.try_divide(num.cast("double"), den.cast("double"))

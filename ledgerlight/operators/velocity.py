@@ -10,7 +10,6 @@ from ledgerlight.operators.cells import (
     HOUR,
     Measure,
     key_totals,
-    last_items,
     previous,
     previous_rows,
     same_key,
@@ -38,31 +37,32 @@ def previous_amount_features(df: DataFrame) -> DataFrame:
     )
 
 
-def _recent(n: int) -> Column:
-    return last_items(F.col("_prev")["amount"], n)
+def recent_stats(prev: str = "_prev") -> Column:
+    """Count, shifted sum and square sum and maximum over the last 5, 10 and 20 earlier amounts, in one pass.
 
+    Values are taken relative to the latest one, so equal amounts have a deviation of exactly 0.
+    """
+    newest_first = F.reverse(F.col(prev)["amount"])
+    shift = F.get(newest_first, F.lit(0))
+    start = F.struct(
+        F.lit(0).alias("i"),
+        *[F.lit(0.0).alias(f"{k}{n}") for n in COUNT_STEPS for k in ("s", "q")],
+        *[F.lit(None).cast("double").alias(f"m{n}") for n in COUNT_STEPS],
+    )
 
-def _total(items: Column, f=lambda x: x) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda acc, x: acc + f(x))
-
-
-def recent_mean(n: int) -> Column:
-    items = _recent(n)
-    return ratio(_total(items), F.size(items))
-
-
-def recent_max(n: int) -> Column:
-    return F.array_max(_recent(n))
-
+    def step(acc, x):
+        d, inside = x - shift, lambda n: acc["i"] < n
+        return F.struct(
+            (acc["i"] + 1).alias("i"),
+            *[
+                F.when(inside(n), acc[f"{k}{n}"] + (d if k == "s" else d * d)).otherwise(acc[f"{k}{n}"]).alias(f"{k}{n}")
+                for n in COUNT_STEPS
+                for k in ("s", "q")
+            ],
+            *[F.when(inside(n), F.greatest(acc[f"m{n}"], x)).otherwise(acc[f"m{n}"]).alias(f"m{n}") for n in COUNT_STEPS],
+        )
 
-def recent_std(n: int) -> Column:
-    """Sample deviation over the last n earlier rows, 0 below two of them."""
-    items = _recent(n)
-    mean = _total(items) / F.size(items)
-    spread = F.aggregate(
-        F.transform(items, lambda x: x - mean), F.lit(0.0), lambda acc, x: acc + x * x
-    )
-    return F.when(F.size(items) > 1, F.sqrt(spread / (F.size(items) - 1))).otherwise(F.lit(0.0))
+    return F.aggregate(newest_first, start, step, lambda acc: F.struct(acc.alias("t"), shift.alias("shift")))
 
 
 def account_amounts(source: DataFrame) -> DataFrame:
@@ -89,13 +89,17 @@ def row_window_features(df: DataFrame) -> DataFrame:
 
     Needs `_prev` (20 rows) and `account_mean`, which fills in where there is no earlier row.
     """
+    stats = F.col("_stats")
     out = {}
     for n in COUNT_STEPS:
-        out[f"txn_count_last_{n}"] = F.least(F.size("_prev"), F.lit(n))
-        out[f"amount_mean_last_{n}"] = F.coalesce(recent_mean(n), F.col("account_mean"))
-        out[f"amount_std_last_{n}"] = recent_std(n)
-        out[f"amount_max_last_{n}"] = F.coalesce(recent_max(n), F.col("account_mean"))
-    df = df.withColumns(out)
+        rows = F.least(stats["t"]["i"], F.lit(n))
+        total, square = stats["t"][f"s{n}"], stats["t"][f"q{n}"]
+        spread = F.greatest(square - ratio(total * total, rows), F.lit(0.0))
+        out[f"txn_count_last_{n}"] = rows
+        out[f"amount_mean_last_{n}"] = F.coalesce(stats["shift"] + ratio(total, rows), F.col("account_mean"))
+        out[f"amount_std_last_{n}"] = F.when(rows > 1, F.sqrt(spread / (rows - 1))).otherwise(F.lit(0.0))
+        out[f"amount_max_last_{n}"] = F.coalesce(stats["t"][f"m{n}"], F.col("account_mean"))
+    df = df.withColumn("_stats", recent_stats()).withColumns(out).drop("_stats")
     return df.withColumns({f"avg_amount_last_{n}": F.col(f"amount_mean_last_{n}") for n in (5, 10)})
 
 

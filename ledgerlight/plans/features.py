@@ -11,7 +11,7 @@ from ledgerlight.operators import merchant as mer
 from ledgerlight.operators import velocity as vel
 from ledgerlight.operators.cells import DAY, percentile_rank, with_time_cell
 from ledgerlight.plans import profiles
-from ledgerlight.plans.registry import BALANCED, BY_TIME, TXN, mean_sql, query, trailing_sql
+from ledgerlight.plans.registry import BALANCED, BY_TIME, TXN, mean_sql, padded_sql, query, trailing_sql
 from ledgerlight.sources import canonical as src
 
 ID = "transaction_id"
@@ -141,8 +141,8 @@ def rolling_days(spark, d):
     return vel.rolling_days(txn(spark, d)).select(ID, *names("txn_count", vel.ROLLING_DAYS), *ROLLING)
 
 
-ORDERS_TXN = """ord AS (SELECT concat('ord_', lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS transaction_id,
-  concat('acc_', lpad(CAST(o_custkey AS VARCHAR), 4, '0')) AS account_id, o_orderdate AS timestamp,
+ORDERS_TXN = f"""ord AS (SELECT concat('ord_', {padded_sql('o_orderkey', 12)}) AS transaction_id,
+  concat('acc_', {padded_sql('o_custkey', 4)}) AS account_id, o_orderdate AS timestamp,
   CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS amount FROM orders)"""
 
 

@@ -48,11 +48,17 @@ def round_sql(sql: str, doubles: list[str]) -> str:
     return f"SELECT * REPLACE ({parts}) FROM ({sql}) AS result"
 
 
+def padded_sql(column: str, width: int) -> str:
+    """Leading zeros to a least width, longer keys whole."""
+    text = f"CAST({column} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest({width}, length({text})) AS INT), '0')"
+
+
 # The canonical transactions in SQL.
-TXN = """
+TXN = f"""
 txn AS (
-  SELECT concat('txn_', lpad(CAST(event_id AS VARCHAR), 8, '0')) AS transaction_id,
-         concat('acc_', lpad(CAST(user_id AS VARCHAR), 4, '0')) AS account_id,
+  SELECT concat('txn_', {padded_sql('event_id', 8)}) AS transaction_id,
+         concat('acc_', {padded_sql('user_id', 4)}) AS account_id,
          CAST(ts AS TIMESTAMP) AS timestamp,
          CASE WHEN event_type = 'signup' THEN round(-10 * value, 2) ELSE value END AS amount,
          concat('m_', CAST(k AS VARCHAR)) AS merchant_name,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions import scalar as fn
 from ledgerlight.plans.profiles import numeric_columns
-from ledgerlight.plans.registry import TXN, query
+from ledgerlight.plans.registry import TXN, padded_sql, query
 from ledgerlight.session import configure, scratch_dir
 from ledgerlight.sources import canonical as src
 from ledgerlight.sources import files
@@ -30,7 +30,7 @@ def scan_transactions(spark, d):
     )
 
 
-@query("scan_accounts", "SELECT concat('acc_', lpad(CAST(c_custkey AS VARCHAR), 4, '0')) AS account_id, "
+@query("scan_accounts", f"SELECT concat('acc_', {padded_sql('c_custkey', 4)}) AS account_id, "
        "c_mktsegment AS segment FROM customer")
 def scan_accounts(spark, d):
     path = files.write_csv(src.account_dim(spark, d).withColumn("created_date", F.lit(None).cast("date")), scratch_dir(spark, "accounts"))
@@ -113,7 +113,7 @@ def channel_map(spark, d):
     return t.select(
         "transaction_id",
         fn.channel_of(card).alias("channel"),
-        F.concat(F.lit("acc_"), F.lpad("merchant_name", 10, "0")).alias("account_key"),
+        F.concat(F.lit("acc_"), fn.padded(F.col("merchant_name"), 10)).alias("account_key"),
     )
 
 
@@ -140,7 +140,7 @@ def calendar_dim(spark, d):
   CASE WHEN isodow(timestamp) >= 6 THEN 1 ELSE 0 END AS is_weekend,
   CASE WHEN strftime(timestamp, '%Y-%m-%d') = '2024-01-01' THEN 1 ELSE 0 END AS is_holiday,
   CASE WHEN strftime(timestamp, '%Y-%m-%d') = '2024-01-01' THEN 'New Year' END AS holiday_name
-  FROM txn LEFT JOIN customer ON account_id = concat('acc_', lpad(CAST(c_custkey AS VARCHAR), 4, '0'))""")
+  FROM txn LEFT JOIN customer ON account_id = concat('acc_', {padded_sql('c_custkey', 4)})""")
 def enrich_calendar_account(spark, d):
     t = src.transactions(spark, d)
     return src.enrich(t, src.calendar_of(t), src.account_dim(spark, d)).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlight.functions.scalar import channel_of
+from ledgerlight.functions.scalar import channel_of, padded
 from ledgerlight.session import configure
 
 
@@ -16,8 +16,8 @@ def transactions_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
     """Event rows as card transactions; also fits a streaming `events`."""
     k = F.get_json_object("props", "$.k").cast("int")
     shaped = events.withColumn("_k", k).select(
-        F.concat(F.lit("txn_"), F.lpad(F.col("event_id").cast("string"), 8, "0")).alias("transaction_id"),
-        F.concat(F.lit("acc_"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("account_id"),
+        F.concat(F.lit("txn_"), padded(F.col("event_id"), 8)).alias("transaction_id"),
+        F.concat(F.lit("acc_"), padded(F.col("user_id"), 4)).alias("account_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         # Money has two decimals; ten times a double may not.
         F.when(F.col("event_type") == "signup", F.round(F.col("value") * -10, 2))
@@ -50,7 +50,7 @@ def opening_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def account_key(key: str) -> Column:
-    return F.concat(F.lit("acc_"), F.lpad(F.col(key).cast("string"), 4, "0"))
+    return F.concat(F.lit("acc_"), padded(F.col(key), 4))
 
 
 def account_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     o = table(spark, sf_dir, "orders")
     return o.select(
-        F.concat(F.lit("ord_"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("transaction_id"),
+        F.concat(F.lit("ord_"), padded(F.col("o_orderkey"), 12)).alias("transaction_id"),
         account_key("o_custkey").alias("account_id"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
         F.when(F.col("o_orderstatus") == "P", -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("amount"),
@@ -93,7 +93,7 @@ def canonical_card(raw: DataFrame) -> DataFrame:
     return renamed.withColumns(
         {
             "timestamp": F.col("timestamp").cast("timestamp"),
-            "transaction_id": F.concat(F.lit("txn_"), F.lpad(F.col("trans_num").cast("string"), 8, "0")),
+            "transaction_id": F.concat(F.lit("txn_"), padded(F.col("trans_num"), 8)),
             "account_id": F.concat(F.lit("acc_"), F.col("account_id").cast("string")),
             "channel": channel_of(F.col("merchant_category")),
         }
