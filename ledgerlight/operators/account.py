@@ -120,29 +120,34 @@ def balance_change(df: DataFrame, source=None, default=0.0) -> DataFrame:
     ).drop("_prev")
 
 
-def balance_trend(df: DataFrame, days: int = 7, source=None) -> DataFrame:
+def trend_measures(days: int = 7) -> list[Measure]:
+    """What `trend_slope` needs from the trailing days. Needs `balance` and `account_row`."""
+    y, place, spans = units("balance"), F.col("account_row"), (f"{days}d",)
+    return [
+        Measure("_tn", F.lit(1), spans=spans),
+        Measure("_ty", y, spans=spans),
+        Measure("_tp", place.cast("decimal(19,0)") * y.cast("decimal(18,0)"), spans=spans),
+        Measure("_last", place, "max", spans=spans),
+    ]
+
+
+def trend_slope(days: int = 7) -> Column:
     """Least-squares slope of the balance on its position among the rows of the trailing days, 0 for one row.
 
     Positions in the window are the account's row numbers less a constant, so sums of row number * balance
-    are enough. Needs `balance` and `account_row`.
+    are enough.
     """
     s = f"{days}d"
-    y = units("balance")
-    place = F.col("account_row")
-    measures = [
-        Measure("_tn", F.lit(1)),
-        Measure("_ty", y),
-        Measure("_tp", place.cast("decimal(19,0)") * y.cast("decimal(18,0)")),
-        Measure("_last", place, "max"),
-    ]
-    df = trailing(df, ACCOUNT, {s: days * DAY}, measures, source=source)
     n, last = F.col(f"_tn_{s}"), F.col(f"_last_{s}")
     centred = 2 * F.col(f"_tp_{s}") - (2 * last - n + 1).cast("decimal(19,0)") * F.col(f"_ty_{s}").cast("decimal(18,0)")
     size = n.cast("double")
-    slope = money(centred) / 2 / (size * (size * size - 1) / 12)
-    return df.withColumn(f"balance_trend_{s}", F.when(n > 1, slope).otherwise(0.0)).drop(
-        *[f"{m.name}_{s}" for m in measures]
-    )
+    return F.when(n > 1, money(centred) / 2 / (size * (size * size - 1) / 12)).otherwise(0.0)
+
+
+def balance_trend(df: DataFrame, days: int = 7, source=None) -> DataFrame:
+    measures = trend_measures(days)
+    df = trailing(df, ACCOUNT, {f"{days}d": days * DAY}, measures, source=source)
+    return df.withColumn(f"balance_trend_{days}d", trend_slope(days)).drop(*[f"{m.name}_{days}d" for m in measures])
 
 
 def balance_flags(df: DataFrame) -> DataFrame:

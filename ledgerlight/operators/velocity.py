@@ -160,10 +160,17 @@ def rolling_columns(spans) -> dict[str, Column]:
     return out
 
 
-def rolling_days(df: DataFrame, spans: dict[str, int] = ROLLING_DAYS, source=None) -> DataFrame:
-    """Count, debit and credit sums, mean, deviation and maximum of the size over trailing days."""
-    measured = trailing(df, ACCOUNT, spans, rolling_measures(), source=source)
-    return measured.withColumns(rolling_columns(spans)).drop(*[f"{m.name}_{s}" for m in rolling_measures() for s in spans])
+def rolling_days(
+    df: DataFrame, spans: dict[str, int] = ROLLING_DAYS, source=None, also: list[Measure] = (), derived: dict[str, Column] | None = None
+) -> DataFrame:
+    """Count, debit and credit sums, mean, deviation and maximum of the size over trailing days.
+
+    `also` and `derived` let other features over the same spans share the pass.
+    """
+    measures = rolling_measures() + list(also)
+    measured = trailing(df, ACCOUNT, spans, measures, source=source)
+    out = measured.withColumns(rolling_columns(spans) | (derived or {}))
+    return out.drop(*[f"{m.name}_{s}" for m in measures for s in (m.spans or spans)])
 
 
 def velocity_ratios(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings: results need UTC, the plans rely on run-time skew splitting.
 RUNTIME_SETTINGS = {
@@ -43,7 +43,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut(df):
-    """Materialise a DataFrame in the shared checkpoint folder and go on from there."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write a DataFrame as a table in the shared checkpoint folder and go on from there.
+
+    The table survives lost executors, ends the lineage, and later steps read only the columns they use.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
