@@ -10,12 +10,11 @@ from ledgerlight.operators.cells import (
     Measure,
     distinct_per_key,
     key_totals,
-    previous,
-    previous_rows,
     running,
     same_key,
     trailing,
 )
+from ledgerlight.operators.velocity import previous, with_previous
 
 ACCOUNT = ["account_id"]
 DAY_US = DAY * 1_000_000
@@ -113,11 +112,9 @@ def running_balance(df: DataFrame, opening: DataFrame, source=None) -> DataFrame
 
 
 def balance_change(df: DataFrame, source=None, default=0.0) -> DataFrame:
+    df = with_previous(df, ["balance"], source)
     change = F.col("balance") - previous("balance")
-    df = previous_rows(df, ACCOUNT, 1, ["balance"], source=source)
-    return df.withColumn(
-        "balance_change", change if default is None else F.coalesce(change, F.lit(default))
-    ).drop("_prev")
+    return df.withColumn("balance_change", change if default is None else F.coalesce(change, F.lit(default)))
 
 
 def trend_measures(days: int = 7) -> list[Measure]:
@@ -157,11 +154,9 @@ def balance_flags(df: DataFrame) -> DataFrame:
 
 
 def city_change(df: DataFrame, source=None) -> DataFrame:
-    df = previous_rows(df, ACCOUNT, 1, ["city"], source=source)
-    prev = previous("city")
-    return df.withColumns(
-        {"prev_city": prev, "is_different_city": flag((F.col("city") != prev) & prev.isNotNull())}
-    ).drop("_prev")
+    df = with_previous(df, ["city"], source).withColumnRenamed("_prev_city", "prev_city")
+    prev = F.col("prev_city")
+    return df.withColumn("is_different_city", flag((F.col("city") != prev) & prev.isNotNull()))
 
 
 def account_profile(df: DataFrame, attributes: list[str]) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A window over a whole account puts that account into one task, however many rows it has. Here a key's
 ordered rows are cut into cells (hours for time, narrow value bands for amounts and scores). Rows are only
-ever grouped by (key, cell). One aggregated row per cell then carries totals, running totals or the last rows
-from cell to cell; that second level is bounded by the number of cells a key can have, not by its rows.
+ever grouped by (key, cell). One aggregated row per cell then carries totals and running totals
+from cell to cell; that second level is bounded by the number of cells a key can have, not by its rows. Once rows
+are numbered that way, windows over neighbouring rows work on slices of a fixed number of rows.
 
 `source` arguments name a cheap frame to aggregate from (a scan, or a written table), so that a long chain
 of features is not evaluated again for its side tables.
@@ -11,9 +12,11 @@ of features is not evaluated again for its side tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.window import WindowSpec
 
 HOUR = 3600
 DAY = 86_400
@@ -186,55 +189,39 @@ def running(
     )
 
 
-def last_items(items: Column, n: int) -> Column:
-    """The last n items of an array, all of them if it is shorter."""
-    return F.slice(items, F.greatest(F.lit(1), F.size(items) - (n - 1)), F.lit(n))
+SLICE_ROWS = 100_000
 
 
-def previous_rows(
+def number_rows(
+    df: DataFrame, keys: list[str], *, order: list[str] | None = None, source: DataFrame | None = None, name: str = "account_row"
+) -> DataFrame:
+    """Position of each row in its key, from 1, in (`_cell`, *order*) order."""
+    return running(df, keys, [Measure(name, F.lit(1))], order=order, source=source).drop(f"{name}_all")
+
+
+def over_neighbours(
     df: DataFrame,
     keys: list[str],
     n: int,
-    columns: list[str],
+    columns: dict[str, Callable[[WindowSpec], Column]],
     *,
-    order: list[str] | None = None,
-    source: DataFrame | None = None,
-    name: str = "_prev",
+    place: str = "account_row",
+    rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Adds an array of up to n earlier rows of the key, oldest first, as structs of `columns`.
+    """Window columns that look back up to n rows of the key; each is built from the window it is given.
 
-    Each cell hands on no more than its own last n rows, so neighbours across cell borders are found without
-    bringing a key together.
+    Rows are numbered already, so a key is cut into slices of `rows` rows, and the last n rows of a slice also go to
+    the next one, where they serve as neighbours only. No task ever sorts more than rows + n rows of a key.
     """
-    source = df if source is None else source
-    order = order or ["_us", "transaction_id"]
-    record = F.struct(*columns)
-    latest = Window.partitionBy(*keys, "_cell").orderBy(*[F.col(o).desc() for o in order])
-    tails = (
-        source.withColumn("_back", F.row_number().over(latest))
-        .filter(F.col("_back") <= n)
-        .groupBy(*keys, "_cell")
-        .agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("at"), record.alias("row")))).alias("tail"))
-    )
-    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_cell").rowsBetween(-n, -1)
-    carried = tails.select(
-        *keys, "_cell", last_items(F.flatten(F.collect_list("tail").over(earlier)), n)["row"].alias("_carried")
-    )
-    here = Window.partitionBy(*keys, "_cell").orderBy(*order).rowsBetween(-n, -1)
-    rows = df.withColumn("_here", F.collect_list(record).over(here))
-    rows = same_key(rows, carried, [*keys, "_cell"])
-    both = F.concat(F.coalesce(F.col("_carried"), F.array().cast(_array_type(source, columns))), F.col("_here"))
-    return rows.withColumn(name, last_items(both, n)).drop("_here", "_carried")
-
-
-def _array_type(source: DataFrame, columns: list[str]) -> str:
-    types = dict(source.dtypes)
-    return "array<struct<" + ",".join(f"{c}:{types[c]}" for c in columns) + ">>"
-
-
-def previous(name: str, prev: str = "_prev") -> Column:
-    """A field of the row just before, null for the first row."""
-    return F.get(F.col(prev), F.size(prev) - 1)[name]
+    if n > rows:
+        raise ValueError("a slice must hold at least the rows looked back on")
+    before = F.col(place) - 1
+    home = F.floor(before / rows)
+    serves_next = before % rows >= rows - n
+    slices = F.explode(F.when(serves_next, F.array(home, home + 1)).otherwise(F.array(home)))
+    spread = df.withColumn("_slice", slices).withColumn("_own", F.col("_slice") == home)
+    w = Window.partitionBy(*keys, "_slice").orderBy(place)
+    return spread.withColumns({k: f(w) for k, f in columns.items()}).filter("_own").drop("_slice", "_own")
 
 
 def key_totals(source: DataFrame, keys: list[str], aggs: dict[str, tuple[str, Column]]) -> DataFrame:

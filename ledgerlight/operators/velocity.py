@@ -10,8 +10,8 @@ from ledgerlight.operators.cells import (
     HOUR,
     Measure,
     key_totals,
-    previous,
-    previous_rows,
+    number_rows,
+    over_neighbours,
     same_key,
     trailing,
 )
@@ -21,8 +21,48 @@ COUNT_STEPS = (5, 10, 20)
 LOOKBACK = max(COUNT_STEPS)
 
 
+def _lagged(c: str) -> str:
+    return "_prev_" + c.lstrip("_")
+
+
+def previous(c: str) -> Column:
+    """A column of the account's previous transaction, null for the first; needs `with_previous` or `with_recent`."""
+    return F.col(_lagged(c))
+
+
+def _lags(columns) -> dict:
+    return {_lagged(c): (lambda w, c=c: F.lag(c).over(w)) for c in columns}
+
+
+def _numbered(df: DataFrame, source: DataFrame | None) -> DataFrame:
+    return df if "account_row" in df.columns else number_rows(df, ACCOUNT, source=source)
+
+
+def with_previous(df: DataFrame, columns: list[str], source: DataFrame | None = None) -> DataFrame:
+    """Adds the previous transaction's columns."""
+    return over_neighbours(_numbered(df, source), ACCOUNT, 1, _lags(columns))
+
+
+def _recent(f, n: int):
+    return lambda w: f("amount").over(w.rowsBetween(-n, -1))
+
+
+def with_recent(df: DataFrame, columns=("_us", "amount"), source: DataFrame | None = None) -> DataFrame:
+    """Adds the previous transaction's columns and mean, deviation and maximum over 5, 10 and 20 earlier amounts."""
+    stats = {
+        f"_{name}_{n}": _recent(f, n)
+        for n in COUNT_STEPS
+        for name, f in (("mean", F.avg), ("std", F.stddev_samp), ("max", F.max))
+    }
+    return over_neighbours(_numbered(df, source), ACCOUNT, LOOKBACK, _lags(columns) | stats)
+
+
+def count_before(n: int) -> Column:
+    """Earlier transactions of the account, n at most."""
+    return F.least(F.col("account_row") - 1, F.lit(n)).cast("int")
+
+
 def hours_since_previous(default: float) -> Column:
-    """Hours since the account's previous transaction (needs `_prev` with `_us`)."""
     return F.coalesce((F.col("_us") - previous("_us")) / 3.6e9, F.lit(default))
 
 
@@ -37,34 +77,6 @@ def previous_amount_features(df: DataFrame) -> DataFrame:
     )
 
 
-def recent_stats(prev: str = "_prev") -> Column:
-    """Count, shifted sum and square sum and maximum over the last 5, 10 and 20 earlier amounts, in one pass.
-
-    Values are taken relative to the latest one, so equal amounts have a deviation of exactly 0.
-    """
-    newest_first = F.reverse(F.col(prev)["amount"])
-    shift = F.get(newest_first, F.lit(0))
-    start = F.struct(
-        F.lit(0).alias("i"),
-        *[F.lit(0.0).alias(f"{k}{n}") for n in COUNT_STEPS for k in ("s", "q")],
-        *[F.lit(None).cast("double").alias(f"m{n}") for n in COUNT_STEPS],
-    )
-
-    def step(acc, x):
-        d, inside = x - shift, lambda n: acc["i"] < n
-        return F.struct(
-            (acc["i"] + 1).alias("i"),
-            *[
-                F.when(inside(n), acc[f"{k}{n}"] + (d if k == "s" else d * d)).otherwise(acc[f"{k}{n}"]).alias(f"{k}{n}")
-                for n in COUNT_STEPS
-                for k in ("s", "q")
-            ],
-            *[F.when(inside(n), F.greatest(acc[f"m{n}"], x)).otherwise(acc[f"m{n}"]).alias(f"m{n}") for n in COUNT_STEPS],
-        )
-
-    return F.aggregate(newest_first, start, step, lambda acc: F.struct(acc.alias("t"), shift.alias("shift")))
-
-
 def account_amounts(source: DataFrame) -> DataFrame:
     """Count, mean and deviation of an account's amounts, one row per (account, cell)."""
     u = units("amount")
@@ -87,24 +99,16 @@ def with_account_amounts(df: DataFrame, source: DataFrame | None = None) -> Data
 def row_window_features(df: DataFrame) -> DataFrame:
     """Counts, means, deviations and maxima over the last 5, 10 and 20 earlier transactions.
 
-    Needs `_prev` (20 rows) and `account_mean`, which fills in where there is no earlier row.
+    Needs `with_recent` and `account_mean`, which fills in where there is no earlier row.
     """
-    stats = F.col("_stats")
     out = {}
     for n in COUNT_STEPS:
-        rows = F.least(stats["t"]["i"], F.lit(n))
-        total, square = stats["t"][f"s{n}"], stats["t"][f"q{n}"]
-        spread = F.greatest(square - ratio(total * total, rows), F.lit(0.0))
-        out[f"txn_count_last_{n}"] = rows
-        out[f"amount_mean_last_{n}"] = F.coalesce(stats["shift"] + ratio(total, rows), F.col("account_mean"))
-        out[f"amount_std_last_{n}"] = F.when(rows > 1, F.sqrt(spread / (rows - 1))).otherwise(F.lit(0.0))
-        out[f"amount_max_last_{n}"] = F.coalesce(stats["t"][f"m{n}"], F.col("account_mean"))
-    df = df.withColumn("_stats", recent_stats()).withColumns(out).drop("_stats")
-    return df.withColumns({f"avg_amount_last_{n}": F.col(f"amount_mean_last_{n}") for n in (5, 10)})
-
-
-def with_recent(df: DataFrame, n: int = LOOKBACK, columns=("amount", "_us"), source=None) -> DataFrame:
-    return previous_rows(df, ACCOUNT, n, list(columns), source=source)
+        out[f"txn_count_last_{n}"] = count_before(n)
+        out[f"amount_mean_last_{n}"] = F.coalesce(f"_mean_{n}", "account_mean")
+        out[f"amount_std_last_{n}"] = F.coalesce(f"_std_{n}", F.lit(0.0))
+        out[f"amount_max_last_{n}"] = F.coalesce(f"_max_{n}", "account_mean")
+    out |= {f"avg_amount_last_{n}": out[f"amount_mean_last_{n}"] for n in (5, 10)}
+    return df.withColumns(out).drop(*[f"_{k}_{n}" for n in COUNT_STEPS for k in ("mean", "std", "max")])
 
 
 def rapid_flags(df: DataFrame) -> DataFrame:

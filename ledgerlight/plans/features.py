@@ -84,7 +84,7 @@ def category_codes(spark, d):
   FROM txn WINDOW w AS ({BY_TIME})""", "time_since_last time_since_last_txn")
 def time_since_last(spark, d):
     t = txn(spark, d)
-    t = vel.with_recent(t, 1, ("_us",))
+    t = vel.with_previous(t, ["_us"])
     return t.select(
         ID, vel.hours_since_previous(24.0).alias("time_since_last"), vel.hours_since_previous(0.0).alias("time_since_last_txn")
     )
@@ -94,7 +94,7 @@ def time_since_last(spark, d):
 SELECT transaction_id, prev_amount, amount - prev_amount AS amount_change,
   CASE WHEN prev_amount + 1 <> 0 THEN amount / (prev_amount + 1) END AS amount_ratio FROM p""", "prev_amount amount_change amount_ratio")
 def amount_change(spark, d):
-    t = vel.previous_amount_features(vel.with_recent(txn(spark, d), 1, ("amount",)))
+    t = vel.previous_amount_features(vel.with_previous(txn(spark, d), ["amount"]))
     return t.select(ID, "prev_amount", "amount_change", "amount_ratio")
 
 
@@ -102,8 +102,8 @@ def amount_change(spark, d):
 SELECT transaction_id, CAST(least(n, 5) AS INT) AS txn_count_last_5, CAST(least(n, 10) AS INT) AS txn_count_last_10,
   CAST(least(n, 20) AS INT) AS txn_count_last_20 FROM p""")
 def txn_count_last_n(spark, d):
-    t = vel.with_recent(txn(spark, d), 20, ("amount",))
-    return t.select(ID, *[F.least(F.size("_prev"), F.lit(n)).alias(f"txn_count_last_{n}") for n in vel.COUNT_STEPS])
+    t = vel.number_rows(txn(spark, d), vel.ACCOUNT)
+    return t.select(ID, *[vel.count_before(n).alias(f"txn_count_last_{n}") for n in vel.COUNT_STEPS])
 
 
 ROW_STATS = [f"amount_{s}_last_{n}" for n in (5, 10, 20) for s in ("mean", "std", "max")]
@@ -121,7 +121,7 @@ def _row_sql(n):
 @query("rolling_rows", f"WITH {TXN} SELECT transaction_id, {', '.join(_row_sql(n) for n in (5, 10, 20))} FROM txn", " ".join(ROW_STATS))
 def rolling_rows(spark, d):
     t = txn(spark, d)
-    return vel.row_window_features(vel.with_account_amounts(vel.with_recent(t, 20, ("amount",)))).select(ID, *ROW_STATS)
+    return vel.row_window_features(vel.with_recent(vel.with_account_amounts(vel.number_rows(t, vel.ACCOUNT), t))).select(ID, *ROW_STATS)
 
 
 # --- trailing time windows ---------------------------------------------------------------------------------
@@ -182,7 +182,7 @@ SELECT transaction_id, {ANOMALY_SQL}, CASE WHEN balance < 100 THEN 1 ELSE 0 END
 def anomaly_features(spark, d):
     t = balanced(spark, d)
     df = vel.rolling_zscores(vel.rolling_days(t, {s: vel.ROLLING_DAYS[s] for s in ("7d", "30d")}, source=t))
-    df = vel.with_account_amounts(vel.with_recent(df, 20, ("amount", "_us"), source=t), t)
+    df = vel.with_recent(vel.with_account_amounts(df, t))
     df = vel.amount_position(vel.row_window_features(df.withColumn("gap", vel.hours_since_previous(0.0))))
     df = acc.balance_flags(df).withColumns(
         {"is_unusual_hour": fn.flag(F.hour("timestamp") < 6), "rapid_succession": fn.flag(F.col("gap") < 0.5)}
@@ -413,7 +413,7 @@ risk AS (SELECT *, CASE WHEN rapid_fire = 1 OR time_since_last < 0.017 THEN 1 EL
 @query("rapid_flags", f"WITH {TXN}, {RISK_SQL} SELECT transaction_id, vel_recent_vs_avg, rapid_fire, rapid_succession FROM flags", "vel_recent_vs_avg")
 def rapid_flags(spark, d):
     t = txn(spark, d)
-    df = vel.row_window_features(vel.with_account_amounts(vel.with_recent(t), t))
+    df = vel.row_window_features(vel.with_recent(vel.with_account_amounts(vel.number_rows(t, vel.ACCOUNT), t)))
     df = vel.rapid_flags(df.withColumn("time_since_last", vel.hours_since_previous(24.0)))
     return df.select(ID, "vel_recent_vs_avg", "rapid_fire", "rapid_succession")
 

@@ -12,8 +12,8 @@ from ledgerlight.operators.cells import (
     DAY,
     Measure,
     percentile_rank,
-    previous,
-    previous_rows,
+    number_rows,
+    over_neighbours,
     quantile,
     running,
     trailing,
@@ -57,7 +57,8 @@ def test_ties_and_open_left_end(txns):
 
 def test_rows_before(txns):
     rows = [(str(i), "x", f"2024-01-01 0{i}:00:00", float(i)) for i in (1, 2, 3, 4)]
-    t = vel.with_account_amounts(vel.with_recent(with_time_cell(txns(rows)), 20, ("amount",)))
+    t = with_time_cell(txns(rows))
+    t = vel.with_recent(vel.with_account_amounts(number_rows(t, ["account_id"]), t))
     out = by_id(vel.row_window_features(t).select("transaction_id", "amount_mean_last_5", "amount_std_last_5", "amount_max_last_5"))
     close(out, {"1": (2.5, 0, 2.5), "2": (1, 0, 1), "3": (1.5, 0.707107, 2), "4": (2, 1, 3)})
 
@@ -99,14 +100,23 @@ def test_trailing_on_a_hot_account(skewed, seconds):
       d AS (PARTITION BY account_id ORDER BY epoch_us(timestamp) RANGE BETWEEN CAST(86399999999 AS BIGINT) PRECEDING AND CURRENT ROW)"""))
 
 
-def test_running_and_previous_on_a_hot_account(skewed):
+@pytest.mark.parametrize("rows", [10, 100_000])
+def test_running_and_neighbours_on_a_hot_account(skewed, rows):
     t, frame = skewed
     t = with_time_cell(t)
     out = running(t, ["account_id"], [Measure("s", units("amount")), Measure("top", F.col("amount"), "max")])
-    out = previous_rows(out, ["account_id"], 3, ["amount", "city"], source=t)
-    got = by_id(out.select("transaction_id", money(F.col("s")), "top", previous("amount"), F.size("_prev")))
-    close(got, by_sql(frame, """SELECT transaction_id, sum(amount) OVER w, max(amount) OVER w, lag(amount) OVER w, least(row_number() OVER w - 1, 3)
-      FROM txn WINDOW w AS (PARTITION BY account_id ORDER BY timestamp, transaction_id ROWS UNBOUNDED PRECEDING)"""))
+    out = number_rows(out, ["account_id"], source=t)
+    columns = {
+        "before": lambda w: F.lag("amount").over(w),
+        "mean": lambda w: F.avg("amount").over(w.rowsBetween(-3, -1)),
+        "std": lambda w: F.stddev_samp("amount").over(w.rowsBetween(-3, -1)),
+    }
+    out = over_neighbours(out, ["account_id"], 3, columns, rows=rows)
+    got = by_id(out.select("transaction_id", money(F.col("s")), "top", "before", "mean", "std", "account_row"))
+    close(got, by_sql(frame, """SELECT transaction_id, sum(amount) OVER w, max(amount) OVER w, lag(amount) OVER w,
+      avg(amount) OVER (w3 ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), stddev_samp(amount) OVER (w3 ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), row_number() OVER w
+      FROM txn WINDOW w AS (PARTITION BY account_id ORDER BY timestamp, transaction_id ROWS UNBOUNDED PRECEDING),
+      w3 AS (PARTITION BY account_id ORDER BY timestamp, transaction_id)"""))
 
 
 def test_diversity_on_a_hot_account(skewed):
@@ -152,7 +162,7 @@ def test_payday(txns):
 
 def test_previous_amount_of_minus_one(txns):
     t = with_time_cell(txns([("a", "x", "2024-01-01", -1.0), ("b", "x", "2024-01-02", 3.0)]))
-    out = by_id(vel.previous_amount_features(vel.with_recent(t, 1, ("amount",))).select("transaction_id", "amount_ratio"))
+    out = by_id(vel.previous_amount_features(vel.with_previous(t, ["amount"])).select("transaction_id", "amount_ratio"))
     close(out, {"a": (-1.0,), "b": (float("nan"),)})
 
 
