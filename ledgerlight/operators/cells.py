@@ -68,7 +68,10 @@ def same_key(df: DataFrame, other: DataFrame, keys: list[str], how: str = "left"
 
 @dataclass(frozen=True)
 class Measure:
-    """A value column, how it adds up ('sum' or 'max'), and the trailing spans it is wanted for."""
+    """A value column, how it adds up ('sum' or 'max'), and the trailing spans it is wanted for.
+
+    Summed values are whole numbers or decimals, so that sums are exact in any order.
+    """
 
     name: str
     value: Column
@@ -90,7 +93,7 @@ def trailing(
     A span ending at t consists of the start of t's own cell, the whole cells before it, and the end of the
     cell that t - span falls in. The last part is found in t's own cell as well, from copies moved forward by
     the span. So three running aggregates replace a sliding frame: work stays linear in the rows however many
-    of them a span holds, and nothing is ever subtracted. Needs `_us` and `_cell`; spans are whole cells.
+    of them a span holds. Needs `_us` and `_cell`; spans are whole cells.
     Result columns are `<measure>_<span>`.
     """
     source = df if source is None else source
@@ -103,14 +106,21 @@ def trailing(
     narrow = source.select(*keys, "_us", "_cell", *[m.value.alias(f"_m_{m.name}") for m in measures])
     cells = narrow.groupBy(*keys, "_cell").agg(*[_agg(m.how, f"_m_{m.name}").alias(f"_m_{m.name}") for m in measures])
     order = Window.partitionBy(*keys).orderBy("_cell")
+    cells = cells.withColumns(
+        {f"_p_{m.name}": F.sum(f"_m_{m.name}").over(order.rowsBetween(UNBOUNDED, 0)) for m in measures if m.how == "sum"}
+    )
+
+    def upto(m: Measure, back: int) -> Column:
+        return F.coalesce(F.last(f"_p_{m.name}").over(order.rangeBetween(UNBOUNDED, -back)), F.lit(0))
+
+    def whole_cells(m: Measure, n: int) -> Column:
+        # Sums are exact, so two running totals give the sum of the cells between them.
+        if m.how == "sum":
+            return upto(m, 1) - upto(m, n)
+        return F.max(f"_m_{m.name}").over(order.rangeBetween(-(n - 1), -1))
+
     whole = cells.select(
-        *keys,
-        "_cell",
-        *[
-            _agg(m.how, f"_m_{m.name}").over(order.rangeBetween(-(steps[s] - 1), -1)).alias(f"_w_{m.name}_{s}")
-            for m, s in wanted
-            if steps[s] > 1
-        ],
+        *keys, "_cell", *[whole_cells(m, steps[s]).alias(f"_w_{m.name}_{s}") for m, s in wanted if steps[s] > 1]
     )
 
     moves = F.array(
