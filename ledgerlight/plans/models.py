@@ -261,6 +261,12 @@ def explained(spark, d):
     return trees.explain(split), trees, model
 
 
+@query("explain_background", f"WITH {TXN} SELECT transaction_id, amount FROM txn ORDER BY md5(concat(transaction_id, '42')) LIMIT 100", "amount")
+def explain_background(spark, d):
+    """The explanation's background sample."""
+    return ex.background(src.transactions(spark, d), ID).select(ID, "amount")
+
+
 @query("surrogate_fit")
 def surrogate_fit(spark, d):
     m, features = matrix(spark, d)
