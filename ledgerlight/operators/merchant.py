@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.functions.scalar import flag, money, squared, unit_std, units
-from ledgerlight.operators.cells import same_key
+from ledgerlight.operators.cells import Measure, running, same_key
 
 
 def value_frequency(source: DataFrame, column: str, name: str) -> DataFrame:
@@ -81,8 +81,6 @@ def merchant_defaults(df: DataFrame) -> DataFrame:
 
 def prior_merchant_risk(df: DataFrame, source=None) -> DataFrame:
     """Leak-free merchant fraud rate: earlier transactions of the merchant only, null where there are none."""
-    from ledgerlight.operators.cells import Measure, running
-
     rows = running(
         df,
         ["merchant_name"],

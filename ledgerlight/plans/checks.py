@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlight.functions import scalar as fn
 from ledgerlight.operators import evaluate as ev
 from ledgerlight.operators import quality as dq
 from ledgerlight.operators.cells import quantile
