@@ -30,8 +30,9 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = _BYTE[_LOWER]
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[32, *range(9, 14)]] = True
+WHITE_SPACE = np.zeros(256, dtype=bool)
+WHITE_SPACE[[32, *range(9, 14)]] = True
+NO_WORD = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _powers = {"n": 0}
 
 
@@ -64,8 +65,8 @@ def chunks(at: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]
         first = last
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, A-Z lower-cased and split at ASCII white space, and each row's range in that array.
+def word_hashes(raw: np.ndarray, at: np.ndarray, between: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, A-Z lower-cased and split at the bytes in `between`, and each row's range in that array.
 
     `at` holds the rows' offsets in `raw`; words never reach over the end of a row.
     """
@@ -74,7 +75,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     rows = len(at) - 1
     if not len(text):
         return np.zeros(0, dtype=np.uint64), np.zeros(rows + 1, dtype=np.int64)
-    space = _SPACE[text]
+    space = between[text]
     word = ~space
     starts, ends = word.copy(), word.copy()
     starts[1:] &= space[:-1]
