@@ -2,21 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlight.llm import minhash
+from ledgerlight.llm import decontaminate, language, minhash, mixing, token_files
 from ledgerlight.session import configure, cut
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay whose text is near enough to a language's centroids; lang is left as the table has it."""
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"), 5, 0)))
+    return language.identify(docs, model, keep=tuple(docs.columns)).where("NOT rejected").select(*docs.columns)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id."""
     found = minhash.near_duplicates(docs)
-    return docs.join(found.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    kept = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with too large a share of words from benchmark items go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    bad = decontaminate.contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("bad_id"), "digest").distinct()
+    same = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["digest"])
+    return docs.join(bad, same, "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in document order; returns their index."""
+    return token_files.tokenised(docs)
 
 
-STAGES = [("near_dedup", deduplicate)]
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", deduplicate),
+    ("decontamination", remove_benchmarks),
+    ("source_mix", mix_sources),
+    ("token_files", write_tokens),
+]
 ORACLE_SQL = None  # signatures, models and token ids are not SQL; tests/llm holds each stage against a brute-force version
 
 

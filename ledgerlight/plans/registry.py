@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ledgerlight.session import configure
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,7 +22,7 @@ def query(name: str, sql: str | None = None, doubles: str = ""):
 
     def register(job):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return rounded(job(spark, sf_dir))
+            return rounded(job(configure(spark), sf_dir))
 
         QUERIES[name] = run
         if sql is not None:

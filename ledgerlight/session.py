@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +25,28 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session; memory, cores and shuffle counts stay the caller's."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each Spark context, wherever it was imported from."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerlight_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    above = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerlight-"), "ledgerlight.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.relpath(path, above))
+    context.addPyFile(archive)
+    context._ledgerlight_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for cut lineage: the cluster's own, a temporary one only where none is named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
