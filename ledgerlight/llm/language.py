@@ -154,26 +154,36 @@ def _scorer(model: Model) -> Callable:
                     near = np.where(has, np.clip(cosine[np.arange(n), best], 0, 1), 0).astype(float)
                     out = ~has | (near < model.least[owner])
                     lang = [model.languages[o] if h else "und" for o, h in zip(owner, has, strict=True)]
-                kept = [c.slice(first, n) for c in batch.columns[2:]]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(lang), pa.array(near), pa.array(out)], names=[*batch.schema.names[2:], "lang_pred", "score", "rejected"]
+                    [batch.column("row").slice(first, n), pa.array(lang, pa.string()), pa.array(near), pa.array(out)],
+                    names=["row", "lang_pred", "score", "rejected"],
                 )
 
     return score
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The `keep` columns with lang_pred, score (cosine to the nearest centroid, 0 to 1) and rejected.
+def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """(row, lang_pred, score, rejected), row being a struct of the `keep` columns, by default all.
 
     Whole texts are scored, in one pass and without a shuffle. Texts without a letter and null texts are `und`, with
     score 0 and rejected; others get the language of the nearest centroid and are rejected if that is further away
     than what the language's own labelled rows allow. Repeated rows agree, ties go to the first language by name,
     an empty table gives no rows, a model without languages says `und`.
     """
+    row = F.struct(*[F.col(c) for c in (keep or docs.columns)]).alias("row")
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    rows = docs.select(F.col(text_col).alias("text"), letters, *[F.col(c) for c in keep])
-    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(_scorer(model), f"{kept}, lang_pred string, score double, rejected boolean")
+    rows = docs.select(F.col(text_col).alias("text"), letters, row)
+    return rows.mapInArrow(_scorer(model), f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The `keep` columns with lang_pred, score (cosine to the nearest centroid, 0 to 1) and rejected, as `scored` says."""
+    return scored(docs, model, text_col, keep).select("row.*", "lang_pred", "score", "rejected")
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs that aren't rejected, with all their columns."""
+    return scored(docs, model, text_col).where("NOT rejected").select("row.*")
 
 
 def held_out(id_col: Column, parts: int, part: int) -> Column:

@@ -28,10 +28,17 @@ def exponential_key(id_col: Column, weight: Column, seed: str) -> Column:
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight: Column | None, seed: str) -> DataFrame:
-    """The documents with their size in words and sampling key, as _size and _key."""
-    rows = docs.withColumn("_size", word_count(F.col(text_col)))
-    quality = shape_weight(F.col(text_col), F.col("_size")) if weight is None else weight
-    return rows.withColumn("_key", exponential_key(F.col(id_col), quality, seed))
+    """(row, id, source, size, key): each document as a struct, with its size in words and its sampling key."""
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(id_col).alias("id"),
+        F.col(source_col).alias("source"),
+        F.col(text_col).alias("text"),
+        (F.lit(None) if weight is None else weight).cast("double").alias("weight"),
+    )
+    rows = rows.withColumn("size", word_count(F.col("text")))
+    quality = F.coalesce("weight", shape_weight(F.col("text"), F.col("size")))
+    return rows.select("row", "id", "source", "size", exponential_key(F.col("id"), quality, seed).alias("key"))
 
 
 def targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -117,8 +124,7 @@ def mixed(
     reruns agree. Null texts have size 0, a null source is a source, rows that share id and key are taken or left
     together, empty tables give no rows, and sources without words have a target of 0. Ids are longs.
     """
-    rows = sized(docs, id_col, text_col, source_col, weight, seed)
-    rows = cut(rows.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col("_size").alias("size"), F.col("_key").alias("key")), "sizes")
+    rows = cut(sized(docs, id_col, text_col, source_col, weight, seed).drop("row"), "sizes")
     made = plan(rows, weights, most)
     out = join_source(rows, made).withColumn("band", band())
     taken = (F.col("size") * repeats(F.col("id"), F.col("key"))).alias("taken")
@@ -127,11 +133,9 @@ def mixed(
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight: Column | None = None, seed: str = "mix", **options) -> DataFrame:
     """The mix itself: rows of docs, each as often as `mixed` takes it. Texts are not shuffled: the plan, a row per
-    source, comes to them. Columns of docs named _size, _key, key, band or as the plan's are not supported."""
+    source, comes to them."""
     rows = sized(docs, id_col, text_col, source_col, weight, seed)
-    narrow = cut(rows.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col("_size").alias("size"), F.col("_key").alias("key")), "sizes")
-    made = plan(narrow, **options).drop("source_size", "n", "target").withColumnRenamed("source", "_source")
-    out = rows.withColumnRenamed("_key", "key").join(made, F.col(source_col).eqNullSafe(F.col("_source")))
-    out = out.withColumn("band", band())
-    times = repeats(F.col(id_col), F.col("key")).cast("int")
-    return out.select(*docs.columns, F.explode(F.array_repeat(F.lit(True), times)).alias("_taken")).drop("_taken")
+    made = plan(cut(rows.drop("row"), "sizes"), **options)
+    out = join_source(rows, made.drop("source_size", "n", "target")).withColumn("band", band())
+    times = repeats(F.col("id"), F.col("key")).cast("int")
+    return out.select("row", F.explode(F.array_repeat(F.lit(True), times)).alias("taken")).select("row.*")

@@ -90,15 +90,15 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for i in range(last - first)
                 ]
             )
-            ids = [c.slice(first, last - first) for c in batch.columns[1:]]
-            yield pa.RecordBatch.from_arrays([*ids, *[pa.array(c) for c in table.T]], names=[*batch.schema.names[1:], *FEATURES])
+            kept = batch.column("row").slice(first, last - first)
+            yield pa.RecordBatch.from_arrays([kept, *[pa.array(c) for c in table.T]], names=["row", *FEATURES])
 
 
 def features(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The `keep` columns and a double for each feature of the whole text (null: empty)."""
-    rows = docs.select(F.col(text_col).alias("text"), *[F.col(c) for c in keep])
-    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(_measure, kept + "".join(f", {f} double" for f in FEATURES))
+    rows = docs.select(F.col(text_col).alias("text"), F.struct(*[F.col(c) for c in keep]).alias("row"))
+    measured = rows.mapInArrow(_measure, f"row {rows.schema['row'].dataType.simpleString()}" + "".join(f", {f} double" for f in FEATURES))
+    return measured.select("row.*", *FEATURES)
 
 
 @dataclass

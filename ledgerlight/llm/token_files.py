@@ -46,6 +46,7 @@ class Encoder:
         special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r"\s\s", *special]))
         self.known: dict[str, bytes] = {}
+        self.marks = dict(zip(".,", self._ids([".", ","]), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -66,6 +67,7 @@ class Encoder:
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if self.whole.search(t) else t.split(" ") for t in texts]
         new: dict[str, None] = {}
+        marked: dict[str, None] = {}
         known = self.known
         if len(known) > CACHED:
             known.clear()
@@ -73,8 +75,15 @@ class Encoder:
             if parts:
                 for w in parts[1:]:
                     if w not in known:
-                        new[w] = None
+                        # A mark after letters is a piece of its own.
+                        if w[-1:] in self.marks and w[:-1].isalpha():
+                            marked[w] = None
+                            if w[:-1] not in known:
+                                new[w[:-1]] = None
+                        else:
+                            new[w] = None
         known.update(zip(new, self._ids([" " + w for w in new]), strict=True))
+        known.update({w: known[w[:-1]] + self.marks[w[-1]] for w in marked})
         odd = iter(self._ids([t if p is None else p[0] for t, p in zip(texts, split, strict=True)]))
         for parts in split:
             head = next(odd)
