@@ -11,7 +11,7 @@ from ledgerlight.session import configure, cut
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay whose text is near enough to a language's centroids; lang is left as the table has it."""
     model = language.fit(docs.where(~language.held_out(F.col("doc_id"), 5, 0)))
-    return language.identify(docs, model, keep=tuple(docs.columns)).where("NOT rejected").select(*docs.columns)
+    return language.accepted(docs, model)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
