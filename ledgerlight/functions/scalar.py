@@ -8,8 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 UNITS_PER_MONEY = 10_000
 
 
-def units(amount) -> Column:
-    return F.round(F.col(amount) * UNITS_PER_MONEY if isinstance(amount, str) else amount * UNITS_PER_MONEY).cast("long")
+# Beyond it a double no longer holds every ten-thousandth.
+LARGEST_MONEY = 9e11
+
+
+def units(amount, per_money: int = UNITS_PER_MONEY) -> Column:
+    """Money in whole units, `per_money` to one; null where it is missing, NaN, infinite or beyond LARGEST_MONEY."""
+    x = finite(F.col(amount) if isinstance(amount, str) else amount)
+    return F.when(F.abs(x) <= LARGEST_MONEY, F.round(x * per_money).cast("long"))
 
 
 def money(total: Column) -> Column:
@@ -22,10 +28,18 @@ def squared(u: Column) -> Column:
 
 
 def unit_std(n: Column, s: Column, q: Column) -> Column:
-    """Sample standard deviation in money from count, sum and sum of squares in units; null below two rows."""
-    spread = n.cast("decimal(18,0)") * q - squared(s)
+    """Sample standard deviation in money from count, sum and sum of squares in units; null below two rows.
+
+    Squares are moved to a whole number next to the mean first, exactly: with r = s - m * n, the squares around m add up
+    to q - m * (s + r). So the products stay in a decimal's range at 10^12 rows, and equal amounts give exactly 0.
+    """
+    rows, total = n.cast("decimal(18,0)"), s.cast("decimal(38,0)")
+    m = F.round(total.cast("double") / F.greatest(n, F.lit(1))).cast("decimal(18,0)")
+    r = (total - m * rows).cast("decimal(28,0)")
+    around = (q - m * (total + r).cast("decimal(38,0)")).cast("double")
     size = n.cast("double")
-    return F.when(n > 1, F.sqrt(spread.cast("double") / (size * (size - 1))) / UNITS_PER_MONEY)
+    spread = F.greatest(around - r.cast("double") * r.cast("double") / size, F.lit(0.0))
+    return F.when(n > 1, F.sqrt(spread / (size - 1)) / UNITS_PER_MONEY)
 
 
 def padded(c: Column, width: int) -> Column:

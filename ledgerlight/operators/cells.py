@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
+from ledgerlight.functions.scalar import finite
+
 HOUR = 3600
 DAY = 86_400
 CELL_SECONDS = HOUR
@@ -275,12 +277,12 @@ def percentile_rank(df: DataFrame, key: str, value: str, name: str, *, source: D
 
 
 def quantile(df: DataFrame, value: str, p: float, name: str = "q", bands: int = SCORE_BANDS_PER_DOUBLING) -> DataFrame:
-    """Exact quantile with linear interpolation, as one row.
+    """Exact quantile with linear interpolation of the finite values, as one row.
 
     Equal values are counted first, the counts are added up band by band, and only the two neighbours of the
     wanted position are kept.
     """
-    present = df.select(F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    present = df.select(finite(F.col(value)).alias("_v")).filter("_v is not null")
     counts = present.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cell", value_cell(F.col("_v"), bands))
     upto = running(counts, [], [Measure("_upto", F.col("_n"))], order=["_v"])
     at = (F.col("_upto_all") - 1) * F.lit(float(p))

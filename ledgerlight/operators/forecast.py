@@ -48,7 +48,7 @@ def daily_series(df: DataFrame, opening: DataFrame | None = None, calendar: Data
         days = days.withColumn("is_holiday", F.lit(0))
     else:
         cal = calendar.select(F.col("date").alias("ds"), "is_holiday")
-        days = days.join(F.broadcast(cal), "ds", "left").withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))
+        days = days.join(cal, "ds", "left").withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))
     return days.select(
         "account_id", "ds", "balance", "net_flow", "txn_count", "debit_count", "credit_count", "is_weekend", "is_holiday"
     )

@@ -31,12 +31,16 @@ def balanced(spark, d):
     )
 
 
-@query("dq_schema")
+@query("dq_schema", f"""WITH {TXN}, n AS (SELECT count(*) AS rows_checked FROM txn)
+SELECT check_name, true AS passed, rows_checked FROM n, (VALUES ('has_required_columns'), ('timestamp_is_datetime'), ('amount_is_numeric')) v(check_name)""")
 def dq_schema(spark, d):
     return dq.schema_report(src.transactions(spark, d))
 
 
-MISSING_COLUMNS = ["transaction_id", "account_id", "amount", "merchant_name", "merchant_category", "channel", "city", "debit_only"]
+TXN_COLUMNS = [
+    "transaction_id", "account_id", "timestamp", "amount", "merchant_name", "merchant_category", "channel", "is_fraud", "city",
+]
+MISSING_COLUMNS = [*TXN_COLUMNS, "debit_only"]
 
 
 @query("dq_missing", f"""WITH {TXN}, m AS (SELECT *, CASE WHEN amount > 0 THEN amount END AS debit_only FROM txn)
@@ -48,10 +52,17 @@ def dq_missing(spark, d):
     return dq.missing_rates(t.select(*MISSING_COLUMNS))
 
 
-@query("duplicate_rate", f"""WITH {TXN}, p AS (SELECT merchant_name, merchant_category, channel, city, is_fraud FROM txn)
+@query("duplicate_rate", f"""WITH {TXN}, p AS (SELECT {', '.join(TXN_COLUMNS)} FROM txn)
 SELECT count(*) AS row_count, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p) u) AS duplicate_rows,
   (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p) u)) / count(*) AS duplicate_rate FROM p""", "duplicate_rate")
 def duplicate_rate(spark, d):
+    return dq.duplicate_rate(src.transactions(spark, d).select(*TXN_COLUMNS))
+
+
+@query("repeated_descriptions", f"""WITH {TXN}, p AS (SELECT merchant_name, merchant_category, channel, city, is_fraud FROM txn)
+SELECT count(*) AS row_count, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p) u) AS duplicate_rows,
+  (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p) u)) / count(*) AS duplicate_rate FROM p""", "duplicate_rate")
+def repeated_descriptions(spark, d):
     """Repeats over the descriptive columns (whole rows of the table never repeat)."""
     t = src.transactions(spark, d)
     return dq.duplicate_rate(t.select("merchant_name", "merchant_category", "channel", "city", "is_fraud"))
@@ -88,7 +99,18 @@ def dq_keys(spark, d):
     return dq.key_quality(src.transactions(spark, d))
 
 
-@query("dq_report")
+@query("dq_report", f"""WITH {BALANCED}, s AS (SELECT *, abs(balance - lag(balance) OVER ({BY_TIME}) + amount) AS gap FROM bal),
+m AS (SELECT avg(is_fraud) AS fr, avg(CASE WHEN coalesce(gap, 0) < 1000 THEN 1.0 ELSE 0 END) AS cs,
+  (SELECT avg(CASE WHEN n = 1 THEN 1.0 ELSE 0 END) FROM (SELECT count(*) AS n FROM txn GROUP BY account_id) a) AS ss,
+  1 - (SELECT count(*) FROM (SELECT DISTINCT * FROM bal) u) / count(*) AS dup, avg(CASE WHEN transaction_id IS NULL THEN 1.0 ELSE 0 END) AS ids FROM s),
+c AS (SELECT unnest([
+  {{'check_name': 'has_required_columns', 'passed': 1}}, {{'check_name': 'timestamp_is_datetime', 'passed': 1}}, {{'check_name': 'amount_is_numeric', 'passed': 1}},
+  {{'check_name': 'fraud_rate_reasonable', 'passed': CASE WHEN fr BETWEEN 0.001 AND 0.1 THEN 1 ELSE 0 END}},
+  {{'check_name': 'reasonable_account_activity', 'passed': CASE WHEN ss < 0.5 THEN 1 ELSE 0 END}},
+  {{'check_name': 'balance_consistency', 'passed': CASE WHEN cs > 0.8 THEN 1 ELSE 0 END}},
+  {{'check_name': 'duplicate_rate', 'passed': CASE WHEN dup < 0.05 THEN 1 ELSE 0 END}},
+  {{'check_name': 'transaction_id_missing_rate', 'passed': CASE WHEN ids < 0.01 THEN 1 ELSE 0 END}}], recursive := true) FROM m)
+SELECT check_name, passed FROM c UNION ALL SELECT 'ready', min(passed) FROM c""")
 def dq_report(spark, d):
     return dq.quality_report(balanced(spark, d))
 
@@ -102,7 +124,7 @@ def time_gaps(spark, d):
     return dq.time_gaps(src.transactions(spark, d))
 
 
-INGEST_COLUMNS = ["transaction_id", "account_id", "timestamp", "amount", "merchant_name", "merchant_category", "is_fraud"]
+INGEST_COLUMNS = TXN_COLUMNS
 
 
 @query("dq_ingest_metrics", f"""WITH {TXN}, g AS ({GAPS_SQL})

@@ -453,7 +453,8 @@ ADV_DOUBLES = (
 )
 ADV_INTS = (
     ["is_weekend", "is_night", "rapid_fire", "merch_freq_account", "is_new_merchant", "merch_txn_count", "merch_cat_freq",
-     "account_age_days", "merchant_diversity", "category_diversity", "is_round_amount", "is_very_round"] + RISK_COLUMNS
+     "account_age_days", "merchant_diversity", "category_diversity", "is_round_amount", "is_very_round", "hour", "day_of_week", "month",
+     "is_business_hours"] + RISK_COLUMNS
 )
 
 
@@ -461,7 +462,8 @@ ADV_INTS = (
 rows_ AS (SELECT transaction_id, {', '.join(_row_sql(n) for n in (5, 10, 20))}, {PERCENTILE_SQL} AS amount_percentile,
   avg(amount) OVER m AS merch_amt_mean, coalesce(stddev_samp(amount) OVER m, 0) AS merch_amt_std, count(*) OVER m AS merch_txn_count,
   avg(is_fraud) OVER m AS merch_fraud_rate, count(*) OVER c AS merch_cat_freq, avg(is_fraud) OVER c AS merch_cat_risk,
-  CAST(floor((epoch_us(timestamp) - min(epoch_us(timestamp)) OVER (PARTITION BY account_id)) / 86400000000) AS BIGINT) AS account_age_days
+  CAST(floor((epoch_us(timestamp) - min(epoch_us(timestamp)) OVER (PARTITION BY account_id)) / 86400000000) AS BIGINT) AS account_age_days,
+  timestamp AS when_
   FROM txn WINDOW m AS (PARTITION BY merchant_name), c AS (PARTITION BY merchant_category)),
 spend AS (SELECT account_id, avg(s) AS avg_daily_spending FROM (SELECT account_id, CAST(timestamp AS DATE) AS ds, sum(amount) AS s FROM txn GROUP BY 1, 2) x GROUP BY 1),
 dv AS (SELECT account_id, count(DISTINCT merchant_name) AS merchant_diversity, count(DISTINCT merchant_category) AS category_diversity FROM txn GROUP BY 1),
@@ -469,7 +471,9 @@ joined AS (SELECT risk.*, rows_.* EXCLUDE (transaction_id), avg_daily_spending,
   amount - prev_amount AS amount_change, CASE WHEN prev_amount + 1 <> 0 THEN amount / (prev_amount + 1) END AS amount_ratio,
   CASE WHEN rows_.amount_mean_last_10 + 1 <> 0 THEN amount / (rows_.amount_mean_last_10 + 1) END AS amount_vs_recent_avg,
   CASE WHEN amount_max_last_10 + 1 <> 0 THEN amount / (amount_max_last_10 + 1) END AS amount_vs_recent_max,
-  CASE WHEN amount % 10 = 0 THEN 1 ELSE 0 END AS is_round_amount, CASE WHEN amount % 100 = 0 THEN 1 ELSE 0 END AS is_very_round
+  CASE WHEN amount % 10 = 0 THEN 1 ELSE 0 END AS is_round_amount, CASE WHEN amount % 100 = 0 THEN 1 ELSE 0 END AS is_very_round,
+  CAST(hour(when_) AS INT) AS hour, CAST(isodow(when_) - 1 AS INT) AS day_of_week, CAST(month(when_) AS INT) AS month,
+  CASE WHEN hour(when_) BETWEEN 9 AND 17 THEN 1 ELSE 0 END AS is_business_hours
   FROM (SELECT * EXCLUDE (amount_mean_last_10) FROM risk) risk JOIN rows_ USING (transaction_id) JOIN spend USING (account_id) JOIN dv USING (account_id))
 SELECT transaction_id, {', '.join(ADV_DOUBLES + ADV_INTS)} FROM joined""", " ".join(ADV_DOUBLES))
 def feature_store_advanced(spark, d):
@@ -478,11 +482,15 @@ def feature_store_advanced(spark, d):
 
 FULL_DOUBLES = (
     ROLLING + RATIOS + ["category_entropy_7d", "time_since_last_txn", "weekend_spending_ratio", "balance", "balance_change",
-                        "balance_trend_7d", "amount_zscore_7d", "amount_zscore_30d", "amount_log"]
+                        "balance_trend_7d", "amount_zscore_7d", "amount_zscore_30d", "amount_log", "amount_abs"]
 )
 FULL_INTS = names("txn_count", vel.ROLLING_DAYS) + [s.name for s in div.FULL_PROFILE] + [
     "is_new_merchant", "txn_count_1h", "days_since_payday", "is_post_payday", "is_low_balance", "is_negative_balance",
-    "is_different_city", "rapid_succession", "is_unusual_hour", "is_weekend", "is_holiday"]
+    "is_different_city", "rapid_succession", "is_unusual_hour", "is_weekend", "is_holiday", "hour_of_day", "day_of_week", "month",
+    "day_of_month", "is_business_hours", "is_night", "is_month_end_week", "is_quarter_end", "is_debit", "is_credit"]
+FULL_TEXTS = ["amount_category", "segment", "holiday_name", "prev_city"]
+TIME_PARTS_SQL = """CAST(hour(timestamp) AS INT) AS {hour}, CAST(isodow(timestamp) - 1 AS INT) AS day_of_week, CAST(month(timestamp) AS INT) AS month,
+  CASE WHEN hour(timestamp) BETWEEN 9 AND 17 THEN 1 ELSE 0 END AS is_business_hours"""
 
 
 def full_store(spark, d, diversity=div.FULL_PROFILE):
@@ -506,11 +514,19 @@ f AS (SELECT *, {RATIO_SQL}, {ANOMALY_SQL}, ln(1 + abs(amount)) AS amount_log,
   CASE WHEN prev_city IS NOT NULL AND city <> prev_city THEN 1 ELSE 0 END AS is_different_city,
   CASE WHEN time_since_last_txn < 0.5 THEN 1 ELSE 0 END AS rapid_succession,
   CASE WHEN isodow(timestamp) >= 6 THEN 1 ELSE 0 END AS is_weekend,
-  CASE WHEN strftime(timestamp, '%Y-%m-%d') = '2024-01-01' THEN 1 ELSE 0 END AS is_holiday
-  FROM r JOIN entropy USING (transaction_id) JOIN trend USING (transaction_id) JOIN pay USING (transaction_id) JOIN wk USING (account_id))
-SELECT transaction_id, {', '.join(FULL_DOUBLES + FULL_INTS)} FROM f""", " ".join(FULL_DOUBLES))
+  CASE WHEN strftime(timestamp, '%Y-%m-%d') = '2024-01-01' THEN 1 ELSE 0 END AS is_holiday,
+  {TIME_PARTS_SQL.format(hour="hour_of_day")}, CAST(day(timestamp) AS INT) AS day_of_month,
+  CASE WHEN hour(timestamp) >= 22 OR hour(timestamp) <= 6 THEN 1 ELSE 0 END AS is_night,
+  CASE WHEN day(timestamp) >= 25 THEN 1 ELSE 0 END AS is_month_end_week,
+  CASE WHEN month(timestamp) IN (3, 6, 9, 12) THEN 1 ELSE 0 END AS is_quarter_end,
+  abs(amount) AS amount_abs, CASE WHEN amount > 0 THEN 1 ELSE 0 END AS is_debit, CASE WHEN amount < 0 THEN 1 ELSE 0 END AS is_credit,
+  CASE WHEN amount = 0 THEN NULL WHEN abs(amount) <= 25 THEN 'micro' WHEN abs(amount) <= 100 THEN 'small' WHEN abs(amount) <= 500 THEN 'medium'
+    WHEN abs(amount) <= 2000 THEN 'large' ELSE 'xlarge' END AS amount_category, c_mktsegment AS segment,
+  CASE WHEN strftime(timestamp, '%Y-%m-%d') = '2024-01-01' THEN 'New Year' END AS holiday_name
+  FROM r LEFT JOIN customer ON account_id = concat('acc_', {padded_sql('c_custkey', 4)}) JOIN entropy USING (transaction_id) JOIN trend USING (transaction_id) JOIN pay USING (transaction_id) JOIN wk USING (account_id))
+SELECT transaction_id, {', '.join(FULL_DOUBLES + FULL_INTS + FULL_TEXTS)} FROM f""", " ".join(FULL_DOUBLES))
 def feature_store_full(spark, d):
-    return full_store(spark, d).select(ID, *FULL_DOUBLES, *FULL_INTS)
+    return full_store(spark, d).select(ID, *FULL_DOUBLES, *FULL_INTS, *FULL_TEXTS)
 
 
 @query("feature_catalogue")

@@ -103,7 +103,7 @@ def enhanced_matrix(spark, d):
 
 def forest_scores(spark, d):
     m, features = scaled_matrix(spark, d)
-    return iforest.detect(m, iforest.fit(m, ID, features), 0.05)
+    return iforest.detect_variant(m, ID, features, "basic")
 
 
 @query("iforest_scores")
@@ -111,6 +111,23 @@ def iforest_scores(spark, d):
     return forest_scores(spark, d).select(ID, "anomaly_score", "is_anomaly")
 
 
+@query("iforest_variants", f"""WITH {TXN} SELECT variant, count(*) AS n_rows, CAST(floor(count(*) * share + 1e-6) AS BIGINT) AS n_flagged, 1 AS scores_in_range
+FROM txn CROSS JOIN (VALUES ('enhanced', 0.05), ('evaluator', 0.03)) v(variant, share) GROUP BY variant, share""")
+def iforest_variants(spark, d):
+    """Rows, flagged rows and range of the scores of the two larger settings."""
+    m, features = scaled_matrix(spark, d)
+    parts = []
+    for variant in ("enhanced", "evaluator"):
+        found = iforest.detect_variant(m, ID, features, variant)
+        inside = F.min(F.col("anomaly_score").between(0.0, 1.0).cast("int"))
+        parts.append(
+            found.agg(F.count("*").alias("n_rows"), F.sum("is_anomaly").cast("long").alias("n_flagged"), inside.alias("scores_in_range")).select(
+                F.lit(variant).alias("variant"), "n_rows", "n_flagged", "scores_in_range"
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 @query("lof_scores", """WITH p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS dist
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
 near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY dist, j) AS r FROM p) n WHERE r <= 20),
@@ -120,7 +137,7 @@ SELECT n.i AS vec_id, avg(b.lrd) / any_value(a.lrd) AS lof FROM near n JOIN dens
 def lof_scores(spark, d):
     configure(spark)
     e = src.table(spark, d, "embeddings")
-    return lof.fit(e, "vec_id", F.col("embedding")).score(e, "vec_id", F.col("embedding")).select("vec_id", "lof")
+    return lof.outlier_factors(e, "vec_id", F.col("embedding"))
 
 
 @query("lof_transactions")
@@ -129,15 +146,15 @@ def lof_transactions(spark, d):
     m, features = scaled_matrix(spark, d)
     keyed = m.withColumn("row_hash", F.xxhash64(ID))
     x = F.array(*[F.col(c) for c in features])
-    scored = lof.fit(keyed, "row_hash", x).score(keyed, "row_hash", x)
-    return prep.flag_top(scored, "lof", 0.05, "is_anomaly").select(ID, "lof", "is_anomaly")
+    scored = keyed.select(ID, "row_hash").join(lof.outlier_factors(keyed, "row_hash", x), "row_hash")
+    return prep.flag_top(cut(scored), "lof", 0.05, "is_anomaly").select(ID, "lof", "is_anomaly")
 
 
 @query("reconstruction_scores")
 def reconstruction_scores(spark, d):
     m, features = scaled_matrix(spark, d)
     scored = sup.score_reconstruction(m, sup.fit_reconstruction(m, features), features)
-    return prep.flag_top(scored, "reconstruction_error", 0.05, "is_anomaly").select(ID, "reconstruction_error", "is_anomaly")
+    return prep.flag_top(cut(scored), "reconstruction_error", 0.05, "is_anomaly").select(ID, "reconstruction_error", "is_anomaly")
 
 
 @query("rf_scores")
@@ -286,8 +303,7 @@ def explain_contributions(spark, d):
 @query("explain_topk")
 def explain_topk(spark, d):
     rows, trees, _ = explained(spark, d)
-    picked = rows.filter(F.col("label") == 1)
-    return picked.select(ID, F.posexplode(ex.top_factors("contributions", 10)).alias("place", "c")).select(
+    return rows.select(ID, F.posexplode(ex.top_factors("contributions", 10)).alias("place", "c")).select(
         ID, "place", "c.feature", "c.contribution", "c.value"
     )
 

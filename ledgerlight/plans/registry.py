@@ -70,8 +70,8 @@ txn AS (
          CASE WHEN value > 120 AND k % 3 = 0 THEN 1 ELSE 0 END AS is_fraud,
          c_acctbal AS opening_balance
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events) e
-  JOIN nation ON n_nationkey = k % 25
-  JOIN customer ON c_custkey = user_id
+  LEFT JOIN nation ON n_nationkey = k % 25
+  LEFT JOIN customer ON c_custkey = user_id
 )"""
 
 BALANCED = (

@@ -45,7 +45,7 @@ def scan_first_n(spark, d):
 
 @query("canonical_transactions", f"WITH {TXN} SELECT {TXN_COLUMNS}, {TEXT_TIME}, opening_balance FROM txn", "amount opening_balance")
 def canonical_transactions(spark, d):
-    t = src.transactions(spark, d).join(src.opening_balances(spark, d), "account_id")
+    t = src.transactions(spark, d).join(src.opening_balances(spark, d), "account_id", "left")
     return _seen(t)
 
 
@@ -95,7 +95,7 @@ def filter_account(spark, d):
 
 @query("numeric_features", f"WITH {TXN} SELECT transaction_id, amount, opening_balance FROM txn", "amount opening_balance")
 def numeric_features(spark, d):
-    t = src.transactions(spark, d).join(src.opening_balances(spark, d), "account_id")
+    t = src.transactions(spark, d).join(src.opening_balances(spark, d), "account_id", "left")
     return t.select("transaction_id", *numeric_columns(t, ["is_fraud"]))
 
 

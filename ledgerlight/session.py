@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,19 +50,43 @@ def ship(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for cut lineage: the cluster's own, a temporary one only where none is named."""
+    """Shared folder for cut lineage: the cluster's own; a temporary one only in local mode, where none is named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if root is None:
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        if current is None and not local:
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         root = current or tempfile.mkdtemp(prefix="ledgerlight-")
     if current is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint folder for a table written part-way through a job."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the part-way tables written inside it on leaving. Results that read them have to be written before."""
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(paths)
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:

@@ -20,13 +20,13 @@ WATERMARK = "1 hour"
 
 
 def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 64) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    """The events table as a stream: the part files of its folder, or the one file that it is."""
+    reader = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", files_per_trigger)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.getFileStatus(place).isDirectory():
+        return reader.parquet(f"{sf_dir}/events.parquet")
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,7 +49,7 @@ def test_long_table_uses_a_bounded_pool(spark):
 def test_lof_equals_brute_force(spark, points):
     keyed = points.withColumn("i", F.xxhash64("transaction_id"))
     x = F.array(*FEATURES)
-    out = lof.fit(keyed, "i", x, k=10).score(keyed, "i", x).toPandas()
+    out = keyed.join(lof.outlier_factors(keyed, "i", x, k=10), "i").toPandas()
     m = out[FEATURES].to_numpy()
     d = np.sqrt(((m[:, None] - m[None]) ** 2).sum(axis=2))
     np.fill_diagonal(d, np.inf)
@@ -60,6 +60,34 @@ def test_lof_equals_brute_force(spark, points):
     assert set(out.nlargest(3, "lof")["transaction_id"]) == {"p200", "p201", "p202"}
 
 
+def test_lof_over_many_cells_and_a_hot_one(spark, monkeypatch):
+    """A third of the rows in one place, cells cut into many blocks: still the neighbours of brute force."""
+    monkeypatch.setattr(lof, "NEAR_BLOCK", 40)
+    monkeypatch.setattr(lof, "FAR_BLOCK", 70)
+    rng = np.random.default_rng(8)
+    m = rng.normal(0, 1, (600, 3)) + rng.integers(0, 4, (600, 1)) * 6
+    m[:200] = m[0]
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id long, x array<double>")
+    near = lof.neighbours(df, 7).toPandas().sort_values(["id", "dist", "other"])
+    d = np.sqrt(((m[:, None] - m[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    best = np.argsort(d, axis=1, kind="stable")[:, :7]
+    assert np.array_equal(near["other"].to_numpy().reshape(600, 7), best)
+    few = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id long, x array<double>")
+    assert lof.neighbours(few, 5).count() == 2 and lof.outlier_factors(few, "id", F.col("x")).count() == 2
+
+
+def test_forest_draws_alike_at_every_size(spark):
+    for n in (50, 3_000, 60_000):
+        df = spark.range(n).select(F.col("id").cast("string").alias("k"), (F.col("id") % 97).alias("a"))
+        drawn = iforest.subsamples(df, "k", ["a"], 20, 64, 42)
+        per_tree = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+        assert len(per_tree) == 20 and drawn.distinct().count() == sum(per_tree)
+        assert min(per_tree) >= min(n, 64) and max(per_tree) <= 64 * 2.5
+    small = iforest.fit(spark.range(5).select(F.col("id").cast("string").alias("k"), "id"), "k", ["id"], n_trees=5)
+    assert small.size == 5
+
+
 def test_reconstruction(points):
     scaled = prep.scale(points, prep.fit_scaler(points, FEATURES))
     out = sup.score_reconstruction(scaled, sup.fit_reconstruction(scaled, FEATURES, 2), FEATURES).toPandas()

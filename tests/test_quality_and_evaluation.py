@@ -72,3 +72,32 @@ def test_key_quality(txns):
     t = txns([("a", "x", "2024-01-01", 1.0), ("a", None, "2024-01-01", 1.0)])
     rows = {r["check_name"]: r["violations"] for r in dq.key_quality(t).collect()}
     assert rows["transaction_id_repeated"] == 1 and rows["account_id_null"] == 1 and rows["amount_null"] == 0
+
+
+def test_bad_amounts_are_missing_and_break_nothing(spark, txns):
+    from ledgerlight.operators import quality as dq
+    from ledgerlight.operators.cells import quantile
+
+    rows = [(f"t{i}", "a", "2024-01-01 10:00:00", x) for i, x in enumerate([1.0, 3.0, float("nan"), float("inf"), float("-inf"), None, 1e300])]
+    t = txns(rows)
+    missing = {r["column_name"]: r["missing_rate"] for r in dq.missing_rates(t).collect()}
+    assert missing["amount"] == pytest.approx(4 / 7) and missing["account_id"] == 0
+    row = dq.amount_quality(t).first()
+    assert row["amount_mean"] == 2.0 and row["amount_std"] == pytest.approx(2**0.5)
+    assert row["amount_out_of_bounds_rate"] == pytest.approx(1 / 7)
+    assert quantile(t.where("amount < 100 OR isnan(amount)"), "amount", 0.5).first()[0] == 2.0
+    assert dq.ingest_metrics(t).count() > 5
+
+
+def test_deviation_at_a_million_million_rows(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlight.functions.scalar import unit_std
+
+    n, x = 10**12, 10**8
+    rows = spark.range(1).select(
+        F.lit(n).alias("n"), F.lit(str(n * x)).cast("decimal(38,0)").alias("s"), F.lit(str(n * x * x)).cast("decimal(38,0)").alias("q"),
+        F.lit(str(n * x * x + n * 10**4)).cast("decimal(38,0)").alias("q2"),
+    )
+    same, other = rows.select(unit_std(F.col("n"), F.col("s"), F.col("q")), unit_std(F.col("n"), F.col("s"), F.col("q2"))).first()
+    assert same == 0.0 and other == pytest.approx(0.01)

@@ -65,3 +65,13 @@ def test_sinks_live_in_the_shared_folder(spark):
 def test_stateful_operators_are_streaming(spark, tmp_path, name):
     stream = feed(spark, tmp_path / "in", [[("a", "x", "2024-01-01 10:00:00")]])
     assert getattr(st, name)(stream).isStreaming
+
+
+def test_source_reads_a_table_folder(spark, tmp_path):
+    from ledgerlight.streaming import streams
+
+    for name in ("events", "nation"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = streams.run_append(streams.transaction_stream(spark, str(tmp_path)), "folder")
+    want = streams.run_append(streams.transaction_stream(spark, "/root/testdata/sf0.001"), "file")
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 1000
