@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 from ledgerlight.llm.native import word_count
 from ledgerlight.session import cut
 
-BAND_ROWS = 20_000  # rows of a source that are sorted together, about
+BAND_ROWS = 2_000  # rows of a source that are sorted together, about
 MOST_REPEATS = 3
 WEIGHTS = (5, 2, 1)
 

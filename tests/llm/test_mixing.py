@@ -33,7 +33,7 @@ def sample():
     return rows + [(1000, None, "s1"), (1001, "", "s1"), (1002, "  \t", None), (1003, "a b c", None), (1004, "x " * 20_000, "long"), (5, "repeated id", "hot"), (None, "no id here", "hot")]
 
 
-@pytest.mark.parametrize("band_rows", [7, 20_000])
+@pytest.mark.parametrize("band_rows", [7, 2_000])
 def test_targets_and_selection(spark, monkeypatch, band_rows):
     monkeypatch.setattr(mixing, "BAND_ROWS", band_rows)
     rows = sample()
@@ -100,7 +100,8 @@ def test_weight_and_empty(spark):
 
     docs = build(spark, [(i, "a b c d", f"s{i % 3}") for i in range(300)])
     found = mixing.mixed(docs, weight=F.when(F.col("doc_id") < 150, 20.0).otherwise(0.05)).collect()
-    part = [r["taken"] > 0 for r in found if r["target"] < r["source_size"]]
-    early = [r["taken"] > 0 for r in found if r["target"] < r["source_size"] and r["doc_id"] < 150]
-    assert sum(early) >= 0.9 * min(sum(part), len(early))
+    # Of the source with the smallest target (37 of its 100 documents), nearly all that is taken is heavy.
+    least = min(r["target"] for r in found)
+    taken = [r["doc_id"] < 150 for r in found if r["target"] == least and r["taken"]]
+    assert 35 <= len(taken) <= 39 and sum(taken) >= len(taken) - 2
     assert mixing.mixed(docs.limit(0)).count() == 0
