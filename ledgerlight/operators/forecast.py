@@ -278,6 +278,29 @@ def overdraft_risk(forecasts: DataFrame, as_of: str, threshold: float = 0.0) ->
     )
 
 
+# Days ahead that an expected overdraft raises an alert.
+OVERDRAFT_ALERT_DAYS = 7
+
+
+def overdraft_alerts(forecasts: DataFrame, as_of: str, days: int = OVERDRAFT_ALERT_DAYS, threshold: float = 0.0) -> DataFrame:
+    """(account_id, date, days_to_overdraft, forecast) of each account's first breach, if it is within `days`."""
+    breach = forecasts.filter(F.col("forecast") < threshold)
+    first = breach.groupBy("account_id").agg(F.min(F.struct("date", "forecast")).alias("f"))
+    ahead = F.greatest(F.lit(0), F.datediff(F.col("f.date"), F.lit(as_of).cast("date")))
+    out = first.select("account_id", F.col("f.date").alias("date"), ahead.alias("days_to_overdraft"), F.col("f.forecast").alias("forecast"))
+    return out.filter(F.col("days_to_overdraft") <= days)
+
+
+def all_forecasts(days: DataFrame, kinds: dict[str, dict]) -> DataFrame:
+    """The forecasts of several models in one table, told apart by model_type; `kinds` has the options of each."""
+    filled = filled_series(days)
+    parts = [forecast(kind, days, filled, **options) for kind, options in kinds.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def backtest_pairs(days: DataFrame, cutoff: str, horizon: int = HORIZON) -> DataFrame:
     """Trend forecast from the history up to a date against the balances observed afterwards."""
     day = F.lit(cutoff).cast("date")

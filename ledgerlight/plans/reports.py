@@ -91,6 +91,19 @@ def overdraft_risk(spark, d):
     return text_date(out, "date").select("account_id", "date", "overdraft_risk", "high_overdraft_risk", "days_to_overdraft")
 
 
+@query("overdraft_alerts", f"""WITH {DAILY}, {TREND_SQL}, breach AS (SELECT account_id, date, forecast, row_number() OVER (PARTITION BY account_id ORDER BY date) AS r FROM fcast WHERE forecast < 0)
+SELECT account_id, {DATE}, CAST(greatest(0, CAST(date - DATE '{AS_OF}' AS INT)) AS INT) AS days_to_overdraft, forecast FROM breach WHERE r = 1 AND greatest(0, CAST(breach.date - DATE '{AS_OF}' AS INT)) <= 7""", "forecast")
+def overdraft_alerts(spark, d):
+    return text_date(fc.overdraft_alerts(fc.trend_forecast(days(spark, d)), AS_OF), "date")
+
+
+@query("forecast_all")
+def forecast_all(spark, d):
+    """Forecasts of all three models; the series is 30 days long, so the additive one is asked for 25."""
+    kinds = {"simple_trend": {}, "additive": {"min_days": 25}, "seasonal_ar": {}}
+    return text_date(fc.all_forecasts(days(spark, d), kinds), "date")
+
+
 @query("forecast_summary", f"""WITH {DAILY}, {TREND_SQL} SELECT count(*) AS total_forecasts, count(DISTINCT account_id) AS unique_accounts, avg(forecast) AS avg_forecast_value,
   count(DISTINCT CASE WHEN overdraft_risk = 1 THEN account_id END) AS overdraft_risk_accounts, count(DISTINCT date) AS forecast_horizon_days,
   avg(upper_bound - lower_bound) AS avg_forecast_spread FROM fcast""", "avg_forecast_value avg_forecast_spread")

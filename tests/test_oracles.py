@@ -8,8 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from ledgerlight.plans.catalog import ORACLES, QUERIES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Model queries are covered on fixtures in test_models; here a few run end to end.
 SLOW_ROWS_ONLY = {"best_method", "eval_log", "scored_results", "explain_contributions", "explain_global", "surrogate_fit",
                   "feature_catalogue", "forecast_seasonal_ar", "recent_anomalies", "anomaly_mart"}
