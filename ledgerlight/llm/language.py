@@ -43,7 +43,7 @@ def gram_counts(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     A-Z are lower-cased; runs of bytes that are no letter count as one blank; texts begin and end with a blank.
     """
     raw, at = text.buffers(column)
-    for first, last in text.chunks(at, text.CHUNK_BYTES // 2):
+    for first, last in text.chunks(at, text.CHUNK_BYTES // 2, 500):
         rows = last - first
         counts = np.zeros((rows, FEATURES), dtype=np.float32)
         for r in range(rows):

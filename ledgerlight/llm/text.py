@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 2_000_000  # text worked on at once; a longer document is a chunk of its own
+CHUNK_ROWS = 4_000  # short rows worked on at once
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -55,12 +56,12 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at
 
 
-def chunks(at: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most `most` bytes of text, or one longer row."""
+def chunks(at: np.ndarray, most: int = CHUNK_BYTES, rows: int = CHUNK_ROWS) -> Iterator[tuple[int, int]]:
+    """Ranges of at most `rows` rows with at most `most` bytes of text, or one longer row."""
     first, n = 0, len(at) - 1
     while first < n:
         last = int(np.searchsorted(at, at[first] + most, side="right")) - 1
-        last = min(max(last, first + 1), n)
+        last = min(max(last, first + 1), first + rows, n)
         yield first, last
         first = last
 
