@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from ledgerlight.llm import text
 from ledgerlight.llm.components import connected
@@ -15,7 +15,8 @@ from ledgerlight.session import cut
 
 SLOTS = 512
 BAND_ROWS = 8
-SLICES = 64  # parts that members of one bucket are numbered in
+# Shingles of the sets that one task compares with one another at once.
+OTHERS_BLOCK, ALL_BLOCK = 100_000, 400_000
 _U = np.uint64
 
 
@@ -109,14 +110,65 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return held.where(F.expr(f"100L * i >= {percent}L * (nx + ny - i)")).select("a", "b")
 
 
-def _numbered(members: DataFrame) -> DataFrame:
-    """Numbers from 1 in each bucket, counted within slices of it and then added up over the slices."""
-    sliced = members.withColumn("slice", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(SLICES)))
-    before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sliced.groupBy("key", "slice").agg(F.count("*").alias("c"))
-    sums = sums.select("key", "slice", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
-    own = F.row_number().over(Window.partitionBy("key", "slice").orderBy("id"))
-    return sliced.withColumn("own", own).join(sums, ["key", "slice"]).select("key", "id", "n", "members", (F.col("base") + F.col("own")).alias("rank"))
+def _comparer(percent: int) -> Callable:
+    def compare(others: pd.DataFrame, everyone: pd.DataFrame) -> pd.DataFrame:
+        """Links between two blocks of a bucket, leaving out pairs that are in one component by then."""
+        out: list[tuple[int, int]] = []
+        if len(others) and len(everyone):
+            label = {c: c for c in {*others["c"].tolist(), *everyone["c"].tolist()}}
+
+            def root(c: int) -> int:
+                while label[c] != c:
+                    label[c] = label[label[c]]
+                    c = label[c]
+                return c
+
+            ids, comps, n = everyone["id"].to_numpy(), everyone["c"].to_numpy(), everyone["n"].to_numpy()
+            aside = everyone["aside"].to_numpy()
+            flat = np.concatenate(everyone["shingles"].to_list())
+            begins = np.concatenate(([0], np.cumsum(n)[:-1]))
+            for x, cx, nx, own in zip(others["id"], others["c"], others["n"], others["shingles"], strict=True):
+                at = np.minimum(np.searchsorted(own, flat), nx - 1)
+                both = np.add.reduceat((own[at] == flat).astype(np.int64), begins)
+                # Of two members of the smaller components, one looks at the other.
+                linked = (100 * both >= percent * (nx + n - both)) & (ids != x) & ~(aside & (ids < x))
+                for j in np.flatnonzero(linked):
+                    a, b = root(cx), root(comps[j])
+                    if a != b:
+                        label[max(a, b)] = min(a, b)
+                        out.append((x, int(ids[j])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return compare
+
+
+def _within(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components inside the buckets of `left` (key, id, n, c).
+
+    Members of a bucket's largest component are compared with those of its others only. Both sides are cut into blocks
+    of bounded size, every pair of blocks is a group of its own, and only links leave it.
+    """
+    sizes = left.groupBy("key", "c").agg(F.count("*").alias("rows"), F.sum("n").alias("s"))
+    bucket = sizes.groupBy("key").agg(F.max(F.struct("rows", "c", "s")).alias("main"), F.sum("s").alias("s"))
+    blocks = bucket.select(
+        "key",
+        F.col("main.c").alias("main"),
+        F.ceil((F.col("s") - F.col("main.s")) / OTHERS_BLOCK).cast("int").alias("na"),
+        F.ceil(F.col("s") / ALL_BLOCK).cast("int").alias("nb"),
+    )
+    held = left.drop("n").join(sets, "id").withColumn("n", F.size("shingles")).where("n > 0")
+    members = cut(held.join(blocks, "key").withColumn("aside", F.col("c") != F.col("main")), "blocks")
+
+    def part(count: str):
+        return F.pmod(F.xxhash64("id", F.lit(7)), F.col(count)).cast("int")
+
+    def numbers(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    columns = [F.col(c).alias(c) for c in ("key", "id", "n", "c", "aside", "shingles")]
+    others = members.where("aside").select("key", "id", "n", "c", "shingles", part("na").alias("i"), numbers("nb").alias("j"))
+    everyone = members.select(*columns, part("nb").alias("j"), numbers("na").alias("i"))
+    return others.groupBy("key", "i", "j").cogroup(everyone.groupBy("key", "i", "j")).applyInPandas(_comparer(percent), "a long, b long")
 
 
 def near_duplicates(
@@ -134,11 +186,11 @@ def near_duplicates(
     shingles (A-Z lower-cased, ASCII white space; with fewer words the whole sequence is the only shingle).
 
     Documents with equal sets are one node from the start. Nodes whose signatures agree in a whole band share a bucket;
-    at 8 of 512 slots a band, a pair at 80 % shares none with probability 8e-6. In a bucket, members are compared with
-    leaders: first the smallest member, then two others, eight, 32 and so on. Members that already are in their leader's
-    component are left out, as are sets whose sizes rule a link out. Rounds end when each bucket is one component or every member
-    has been a leader, so no link that could join two components stays untested, and a group of copies never becomes
-    all its pairs. Set equality and intersections rest on 64-bit hashes (two of them for equality).
+    at 8 of 512 slots a band, a pair at 80 % shares none with probability 8e-6. In a bucket, members are first compared
+    with the smallest member (sets whose sizes rule a link out are not). That makes most buckets one component. In the
+    others, members of different components are compared block by block inside tasks, where pairs that have come into
+    one component meanwhile are passed over, and only links leave a task. So no link that could join two components
+    stays untested, and a group of copies never becomes a table of its pairs. Set equality and intersections rest on 64-bit hashes (two of them for equality).
 
     Empty and null texts have no shingles and are linked with nothing. Rows that share an id are one document. Rows with
     a null id are linked with nothing, have a null component_id and are kept. An empty table gives no rows; further
@@ -166,30 +218,20 @@ def near_duplicates(
     links = _confirmed(first.select(F.col("leader.id").alias("a"), F.col("id").alias("b")).distinct(), sets, percent)
     labels = cut(connected(links), "labels")
 
-    rest, done, width = None, 0, 2
-    while True:
-        if rest is None:
-            seen = members.where("members > 2").drop("leader")
-        else:
-            seen = rest
-        seen = seen.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-        split = seen.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.max("members").alias("m"))
-        split = split.where(f"x <> y AND m > {done + 1}").select("key")
-        left = seen.join(split, "key", "left_semi")
-        if rest is None:
-            rest = cut(_numbered(left), "rest")
-            if rest.isEmpty():
-                break
-            continue
-        left = cut(left, "rest")
-        if left.isEmpty():
-            break
-        heads = left.where(f"rank > {done} AND rank <= {done + width}").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("rank").alias("ra"))
-        pairs = left.join(heads, "key").where("rank > ra AND c <> ca AND " + near.format("n", "na"))
-        found = _confirmed(pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), sets, percent)
+    def labelled(rows: DataFrame) -> DataFrame:
+        named = labels.withColumnRenamed("node", "id")
+        return rows.join(named, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+
+    def unfinished(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
+        return ends.where("x <> y").select("key")
+
+    # A bucket is done when it is one component, or has two members, which have met.
+    seen = labelled(members.where("members > 2").select("key", "id", "n"))
+    left = cut(seen.join(unfinished(seen), "key", "left_semi"), "left")
+    if not left.isEmpty():
         known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = cut(connected(known.union(found)), "labels")
-        rest, done, width = left.drop("c"), done + width, width * 4
+        labels = cut(connected(known.union(_within(left, sets, percent))), "labels")
 
     groups = nodes.select("s1", "s2", "n", F.col("id").alias("node")).join(labels, "node", "left")
     groups = groups.select("s1", "s2", F.col("n").alias("n_set"), F.coalesce("component", "node").alias("component"))
