@@ -143,11 +143,9 @@ def edited(docs: DataFrame, words: np.ndarray, id_col: str = "doc_id", text_col:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column("id"))
-            texts = batch.column("text").to_pylist()
-            for a in range(0, len(texts), 500):
-                part, own = texts[a : a + 500], ids[a : a + 500]
-                prints = [x.tobytes() for x in _prints(part, words)]
+            for a in range(0, len(batch), 500):
+                some = batch.slice(a, 500)
+                own = np.asarray(some.column("id"))
                 at = np.searchsorted(bounds, own, side="right") - 1
                 begins = bounds[at] == own
                 # Each row: to its slice, where it takes its next unless it is the first; those to the slice before.
@@ -157,33 +155,35 @@ def edited(docs: DataFrame, words: np.ndarray, id_col: str = "doc_id", text_col:
                 where = np.concatenate([at, at[begins] - 1, np.full(around.sum(), -1)])
                 takes = np.concatenate([~begins, np.ones(begins.sum(), dtype=bool), np.zeros(around.sum(), dtype=bool)])
                 last = np.concatenate([np.zeros(len(own) + begins.sum(), dtype=bool), np.ones(around.sum(), dtype=bool)])
-                some = batch.slice(a, len(part))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(where.astype(np.int64)),
                         pa.array(last),
                         pa.array(takes),
                         *[some.column(c).take(pa.array(pick)) for c in ("doc", "id", "text")],
-                        pa.array([prints[i] for i in pick], pa.binary()),
                     ],
-                    names=["slice", "last", "takes", "doc", "id", "text", "print"],
+                    names=["slice", "last", "takes", "doc", "id", "text"],
                 )
 
-    dealt = rows.mapInArrow(deal, "slice long, last boolean, takes boolean, doc long, id long, text string, print binary")
+    dealt = rows.mapInArrow(deal, "slice long, last boolean, takes boolean, doc long, id long, text string")
     dealt = dealt.repartition("slice").sortWithinPartitions("slice", "last", F.col("id").desc(), "text")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            out: list[tuple] = []
-            texts: list[str] = []
-            for row in zip(*[batch.column(c).to_pylist() for c in ("slice", "takes", "doc", "text", "print")], strict=True):
-                if held is not None and held[1] and held[0] == row[0]:
-                    half = len(held[3]) // 2
-                    texts.append(held[3][: len(held[3]) - half] + row[3][:half])
-                    out.append((held[2], len(held[3]), np.frombuffer(held[4], dtype=np.uint16), np.frombuffer(row[4], dtype=np.uint16)))
-                held = row
-            if out:
+            for a in range(0, len(batch), 500):
+                some = batch.slice(a, 500)
+                columns = [some.column(c).to_pylist() for c in ("slice", "takes", "doc", "text")]
+                out: list[tuple] = []
+                texts: list[str] = []
+                for row in zip(*columns, _prints(columns[3], words), strict=True):
+                    if held is not None and held[1] and held[0] == row[0]:
+                        half = len(held[3]) // 2
+                        texts.append(held[3][: len(held[3]) - half] + row[3][:half])
+                        out.append((held[2], len(held[3]), held[4], row[4]))
+                    held = row
+                if not out:
+                    continue
                 found = _prints(texts, words)
                 yield pa.RecordBatch.from_arrays(
                     [
