@@ -54,7 +54,8 @@ def without_boilerplate(
     """
     rows = pages.select(F.col(id_col), host(F.col(url_col)).alias("host"), html_lines(F.col(html_col)).alias("lines"))
     common = boilerplate(rows, ratio, least_pages)
-    joined = rows.join(common, "host", "left")
+    # A sort-merge join, whose hot partitions are split at run time; a late broadcast would leave them whole.
+    joined = rows.join(common.hint("merge"), "host", "left")
     dropped = F.coalesce("boilerplate", F.array().cast("array<bigint>"))
     kept = F.filter("lines", lambda x: ~F.array_contains(dropped, F.xxhash64(x)))
     joined = joined.select(id_col, "host", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))
