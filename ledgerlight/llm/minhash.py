@@ -187,7 +187,7 @@ def near_duplicates(
 
     Documents with equal sets are one node from the start. Nodes whose signatures agree in a whole band share a bucket;
     at 8 of 512 slots a band, a pair at 80 % shares none with probability 8e-6. In a bucket, members are first compared
-    with the smallest member (sets whose sizes rule a link out are not). That makes most buckets one component. In the
+    with the smallest member. That makes most buckets one component. In the
     others, members of different components are compared block by block inside tasks, where pairs that have come into
     one component meanwhile are passed over, and only links leave a task. So no link that could join two components
     stays untested, and a group of copies never becomes a table of its pairs. Set equality and intersections rest on 64-bit hashes (two of them for equality).
@@ -203,7 +203,7 @@ def near_duplicates(
     keys = nodes.select("id", "n", F.explode("bands").alias("key"))
 
     buckets = keys.groupBy("key").agg(
-        F.count("*").alias("members"), F.min(F.struct("id", "n")).alias("leader"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("mark")
+        F.count("*").alias("members"), F.min("id").alias("leader"), F.bit_xor(F.xxhash64("id")).alias("mark")
     ).where("members > 1")
     # Bands with the same members are one bucket.
     buckets = buckets.groupBy("mark", "members", "leader").agg(F.min("key").alias("key"))
@@ -212,10 +212,8 @@ def near_duplicates(
     wanted = members.select("id").distinct()
     sets = named.join(wanted.hint("shuffle_hash"), "id", "left_semi")
     sets = cut(sets.mapInArrow(_shingler(shingle), "id long, shingles array<long>"), "sets")
-    near = "100L * least({0}, {1}) >= " + str(percent) + "L * greatest({0}, {1})"
-
-    first = members.where("id <> leader.id AND " + near.format("n", "leader.n"))
-    links = _confirmed(first.select(F.col("leader.id").alias("a"), F.col("id").alias("b")).distinct(), sets, percent)
+    first = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    links = _confirmed(first, sets, percent)
     labels = cut(connected(links), "labels")
 
     def labelled(rows: DataFrame) -> DataFrame:
