@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from ledgerlight.session import scratch_dir
+from ledgerlight.session import cut, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-CACHED = 400_000  # encoded pieces that a worker remembers; a bound on memory only
+CACHED = 600_000  # encoded words in each of two generations that a worker remembers; a bound on memory only
 GROUP_BYTES = 4_000_000  # text whose unknown pieces are encoded in one call
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -46,11 +47,12 @@ class Encoder:
         special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r"\s\s", *special]))
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.marks = dict(zip(".,", self._ids([".", ","]), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -66,22 +68,22 @@ class Encoder:
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if self.whole.search(t) else t.split(" ") for t in texts]
+        if len(self.known) > CACHED:
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        seen = set().union(*[parts[1:] for parts in split if parts]).difference(known)
+        for w in seen.intersection(before):
+            known[w] = before[w]
         new: dict[str, None] = {}
-        marked: dict[str, None] = {}
-        known = self.known
-        if len(known) > CACHED:
-            known.clear()
-        for parts in split:
-            if parts:
-                for w in parts[1:]:
-                    if w not in known:
-                        # A mark after letters is a piece of its own.
-                        if w[-1:] in self.marks and w[:-1].isalpha():
-                            marked[w] = None
-                            if w[:-1] not in known:
-                                new[w[:-1]] = None
-                        else:
-                            new[w] = None
+        marked: list[str] = []
+        for w in seen.difference(before):
+            # A mark after letters is a piece of its own.
+            if w[-1:] in self.marks and w[:-1].isalpha():
+                marked.append(w)
+                if w[:-1] not in known:
+                    new[w[:-1]] = None
+            else:
+                new[w] = None
         known.update(zip(new, self._ids([" " + w for w in new]), strict=True))
         known.update({w: known[w[:-1]] + self.marks[w[-1]] for w in marked})
         odd = iter(self._ids([t if p is None else p[0] for t, p in zip(texts, split, strict=True)]))
@@ -90,12 +92,21 @@ class Encoder:
             yield head if parts is None else head + b"".join(map(known.__getitem__, parts[1:]))
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(vocabulary: str) -> Encoder:
+    """The worker's own encoder, which goes on from task to task."""
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = Encoder(vocabulary)
+    return _encoders[vocabulary]
+
+
 def _writer(vocabulary: str, end_id: int) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, position = None, 0
+        encoder, position = _encoder(vocabulary), 0
         tail = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            encoder = encoder or Encoder(vocabulary)
             ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             packed, rows, first, size = [], [], 0, 0
             for n, piece in enumerate(encoder.encode([t or "" for t in texts])):
@@ -153,7 +164,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     Starts are sums over the files, a row each, and then over a file's own documents.
     """
     rows = read(spark, path).withColumn("file", F.col("_metadata.file_name"))
-    rows = rows.mapInArrow(_sum_up, "doc_id long, file string, position long, n_tokens long, ids_crc32 long")
+    rows = cut(rows.mapInArrow(_sum_up, "doc_id long, file string, position long, n_tokens long, ids_crc32 long"), "index")
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("all"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base"))
