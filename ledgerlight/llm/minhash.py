@@ -128,6 +128,8 @@ def _comparer(percent: int) -> Callable:
             flat = np.concatenate(everyone["shingles"].to_list())
             begins = np.concatenate(([0], np.cumsum(n)[:-1]))
             for x, cx, nx, own in zip(others["id"], others["c"], others["n"], others["shingles"], strict=True):
+                # Hashes ascend as unsigned numbers and come as signed ones, so they are not in order here.
+                own = np.sort(own)
                 at = np.minimum(np.searchsorted(own, flat), nx - 1)
                 both = np.add.reduceat((own[at] == flat).astype(np.int64), begins)
                 # Of two members of the smaller components, one looks at the other.

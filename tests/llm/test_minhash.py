@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from ledgerlight.llm import components, minhash, text
@@ -78,6 +80,45 @@ def test_equals_all_pairs(spark, k):
     assert run(spark, rows, shingle=k) == brute(rows, k, 80)
 
 
+def test_only_members_behind_the_leader_are_alike(spark):
+    """One band holds all three; the leader is like neither of the others, which are like one another."""
+    rng = random.Random(4)
+    for _ in range(500):
+        base = [f"w{rng.random()}" for _ in range(100)]
+        near = base[:97] + [f"n{rng.random()}" for _ in range(3)]
+        leader = [f"l{rng.random()}" for _ in range(25)] + base[25:]
+        rows = [(1, " ".join(leader)), (2, " ".join(base)), (3, " ".join(near))]
+        sets = [s for _, part in text.word_shingles(pa.array([t for _, t in rows]), 5) for s in part]
+        sig = minhash.super_minhash(np.concatenate(sets), np.repeat([0, 1, 2], [len(s) for s in sets]), 3, 4)
+        if len(set(minhash.band_keys(sig, 4)[:, 0].tolist())) == 1:
+            break
+    else:
+        raise AssertionError("no fixture with a common band")
+    expected = brute(rows, 5, 80)
+    assert {(d, c) for d, _, c, _ in expected} == {(1, 1), (2, 2), (3, 2)}
+    assert run(spark, rows, slots=4, band_rows=4) == expected
+
+
+@pytest.mark.parametrize("size", [1, 5, 10, 30, 97, 400])
+def test_comparer_counts_like_set_intersection(size):
+    rng = np.random.default_rng(size)
+    sets = []
+    for _ in range(12):
+        own = rng.integers(0, 2**64, size, dtype=np.uint64)
+        sets.append(own)
+        for share in (0.0, 0.05, 0.15, 0.3):
+            new = rng.random(size) < share
+            sets.append(np.where(new, rng.integers(0, 2**64, size, dtype=np.uint64), own))
+    sets = [np.unique(s).view(np.int64) for s in sets]
+    for i, x in enumerate(sets):
+        others = pd.DataFrame({"id": [i], "c": [i], "n": [len(x)], "shingles": [x]})
+        for j, y in enumerate(sets):
+            everyone = pd.DataFrame({"id": [j], "c": [j], "n": [len(y)], "aside": [False], "shingles": [y]})
+            both = len(np.intersect1d(x, y))
+            wanted = [(i, j)] if i != j and 100 * both >= 80 * (len(x) + len(y) - both) else []
+            assert list(minhash._comparer(80)(others, everyone).itertuples(index=False, name=None)) == wanted
+
+
 def test_long_text_and_copies(spark):
     rng = random.Random(1)
     long = " ".join(f"u{rng.randrange(50_000)}" for _ in range(60_000))
