@@ -22,18 +22,18 @@ def _text_window(df):
 @query("stream_hourly_counts", f"""WITH {TXN} SELECT account_id, strftime(date_trunc('hour', timestamp), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS txn_count
   FROM txn GROUP BY 1, 2""")
 def stream_hourly_counts(spark, d):
-    return _text_window(st.run_update(st.hourly_counts(st.transaction_stream(spark, d)), "hourly", WINDOW_KEYS))
+    return _text_window(st.run_update(st.hourly_counts(st.transaction_stream(spark, d)), "hourly", WINDOW_KEYS, whole=True))
 
 
 @query("stream_velocity", f"""WITH {TXN} SELECT account_id, strftime(date_trunc('hour', timestamp) - CAST(i AS INT) * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_start,
   count(*) AS txn_count FROM txn CROSS JOIN (SELECT unnest(generate_series(0, 23)) AS i) g GROUP BY 1, 2""")
 def stream_velocity(spark, d):
-    return _text_window(st.run_update(st.sliding_velocity(st.transaction_stream(spark, d)), "velocity", WINDOW_KEYS))
+    return _text_window(st.run_update(st.sliding_velocity(st.transaction_stream(spark, d)), "velocity", WINDOW_KEYS, whole=True))
 
 
 @query("stream_rapid_fire", f"WITH {TXN}, {RISK_SQL} SELECT transaction_id, rapid_fire FROM flags")
 def stream_rapid_fire(spark, d):
-    return st.run_append(st.rapid_fire(st.transaction_stream(spark, d)), "rapid")
+    return st.run_append(st.rapid_fire(st.transaction_stream(spark, d)), "rapid", whole=True)
 
 
 @query("stream_cooldown", f"""WITH RECURSIVE {TXN}, fraud AS (SELECT transaction_id, account_id, epoch_us(timestamp) AS us FROM txn WHERE is_fraud = 1),
@@ -43,14 +43,15 @@ chain AS (SELECT account_id, min(us) AS us FROM fraud GROUP BY 1
 SELECT transaction_id, account_id FROM fraud JOIN chain USING (account_id, us)""")
 def stream_cooldown(spark, d):
     fraud = st.transaction_stream(spark, d).filter(F.col("is_fraud") == 1)
-    return st.run_append(st.cooldown(fraud), "cooldown")
+    return st.run_append(st.cooldown(fraud), "cooldown", whole=True)
 
 
 @query("stream_dedup", f"WITH {TXN} SELECT transaction_id, account_id, amount FROM txn", "amount")
 def stream_dedup(spark, d):
     """Every event delivered twice, kept once."""
-    twice = st.transaction_stream(spark, d).union(st.transaction_stream(spark, d))
-    return st.run_append(st.deduplicated(twice), "dedup").select("transaction_id", "account_id", "amount")
+    once = st.transaction_stream(spark, d)
+    twice = once.union(once)
+    return st.run_append(st.deduplicated(twice), "dedup", whole=True).select("transaction_id", "account_id", "amount")
 
 
 STATELESS = ["amount_abs", "amount_log", "is_debit", "hour_of_day", "day_of_week", "is_weekend", "is_night"]

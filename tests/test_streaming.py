@@ -75,3 +75,31 @@ def test_source_reads_a_table_folder(spark, tmp_path):
     got = streams.run_append(streams.transaction_stream(spark, str(tmp_path)), "folder")
     want = streams.run_append(streams.transaction_stream(spark, "/root/testdata/sf0.001"), "file")
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 1000
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark, tmp_path_factory):
+    """The events in 200 files, not in order of time: with 64 a batch, rows of the third batch come behind the watermark."""
+    folder = tmp_path_factory.mktemp("shuffled")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(200).write.parquet(f"{folder}/events.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/nation.parquet").write.parquet(f"{folder}/nation.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["stream_hourly_counts", "stream_rapid_fire", "stream_cooldown", "stream_dedup"])
+def test_shuffled_files_lose_no_rows(spark, shuffled, monkeypatch, name):
+    from ledgerlight.plans.streams import stream_cooldown, stream_dedup, stream_hourly_counts, stream_rapid_fire
+
+    run = {f.__name__: f for f in (stream_hourly_counts, stream_rapid_fire, stream_cooldown, stream_dedup)}[name]
+    want = sorted(run(spark, "/root/testdata/sf0.001").collect())
+    monkeypatch.setattr(st, "BATCH_ROWS", 300, raising=False)
+    assert sorted(run(spark, shuffled).collect()) == want
+
+
+def test_dropped_rows_are_counted(spark, tmp_path):
+    stream = feed(spark, tmp_path / "in", [[("a", "x", "2024-01-01 10:00:00")], [("b", "x", "2024-01-01 15:00:00")], [("late", "x", "2024-01-01 09:00:00")]])
+    with pytest.warns(UserWarning, match="1 rows"):
+        st.run_append(st.deduplicated(stream), "late")
+    assert st.dropped_rows["late"] == 1
+    with pytest.raises(ValueError, match="behind the watermark"):
+        st.run_append(st.deduplicated(stream), "late", whole=True)
