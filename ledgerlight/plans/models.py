@@ -19,9 +19,6 @@ from ledgerlight.sources import files
 
 ID = "transaction_id"
 NOT_FEATURES = ["is_fraud"]
-# Trees in the registered model queries; the functions' own defaults are larger.
-FOREST_TREES = 100
-SURROGATE_ITERATIONS = 20
 
 
 def feature_table(spark, d):
@@ -160,7 +157,7 @@ def reconstruction_scores(spark, d):
 @query("rf_scores")
 def rf_scores(spark, d):
     m, features = matrix(spark, d)
-    model = sup.fit_random_forest(m, features, n_trees=FOREST_TREES)
+    model = sup.fit_random_forest(m, features)
     return sup.score_random_forest(m, model).select(ID, "is_fraud", "rf_score")
 
 
@@ -178,7 +175,7 @@ def ensemble_table(spark, d):
     m, features = matrix(spark, d)
     scaled = prep.scale(m, prep.fit_scaler(m, features))
     iso = iforest.fit(scaled, ID, features).score(scaled, "iso_score").select(ID, "iso_score")
-    rf = sup.score_random_forest(m, sup.fit_random_forest(m, features, n_trees=FOREST_TREES))
+    rf = sup.score_random_forest(m, sup.fit_random_forest(m, features))
     scored = cut(rf.join(iso, ID))
     scored = sup.ensemble(scored)
     scored = prep.flag_top(scored, "iso_score", 0.05, "iso_flag")
@@ -222,8 +219,8 @@ def model_roundtrip(spark, d):
     """Saved and loaded models score as the fitted ones do."""
     m, features = matrix(spark, d)
     path = scratch_dir(spark, "models")
-    forest = iforest.fit(m, ID, features, n_trees=50)
-    trees = sup.fit_random_forest(m, features, n_trees=10, depth=6)
+    forest = iforest.fit(m, ID, features)
+    trees = sup.fit_random_forest(m, features)
     forest.save(spark, f"{path}/iforest")
     trees.write().overwrite().save(f"{path}/random_forest")
     again = sup.score_random_forest(sup.score_random_forest(m, trees, "a"), PipelineModel.load(f"{path}/random_forest"), "b")
@@ -239,7 +236,7 @@ def model_roundtrip(spark, d):
 def feature_importance(spark, d):
     """Ten most important features of the forest, names taken from the columns it was fitted on."""
     m, features = matrix(spark, d)
-    model = sup.fit_random_forest(m, features, n_trees=FOREST_TREES)
+    model = sup.fit_random_forest(m, features)
     return spark.createDataFrame(sup.importances(model, features)[:10], "feature string, importance double")
 
 
@@ -273,7 +270,7 @@ def txn_detail(spark, d):
 def explained(spark, d):
     m, features = matrix(spark, d)
     scored = cut(iforest.fit(m, ID, features).score(m))
-    model, split = sup.fit_surrogate(scored, features, "anomaly_score", iterations=SURROGATE_ITERATIONS)
+    model, split = sup.fit_surrogate(scored, features, "anomaly_score")
     trees = ex.tree_sum(model, features, spark)
     return trees.explain(split), trees, model
 
@@ -288,7 +285,7 @@ def explain_background(spark, d):
 def surrogate_fit(spark, d):
     m, features = matrix(spark, d)
     scored = cut(iforest.fit(m, ID, features).score(m))
-    model, split = sup.fit_surrogate(scored, features, "anomaly_score", iterations=SURROGATE_ITERATIONS)
+    model, split = sup.fit_surrogate(scored, features, "anomaly_score")
     return sup.accuracy(model, split)
 
 

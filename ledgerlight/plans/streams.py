@@ -65,6 +65,6 @@ def stateless_features(df):
 def stream_score(spark, d):
     """Model fitted on the stored rows, applied to the stream."""
     known = stateless_features(src.transactions(spark, d))
-    model = sup.fit_random_forest(known, STATELESS, n_trees=20, depth=8)
+    model = sup.fit_random_forest(known, STATELESS)
     live = stateless_features(st.transaction_stream(spark, d)).select("transaction_id", "is_fraud", *STATELESS)
     return st.run_append(st.score(live, model), "scores").select("transaction_id", "is_fraud", "score")

@@ -139,3 +139,29 @@ def test_forest_learns_the_label(spark):
 def test_ensemble_without_supervised_scores(points):
     out = sup.ensemble(points.withColumn("iso_score", F.abs("a")), rf=None)
     assert out.filter(F.col("ensemble_score") != F.col("iso_score")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["rf_scores", "ensemble_table", "feature_importance", "surrogate_fit", "explained", "model_roundtrip", "stream_score"])
+def test_registered_models_have_full_size(monkeypatch, name):
+    """The fits get no sizes of their own, so the functions' defaults hold."""
+    from unittest.mock import MagicMock
+
+    from ledgerlight.plans import models, streams
+
+    calls = []
+
+    def fit(*args, **sizes):
+        calls.append(sizes)
+        return MagicMock()
+
+    surrogate = lambda *a, **k: (fit(*a, **k), MagicMock())
+    monkeypatch.setattr(models, "sup", MagicMock(fit_random_forest=fit, fit_surrogate=surrogate))
+    monkeypatch.setattr(streams, "sup", models.sup)
+    monkeypatch.setattr(models, "iforest", MagicMock(**{"fit.side_effect": lambda *a, **k: calls.append(k) or MagicMock()}))
+    for module, mocked in ((models, ("prep", "ex", "cut", "PipelineModel", "scratch_dir", "F", "ev")), (streams, ("src", "st", "stateless_features"))):
+        for m in mocked:
+            monkeypatch.setattr(module, m, MagicMock())
+    monkeypatch.setattr(models, "matrix", lambda *a: (MagicMock(), ["x"]))
+    models.F.col.return_value.__gt__ = lambda *a: MagicMock()
+    getattr(streams if name == "stream_score" else models, name)(MagicMock(), "folder")
+    assert calls and not any(calls)
