@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlight.llm import decontaminate, imatch, language, minhash, mixing, pii, quality, site_lines, token_files, warc
+from ledgerlight.llm import decontaminate, imatch, language, licenses, minhash, mixing, pii, quality, site_lines, token_files, warc
 from ledgerlight.session import configure, cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,8 @@ SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::B
 @query("op10_site_lines", SITE_LINES_SQL)
 def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.without_boilerplate(table(spark, sf_dir, "pages"))
+
+
+@query("op11_license_notices")
+def license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))

@@ -28,9 +28,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_BYTE = _BYTE[_LOWER]
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_BYTE = _BYTE[LOWER]
 WHITE_SPACE = np.zeros(256, dtype=bool)
 WHITE_SPACE[[32, *range(9, 14)]] = True
 NO_WORD = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
@@ -66,16 +66,17 @@ def chunks(at: np.ndarray, most: int = CHUNK_BYTES, rows: int = CHUNK_ROWS) -> I
         first = last
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray, between: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, A-Z lower-cased and split at the bytes in `between`, and each row's range in that array.
+def word_spans(raw: np.ndarray, at: np.ndarray, between: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The rows' bytes, the places of every word's first and last byte in them, and each row's range of words.
 
-    `at` holds the rows' offsets in `raw`; words never reach over the end of a row.
+    `at` holds the rows' offsets in `raw`; words are split at the bytes in `between` and never reach over the end of a row.
     """
     begin = int(at[0])
     text = raw[begin : int(at[-1])]
     rows = len(at) - 1
     if not len(text):
-        return np.zeros(0, dtype=np.uint64), np.zeros(rows + 1, dtype=np.int64)
+        none = np.zeros(0, dtype=np.int64)
+        return text, none, none, np.zeros(rows + 1, dtype=np.int64)
     space = between[text]
     word = ~space
     starts, ends = word.copy(), word.copy()
@@ -86,11 +87,23 @@ def word_hashes(raw: np.ndarray, at: np.ndarray, between: np.ndarray = WHITE_SPA
     starts[edges] |= word[edges]
     ends[edges - 1] |= word[edges - 1]
     first, last = np.flatnonzero(starts), np.flatnonzero(ends)
+    return text, first, last, np.searchsorted(first, at - begin)
+
+
+def span_hashes(text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from each `first` to its `last`, A-Z lower-cased."""
+    if not len(first):
+        return np.zeros(0, dtype=np.uint64)
     up, down = _power_tables(len(text))
     sums = np.cumsum(_BYTE[text] * up)
     before = np.where(first > 0, sums[first - 1], _U(0))
-    hashes = mix((sums[last] - before) * down[first] + (last - first).astype(np.uint64) * _STEPS[3])
-    return hashes, np.searchsorted(first, at - begin)
+    return mix((sums[last] - before) * down[first] + (last - first).astype(np.uint64) * _STEPS[3])
+
+
+def word_hashes(raw: np.ndarray, at: np.ndarray, between: np.ndarray = WHITE_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, A-Z lower-cased and split at the bytes in `between`, and each row's range in that array."""
+    text, first, last, ranges = word_spans(raw, at, between)
+    return span_hashes(text, first, last), ranges
 
 
 def shingle_hashes(words: np.ndarray, ranges: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
