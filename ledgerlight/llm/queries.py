@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlight.llm import decontaminate, imatch, language, licenses, minhash, mixing, pii, quality, site_lines, token_files, warc
+from ledgerlight.llm import decontaminate, imatch, language, licenses, minhash, mixing, pii, quality, search, site_lines, token_files, warc
 from ledgerlight.session import configure, cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,28 @@ def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_license_notices")
 def license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def _terms_sql(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+SEARCH_SQL = f"""
+WITH d AS (SELECT doc_id, {_terms_sql('text')} AS w FROM documents),
+b AS (SELECT item_id, term, count(*) AS often FROM (SELECT item_id, unnest({_terms_sql('text')}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark) i) GROUP BY ALL),
+c AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, len AS n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS len, unnest(w) AS term FROM d) x WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+wt AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, c GROUP BY term, n_docs),
+s AS (
+  SELECT item_id, doc_id, sum(often * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM tf JOIN wt USING (term) JOIN b USING (term), c GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) r WHERE rank <= 20
+"""
+
+
+@query("op12_ranked_search", SEARCH_SQL)
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
