@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlight.llm import decontaminate, imatch, language, licenses, minhash, mixing, pii, quality, search, site_lines, token_files, warc
+from ledgerlight.llm import collocations, decontaminate, imatch, language, licenses, minhash, mixing, pii, quality, search, site_lines, token_files, warc
 from ledgerlight.session import configure, cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +206,36 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 @query("op12_ranked_search", SEARCH_SQL)
 def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+COLLOCATIONS_SQL = """
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM t),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+f AS (
+  SELECT lang, k, array_to_string(list_slice(w, s, s + k - 1), ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 100
+),
+c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+s AS (
+  SELECT c.lang, c.phrase, c.a, c.size, cut, x.f AS l, y.f AS r, n.n, ((1000::HUGEINT * c.a::HUGEINT * n.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS cut FROM c) c JOIN n ON n.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.k = cut AND x.phrase = array_to_string(list_slice(w, 1, cut), ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = size - cut AND y.phrase = array_to_string(list_slice(w, cut + 1, size), ' ')
+),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM s) q WHERE place = 1),
+i AS (
+  SELECT lang, array_to_string(list_slice(w, u, u + v - 1), ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, size - v + 2)) AS u FROM (SELECT *, unnest(range(2, size)) AS v FROM c)) GROUP BY ALL
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score
+FROM (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 100 * a) q
+WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATIONS_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
