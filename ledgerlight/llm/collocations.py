@@ -17,8 +17,8 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 DICTIONARY = 2_000_000  # frequent words that a pass over the texts looks up
-FILTER_KEYS = 1_000_000  # distinct keys that a task gathers before it hands them on, about
-SHARD_KEYS = 1_000_000  # occurrences for each shard of the filters
+FILTER_KEYS = 500_000  # distinct keys that a task gathers before it hands them on, about
+SHARD_KEYS = 500_000  # occurrences for each shard of the filters
 TABLE_BITS = 26  # a table of frequent shorter phrases has 2 ** 26 bits at most
 
 _U = np.uint64
