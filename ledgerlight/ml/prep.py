@@ -116,8 +116,8 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.8, se
     )
 
 
-def flag_top(df: DataFrame, score: str, share: float, name: str) -> DataFrame:
-    """1 for scores above the (1 - share) quantile."""
+def flag_top(df: DataFrame, score: str, share: float, name: str, known: DataFrame | None = None) -> DataFrame:
+    """1 for scores above the (1 - share) quantile of `known`, by default of the rows themselves."""
     from ledgerlight.operators.cells import quantile
 
-    return df.withColumn(name, (F.col(score) > quantile(df, score, 1.0 - share).scalar()).cast("int"))
+    return df.withColumn(name, (F.col(score) > quantile(df if known is None else known, score, 1.0 - share).scalar()).cast("int"))

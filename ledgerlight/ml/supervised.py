@@ -18,6 +18,12 @@ ENSEMBLE_QUANTILE = 0.97
 SURROGATE_QUANTILE = 0.9
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows over at least as many tasks as the session has cores: a table of few files would be one task's work."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
 def with_class_weight(df: DataFrame, label: str) -> DataFrame:
     """Balanced class weights as a column; two classes, so the table becomes a small expression."""
     weights = {r[label]: r["weight"] for r in class_weights(df, label).collect()}
@@ -40,11 +46,11 @@ def fit_random_forest(df: DataFrame, features: list[str], label: str = "is_fraud
         maxMemoryInMB=1024,
     )
     stages = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), forest]
-    return Pipeline(stages=stages).fit(with_class_weight(df, label))
+    return Pipeline(stages=stages).fit(dealt(with_class_weight(df, label)))
 
 
 def score_random_forest(df: DataFrame, model, name: str = "rf_score") -> DataFrame:
-    out = model.transform(df)
+    out = model.transform(df if df.isStreaming else dealt(df))
     return out.withColumn(name, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
@@ -73,17 +79,24 @@ def score_reconstruction(scaled: DataFrame, model, features: list[str], name: st
     return out.withColumn(name, left / len(features)).drop("features", "components")
 
 
-def ensemble(df: DataFrame, iso: str = "iso_score", rf: str | None = "rf_score", q: float = ENSEMBLE_QUANTILE) -> DataFrame:
-    """Min-max scaled forest score and supervised score by weight; above the quantile is flagged."""
+def ensemble(
+    df: DataFrame, iso: str = "iso_score", rf: str | None = "rf_score", q: float = ENSEMBLE_QUANTILE, known: DataFrame | None = None
+) -> DataFrame:
+    """Min-max scaled forest score and supervised score by weight; above the quantile is flagged.
+
+    Minimum, maximum and quantile are those of `known` (by default of the rows themselves), so later rows can be scored
+    by what earlier ones have shown.
+    """
     if rf is None or rf not in df.columns:
         return df.withColumns({"ensemble_score": F.col(iso)})
-    ends = df.agg(F.min(iso).alias("lo"), F.max(iso).alias("hi")).first()
+    known = df if known is None else known
+    ends = known.agg(F.min(iso).alias("lo"), F.max(iso).alias("hi")).first()
     lo, width = ends["lo"], ends["hi"] - ends["lo"] + 1e-8
     score = (
         ENSEMBLE_WEIGHTS["isolation_forest"] * (F.col(iso) - lo) / width + ENSEMBLE_WEIGHTS["random_forest"] * F.col(rf)
     )
     out = df.withColumn("ensemble_score", score)
-    return flag_top(out, "ensemble_score", 1.0 - q, "ensemble_flag")
+    return flag_top(out, "ensemble_score", 1.0 - q, "ensemble_flag", known=known.withColumn("ensemble_score", score))
 
 
 def fit_surrogate(
@@ -102,7 +115,7 @@ def fit_surrogate(
     split = stratified_split(labelled, key, "label")
     boosted = GBTClassifier(featuresCol="features", labelCol="label", maxIter=iterations, maxDepth=depth, stepSize=rate, seed=seed)
     stages = [VectorAssembler(inputCols=features, outputCol="features"), boosted]
-    return Pipeline(stages=stages).fit(split.filter("is_train = 1")), split
+    return Pipeline(stages=stages).fit(dealt(split.filter("is_train = 1"))), split
 
 
 def accuracy(model, split: DataFrame) -> DataFrame:

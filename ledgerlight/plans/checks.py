@@ -8,7 +8,9 @@ from ledgerlight.operators import evaluate as ev
 from ledgerlight.operators import quality as dq
 from ledgerlight.operators.cells import quantile
 from ledgerlight.plans import profiles
+from ledgerlight.plans.features import BASIC_SQL
 from ledgerlight.plans.registry import BALANCED, BY_TIME, TXN, query
+from ledgerlight.session import cut
 from ledgerlight.sources import canonical as src
 
 AS_OF = "2024-01-20 00:00:00"
@@ -153,14 +155,22 @@ def score_histogram(spark, d):
     return ev.histogram(scored(spark, d), "score")
 
 
-SUMMARY_COLUMNS = ["amount", "score", "is_fraud"]
+# The numeric columns of the basic feature store.
+STORE_NUMBERS = [c for c in profiles.BASIC_COLUMNS if c not in ("transaction_id", "account_id", "timestamp")]
+STORE_SQL = BASIC_SQL.replace("WITH ", "WITH store AS MATERIALIZED (WITH ", 1) + ")"
 
 
-@query("feature_summary", f"""WITH {TXN}, s AS (SELECT amount, {SCORE} AS score, is_fraud FROM txn)
-{' UNION ALL '.join(f"SELECT '{c}' AS feature, count({c}) AS n_rows, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min_value, quantile_cont({c}::DOUBLE, 0.25) AS q25, quantile_cont({c}::DOUBLE, 0.5) AS q50, quantile_cont({c}::DOUBLE, 0.75) AS q75, max({c}) AS max_value FROM s" for c in SUMMARY_COLUMNS)}""",
+def store(spark, d):
+    """The basic feature store, written once."""
+    return cut(profiles.basic(src.transactions(spark, d)), "store")
+
+
+@query("feature_summary", f"""{STORE_SQL}
+{' UNION ALL '.join(f"SELECT '{c}' AS feature, count({c}) AS n_rows, avg({c}) AS mean, stddev_samp({c}) AS std, min({c}) AS min_value, quantile_cont({c}::DOUBLE, 0.25) AS q25, quantile_cont({c}::DOUBLE, 0.5) AS q50, quantile_cont({c}::DOUBLE, 0.75) AS q75, max({c}) AS max_value FROM store" for c in STORE_NUMBERS)}""",
 "mean std min_value q25 q50 q75 max_value")
 def feature_summary(spark, d):
-    return dq.summary(scored(spark, d), SUMMARY_COLUMNS)
+    t = store(spark, d)
+    return dq.summary(t, profiles.numeric_columns(t, []))
 
 
 @query("class_weights", f"WITH {TXN}, c AS (SELECT is_fraud, count(*) AS class_rows FROM txn GROUP BY 1) SELECT is_fraud, class_rows, (SELECT sum(class_rows) / count(*) FROM c) / class_rows AS weight FROM c", "weight")

@@ -429,7 +429,7 @@ def risk_score(spark, d):
 BASIC_DOUBLES = "amount amount_abs amount_log avg_amount std_amount amount_zscore"
 
 
-@query("feature_store_basic", f"""WITH {TXN}, p AS (SELECT transaction_id, account_id, amount, is_fraud, CAST(hour(timestamp) AS INT) AS hour_of_day,
+BASIC_SQL = f"""WITH {TXN}, p AS (SELECT transaction_id, account_id, amount, is_fraud, CAST(hour(timestamp) AS INT) AS hour_of_day,
   CAST(isodow(timestamp) - 1 AS INT) AS day_of_week, CASE WHEN isodow(timestamp) >= 6 THEN 1 ELSE 0 END AS is_weekend,
   CASE WHEN hour(timestamp) >= 22 OR hour(timestamp) <= 6 THEN 1 ELSE 0 END AS is_night, abs(amount) AS amount_abs,
   ln(1 + abs(amount)) AS amount_log,
@@ -440,7 +440,10 @@ s AS (SELECT account_id, avg(amount) AS avg_amount, stddev_samp(amount) AS std_a
   count(DISTINCT merchant_name) AS unique_merchants, count(DISTINCT merchant_category) AS unique_categories FROM txn GROUP BY 1)
 SELECT p.*, avg_amount, coalesce(std_amount, 0) AS std_amount, txn_count, unique_merchants, unique_categories,
   coalesce((amount_abs - avg_amount) / (std_amount + 1e-6), 0) AS amount_zscore,
-  CASE WHEN merchant_frequency <= 5 THEN 1 ELSE 0 END AS is_rare_merchant FROM p JOIN s USING (account_id)""", BASIC_DOUBLES)
+  CASE WHEN merchant_frequency <= 5 THEN 1 ELSE 0 END AS is_rare_merchant FROM p JOIN s USING (account_id)"""
+
+
+@query("feature_store_basic", BASIC_SQL, BASIC_DOUBLES)
 def feature_store_basic(spark, d):
     return profiles.basic(src.transactions(spark, d)).drop("timestamp")
 

@@ -10,8 +10,10 @@ from ledgerlight.ml import iforest, lof, prep
 from ledgerlight.ml import supervised as sup
 from ledgerlight.operators import evaluate as ev
 from ledgerlight.operators import marts
+from ledgerlight.operators.cells import quantile
 from ledgerlight.plans import profiles
-from ledgerlight.plans.checks import SCORE, amount_score
+from ledgerlight.plans.checks import SCORE, STORE_NUMBERS, STORE_SQL, amount_score, store
+from ledgerlight.plans.features import RISK_SQL
 from ledgerlight.plans.registry import TXN, query
 from ledgerlight.session import configure, cut, scratch_dir
 from ledgerlight.sources import canonical as src
@@ -21,13 +23,8 @@ ID = "transaction_id"
 NOT_FEATURES = ["is_fraud"]
 
 
-def feature_table(spark, d):
-    """Basic feature store written once, so that fitting and scoring read the same table."""
-    return cut(profiles.basic(src.transactions(spark, d)))
-
-
 def matrix(spark, d):
-    t = feature_table(spark, d)
+    t = store(spark, d)
     return prep.basic_matrix(t, profiles.numeric_columns(t, NOT_FEATURES))
 
 
@@ -59,17 +56,12 @@ def impute_median(spark, d):
     return prep.impute_median(p, ["debit", "small"])
 
 
-VARIANCE_COLUMNS = ["amount", "score", "is_fraud", "is_night"]
-
-
-@query("variance_filter", f"""WITH {TXN}, p AS (SELECT amount, {SCORE} AS score, is_fraud, CASE WHEN hour(timestamp) >= 22 OR hour(timestamp) <= 6 THEN 1 ELSE 0 END AS is_night FROM txn)
+@query("variance_filter", f"""{STORE_SQL}
 SELECT feature, variance, CASE WHEN variance > 0.05 THEN 1 ELSE 0 END AS kept FROM (
-{' UNION ALL '.join(f"SELECT '{c}' AS feature, var_pop({c}) AS variance FROM p" for c in VARIANCE_COLUMNS)}) v""", "variance")
+{' UNION ALL '.join(f"SELECT '{c}' AS feature, var_pop({c}) AS variance FROM store" for c in STORE_NUMBERS)}) v""", "variance")
 def variance_filter(spark, d):
-    t = src.transactions(spark, d).withColumns(
-        {"score": amount_score(), "is_night": ((F.hour("timestamp") >= 22) | (F.hour("timestamp") <= 6)).cast("int")}
-    )
-    return prep.variances(t, VARIANCE_COLUMNS)
+    t = store(spark, d)
+    return prep.variances(t, profiles.numeric_columns(t, []))
 
 
 @query("standardize", f"""WITH {TXN}, p AS (SELECT transaction_id, amount, is_fraud, 1.0 AS constant FROM txn)
@@ -90,7 +82,7 @@ def stratified_split(spark, d):
 
 @query("enhanced_matrix")
 def enhanced_matrix(spark, d):
-    t = feature_table(spark, d)
+    t = store(spark, d)
     m, kept = prep.enhanced_matrix(t, profiles.numeric_columns(t, NOT_FEATURES))
     return m.select(ID, *kept)
 
@@ -171,15 +163,42 @@ def ensemble_scores(spark, d):
 
 
 def ensemble_table(spark, d):
-    """All three methods on the feature store, written once."""
+    """All three methods on the feature store, fitted and scored on all rows, written once."""
     m, features = matrix(spark, d)
-    scaled = prep.scale(m, prep.fit_scaler(m, features))
-    iso = iforest.fit(scaled, ID, features).score(scaled, "iso_score").select(ID, "iso_score")
-    rf = sup.score_random_forest(m, sup.fit_random_forest(m, features))
-    scored = cut(rf.join(iso, ID))
-    scored = sup.ensemble(scored)
-    scored = prep.flag_top(scored, "iso_score", 0.05, "iso_flag")
-    return scored.withColumn("rf_flag", (F.col("rf_score") > 0.5).cast("int")), features
+    return ensemble_scored(m, m, features)
+
+
+EARLIER = 0.8  # share of the time line's rows that models are fitted on before they are compared on the later ones
+
+
+def time_split(rows):
+    """The rows with `is_later`: 1 behind the instant that EARLIER of the rows lie up to."""
+    at = quantile(rows.select(F.unix_micros("timestamp").alias("us")), "us", EARLIER)
+    return rows.withColumn("is_later", (F.unix_micros("timestamp") > at.scalar()).cast("int"))
+
+
+def later_scores(spark, d):
+    """The three methods fitted, scaled and thresholded on the earlier rows: scores of the later ones, and all rows' split."""
+    m, features = matrix(spark, d)
+    rows = cut(time_split(m), "split")
+    return ensemble_scored(rows.where("is_later = 0"), rows.where("is_later = 1"), features), rows
+
+
+def ensemble_scored(known, rows, features):
+    """`rows` with the scores and flags of models, scalers and thresholds that come from `known` alone."""
+    scaler = prep.fit_scaler(known, features)
+    forest = iforest.fit(prep.scale(known, scaler), ID, features)
+    trees = sup.fit_random_forest(known, features)
+
+    def both(part):
+        iso = forest.score(prep.scale(part, scaler), "iso_score").select(ID, "iso_score")
+        return cut(sup.score_random_forest(part, trees).join(iso, ID), "scores")
+
+    scored = both(rows)
+    seen = scored if known is rows else both(known)
+    scored = sup.ensemble(scored, known=seen)
+    scored = prep.flag_top(scored, "iso_score", 0.05, "iso_flag", known=seen)
+    return scored.withColumn("rf_flag", (F.col("rf_score") > 0.5).cast("int"))
 
 
 def comparison(scored):
@@ -191,22 +210,46 @@ def comparison(scored):
     return src.union_splits(*parts)
 
 
+def _ranges(rows):
+    """First and last instant of the rows that models were fitted on and of those that they are compared on."""
+
+    def end(side, least):
+        text = F.date_format(least(F.when(F.col("is_later") == side, F.col("timestamp"))), "yyyy-MM-dd HH:mm:ss")
+        return text.alias(f"{('train', 'test')[side]}_{'from' if least is F.min else 'to'}")
+
+    return rows.agg(*[end(side, least) for side in (0, 1) for least in (F.min, F.max)])
+
+
+SPLIT_SQL = f"""WITH {TXN}, split AS (SELECT *, CASE WHEN epoch_us(timestamp) > (SELECT quantile_cont(epoch_us(timestamp)::DOUBLE, {EARLIER}) FROM txn) THEN 1 ELSE 0 END AS is_later FROM txn)"""
+
+
+@query("eval_split", f"""{SPLIT_SQL} SELECT is_later, count(*) AS n_rows, CAST(sum(is_fraud) AS BIGINT) AS n_fraud, strftime(min(timestamp), '%Y-%m-%d %H:%M:%S') AS first_seen,
+  strftime(max(timestamp), '%Y-%m-%d %H:%M:%S') AS last_seen FROM split GROUP BY 1""")
+def eval_split(spark, d):
+    """Rows, frauds and time range of the two sides of the comparison."""
+    ends = [F.date_format(f("timestamp"), "yyyy-MM-dd HH:mm:ss").alias(n) for f, n in ((F.min, "first_seen"), (F.max, "last_seen"))]
+    rows = time_split(src.transactions(spark, d))
+    return rows.groupBy("is_later").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("is_fraud").cast("long").alias("n_fraud"), *ends)
+
+
 @query("best_method")
 def best_method(spark, d):
-    scored, _ = ensemble_table(spark, d)
-    return ev.best_method(comparison(cut(scored)))
+    """The method with the best F1 on rows later than those it was fitted on."""
+    scored, rows = later_scores(spark, d)
+    return ev.best_method(comparison(cut(scored))).crossJoin(_ranges(rows))
 
 
 @query("eval_log")
 def eval_log(spark, d):
-    scored, _ = ensemble_table(spark, d)
-    path = files.append_evaluation(comparison(cut(scored)), scratch_dir(spark, "evaluation"))
+    scored, rows = later_scores(spark, d)
+    results = comparison(cut(scored)).crossJoin(_ranges(rows))
+    path = files.append_evaluation(results, scratch_dir(spark, "evaluation"))
     return spark.read.parquet(path).drop("run_at")
 
 
 @query("scored_results")
 def scored_results(spark, d):
-    scored, _ = ensemble_table(spark, d)
+    scored = ensemble_table(spark, d)
     out = _details(scored, spark, d).withColumnsRenamed(
         {"ensemble_flag": "is_anomaly_enhanced", "ensemble_score": "anomaly_score_enhanced"}
     )
@@ -258,9 +301,13 @@ def recent_anomalies(spark, d):
     )
 
 
-@query("txn_detail")
+@query("txn_detail", f"""WITH {TXN}, {RISK_SQL} SELECT transaction_id, account_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, amount, merchant_name, merchant_category,
+  rapid_fire, is_night, is_weekend, is_new_merchant, risk_time, risk_amount_anomaly, risk_velocity, risk_new_merchant, risk_score FROM risk WHERE transaction_id = 'txn_00000042'""", "amount risk_score")
 def txn_detail(spark, d):
-    t = profiles.with_risk(src.transactions(spark, d))
+    # Every feature of a transaction comes from its account's rows: only these are worked on.
+    t = src.transactions(spark, d)
+    own = t.where(F.col(ID) == "txn_00000042").select("account_id").distinct()
+    t = profiles.with_risk(cut(t.join(own, "account_id", "left_semi"), "account"))
     return marts.transaction_detail(t, "txn_00000042").withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
 

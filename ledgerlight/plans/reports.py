@@ -8,7 +8,8 @@ from ledgerlight.operators import alerts as al
 from ledgerlight.operators import evaluate as ev
 from ledgerlight.operators import forecast as fc
 from ledgerlight.operators import marts
-from ledgerlight.plans.checks import SCORE, scored
+from ledgerlight.plans import features as ft
+from ledgerlight.plans import profiles
 from ledgerlight.plans.registry import DAILY, TXN, query
 from ledgerlight.session import cut
 from ledgerlight.sources import canonical as src
@@ -168,13 +169,18 @@ def balance_timeline(spark, d):
 
 # --- alerts --------------------------------------------------------------------------------------------------
 
-TIERS_SQL = f"""tier AS (SELECT *, {SCORE} AS score, CASE WHEN {SCORE} >= 0.8 THEN 'high' WHEN {SCORE} >= 0.6 THEN 'medium' ELSE 'low' END AS priority,
-  CASE WHEN {SCORE} < 0.3 THEN 'closed' ELSE 'open' END AS status FROM txn)"""
+TIERS_SQL = f"""{ft.RISK_SQL}, tier AS (SELECT *, risk_score AS score, CASE WHEN risk_score >= 0.8 THEN 'high' WHEN risk_score >= 0.6 THEN 'medium' ELSE 'low' END AS priority,
+  CASE WHEN risk_score < 0.3 THEN 'closed' ELSE 'open' END AS status FROM risk)"""
+
+
+def risky(spark, d):
+    """Transactions with the composite risk score, which the alert policy is stated in."""
+    return profiles.with_risk(src.transactions(spark, d)).withColumn("score", F.col("risk_score"))
 
 
 @query("alert_priority", f"WITH {TXN}, {TIERS_SQL} SELECT transaction_id, score, priority, status FROM tier", "score")
 def alert_priority(spark, d):
-    return al.with_tiers(scored(spark, d), "score").select("transaction_id", "score", "priority", "status")
+    return al.with_tiers(risky(spark, d), "score").select("transaction_id", "score", "priority", "status")
 
 
 QUEUE_SQL = f"""queue AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY timestamp, transaction_id) AS alert_id FROM tier WHERE is_fraud = 1) n
@@ -183,20 +189,20 @@ QUEUE_SQL = f"""queue AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY t
 
 @query("alert_queue", f"WITH {TXN}, {TIERS_SQL}, {QUEUE_SQL} SELECT alert_id, transaction_id, account_id, amount, merchant_name, priority, status FROM queue", "amount")
 def alert_queue(spark, d):
-    queue = al.alert_queue(scored(spark, d), "score", priorities=("high", "medium"))
+    queue = al.alert_queue(risky(spark, d), "score", priorities=("high", "medium"))
     return queue.select("alert_id", "transaction_id", "account_id", "amount", "merchant_name", "priority", "status")
 
 
 @query("alert_summary", f"""WITH {TXN}, {TIERS_SQL}, {QUEUE_SQL} SELECT count(*) FILTER (WHERE status = 'open') AS open_alerts, count(*) FILTER (WHERE status = 'investigating') AS investigating,
   count(*) FILTER (WHERE priority = 'high') AS high_priority, avg(amount) AS avg_amount FROM queue""", "avg_amount")
 def alert_summary(spark, d):
-    return al.queue_summary(al.alert_queue(scored(spark, d), "score", priorities=("high", "medium")))
+    return al.queue_summary(al.alert_queue(risky(spark, d), "score", priorities=("high", "medium")))
 
 
 @query("alert_daily_cap", f"""WITH {TXN}, {TIERS_SQL} SELECT transaction_id, score, CAST(day_rank AS INT) AS day_rank FROM (SELECT *, row_number() OVER (PARTITION BY CAST(timestamp AS DATE)
   ORDER BY score DESC, transaction_id) AS day_rank FROM tier) r WHERE day_rank <= 100""", "score")
 def alert_daily_cap(spark, d):
-    return al.daily_cap(scored(spark, d), "score").select("transaction_id", "score", "day_rank")
+    return al.daily_cap(risky(spark, d), "score").select("transaction_id", "score", "day_rank")
 
 
 @query("alert_cooldown", f"""WITH RECURSIVE {TXN}, fraud AS (SELECT transaction_id, account_id, epoch_us(timestamp) AS us FROM txn WHERE is_fraud = 1),

@@ -56,9 +56,10 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def append_evaluation(results: DataFrame, path: str) -> str:
-    """One row per method with the run's time."""
+    """One row per method with the run's time; columns that the results lack are null."""
     stamped = results.withColumn("run_at", F.current_timestamp())
-    stamped.select(*EVALUATION_LOG.fieldNames()).write.mode("append").parquet(path)
+    columns = [F.col(f.name) if f.name in stamped.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in EVALUATION_LOG]
+    stamped.select(*columns).write.mode("append").parquet(path)
     return path
 
 

@@ -71,7 +71,9 @@ CARD_RAW = _struct(
 
 EVALUATION_LOG = _struct(
     [("run_at", _TS), ("method", _S)],
-    [("precision", _D), ("recall", _D), ("f1_score", _D), ("auc", _D)],
+    [("precision", _D), ("recall", _D), ("f1_score", _D), ("auc", _D)]
+    # Time ranges that models were fitted and compared on, where the caller knows them.
+    + [("train_from", _S), ("train_to", _S), ("test_from", _S), ("test_to", _S)],
 )
 
 BALANCE_FORECASTS = _struct(

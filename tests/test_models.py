@@ -165,3 +165,20 @@ def test_registered_models_have_full_size(monkeypatch, name):
     models.F.col.return_value.__gt__ = lambda *a: MagicMock()
     getattr(streams if name == "stream_score" else models, name)(MagicMock(), "folder")
     assert calls and not any(calls)
+
+
+def test_later_rows_do_not_move_thresholds(spark):
+    """Scores and flags of the later rows come from the earlier ones alone."""
+    known = spark.createDataFrame([(i, i / 100.0, i / 200.0) for i in range(101)], "k int, iso_score double, rf_score double")
+    one = spark.createDataFrame([(500, 0.5, 0.25), (501, 5.0, 0.9)], "k int, iso_score double, rf_score double")
+    alone = sup.ensemble(one.where("k = 500"), known=known).first()
+    beside = {r["k"]: r for r in sup.ensemble(one, known=known).collect()}
+    assert beside[500]["ensemble_score"] == alone["ensemble_score"] and beside[500]["ensemble_flag"] == 0
+    assert beside[501]["ensemble_score"] > 1 and beside[501]["ensemble_flag"] == 1
+
+
+def test_small_tables_are_dealt_over_the_cores(spark):
+    one = spark.range(1000).coalesce(1)
+    assert sup.dealt(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, 1, 50)
+    assert sup.dealt(wide).rdd.getNumPartitions() == 50
