@@ -28,12 +28,14 @@ def stream_hourly_counts(spark, d):
 @query("stream_velocity", f"""WITH {TXN} SELECT account_id, strftime(date_trunc('hour', timestamp) - CAST(i AS INT) * INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_start,
   count(*) AS txn_count FROM txn CROSS JOIN (SELECT unnest(generate_series(0, 23)) AS i) g GROUP BY 1, 2""")
 def stream_velocity(spark, d):
-    return _text_window(st.run_update(st.sliding_velocity(st.transaction_stream(spark, d)), "velocity", WINDOW_KEYS, whole=True))
+    hours = st.run_update(st.hourly_counts(st.transaction_stream(spark, d)), "velocity", WINDOW_KEYS, whole=True)
+    return _text_window(st.sliding_velocity(hours))
 
 
 @query("stream_rapid_fire", f"WITH {TXN}, {RISK_SQL} SELECT transaction_id, rapid_fire FROM flags")
 def stream_rapid_fire(spark, d):
-    return st.run_append(st.rapid_fire(st.transaction_stream(spark, d)), "rapid", whole=True)
+    flagged = st.rapid_fire(st.transaction_stream(spark, d, to_the_end=True))
+    return st.run_append(flagged, "rapid", whole=True)
 
 
 @query("stream_cooldown", f"""WITH RECURSIVE {TXN}, fraud AS (SELECT transaction_id, account_id, epoch_us(timestamp) AS us FROM txn WHERE is_fraud = 1),
@@ -43,7 +45,7 @@ chain AS (SELECT account_id, min(us) AS us FROM fraud GROUP BY 1
 SELECT transaction_id, account_id FROM fraud JOIN chain USING (account_id, us)""")
 def stream_cooldown(spark, d):
     fraud = st.transaction_stream(spark, d).filter(F.col("is_fraud") == 1)
-    return st.run_append(st.cooldown(fraud), "cooldown", whole=True)
+    return st.cooldown(fraud, whole=True)
 
 
 @query("stream_dedup", f"WITH {TXN} SELECT transaction_id, account_id, amount FROM txn", "amount")

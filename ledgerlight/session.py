@@ -20,6 +20,10 @@ RUNTIME_SETTINGS = {
     # A join on a hot merchant or account is split even if that costs one more exchange later.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows on their way to Python are bounded by bytes as well as by number: texts can be long.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
+    # Keyed state of any kind; it may outgrow an executor's memory.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

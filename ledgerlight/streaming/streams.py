@@ -1,78 +1,56 @@
 """Structured Streaming versions of velocity, rapid-fire, cooldown, deduplication and scoring.
 
-Everything runs on a file source with `availableNow`; sinks are Parquet tables below the checkpoint folder.
+Streams run until their sources have no more; sinks and state are below the checkpoint folder.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
-from ledgerlight.operators.cells import DAY, cell_of
-from ledgerlight.session import configure, scratch_dir
+from ledgerlight.operators import alerts
+from ledgerlight.operators.cells import cell_of
+from ledgerlight.session import configure, cut, scratch_dir
 from ledgerlight.sources.canonical import table, transactions_from_events
+from ledgerlight.streaming.replay import replayed
 
 RAPID_HOURS = 0.083
-WATERMARK = "1 hour"
-BATCH_ROWS = 1_000_000  # rows of a stored table that are replayed at once
+RAPID_CELL = 1800  # seconds of a cell whose rows wait together
+WATERMARK_SECONDS = 3600
+WATERMARK = f"{WATERMARK_SECONDS} seconds"
 PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
 # Rows that stateful operators dropped as late, in the last run of each name.
 dropped_rows: dict[str, int] = {}
 
 
-def in_time_order(rows: DataFrame, time: Column, batch_rows: int) -> str:
-    """A folder with the rows as files in the order of their times, about `batch_rows` a file; equal times share one.
+def event_stream(spark: SparkSession, sf_dir: str, to_the_end: bool = False) -> DataFrame:
+    """The stored events table replayed in the order of event time, so that no row is late."""
+    return replayed(spark, table(spark, sf_dir, "events"), "ts", to_the_end)
 
-    Rows without a time come last. The file source goes by the files' times of writing, so they are written one by one.
-    """
-    spark = rows.sparkSession
-    timed = rows.withColumn("_us", F.unix_micros(time).cast("double"))
-    batches = max(1, -(-rows.count() // batch_rows))
-    shares = [i / batches for i in range(1, batches)]
-    bounds = timed.agg(F.percentile_approx("_us", shares, 10_000)).first()[0] if shares else []
-    feed = scratch_dir(spark, "feed")
-    # A bound begins a range; one at the least time would leave the range before it empty.
-    bounds = sorted(set(bounds or []))
-    if not bounds:
-        rows.coalesce(1).write.parquet(feed)
-        return feed
-    split = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol="_us", outputCol="_range", handleInvalid="keep")
-    ranged, path = split.transform(timed).drop("_us").repartition("_range"), scratch_dir(spark, "ranges")
-    ranged.write.partitionBy("_range").parquet(path)
-    stored = spark.read.schema(ranged.schema).parquet(path)
-    for k in range(len(bounds) + 2):
-        part = stored.where(F.col("_range") == float(k)).drop("_range")
-        if not part.isEmpty():
-            part.coalesce(1).write.mode("append").parquet(feed)
-    return feed
-
-
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored events table replayed in the order of event time, one range of time a batch, so that no row is late."""
-    events = table(spark, sf_dir, "events")
-    feed = in_time_order(events, F.col("ts").cast("timestamp"), BATCH_ROWS)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(feed)
-
-
-def transaction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def transaction_stream(spark: SparkSession, sf_dir: str, to_the_end: bool = False) -> DataFrame:
     configure(spark)
-    return transactions_from_events(event_stream(spark, sf_dir), table(spark, sf_dir, "nation"))
+    return transactions_from_events(event_stream(spark, sf_dir, to_the_end), table(spark, sf_dir, "nation"))
 
 
-def _finish(writer: DataStreamWriter, spark: SparkSession, name: str, whole: bool) -> None:
-    """Run what is available and count the rows that came behind the watermark; `whole` makes them an error."""
+def _finish(writer: DataStreamWriter, spark: SparkSession, name: str, whole: bool, more_dropped: Callable[[], int] = lambda: 0) -> None:
+    """Run what there is to its end and count the rows that came behind the watermark; `whole` makes them an error."""
     kept = spark.conf.get(PROGRESS_KEPT)
     spark.conf.set(PROGRESS_KEPT, "100000")
     try:
-        q = writer.trigger(availableNow=True).start()
-        q.awaitTermination()
-        dropped_rows[name] = sum(o.numRowsDroppedByWatermark for p in q.recentProgress for o in p.stateOperators)
+        # Batch after batch until the sources have no more; `availableNow` would take a replay as one batch.
+        q = writer.trigger(processingTime="0 seconds").start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        dropped_rows[name] = sum(o.numRowsDroppedByWatermark for p in q.recentProgress for o in p.stateOperators) + more_dropped()
     finally:
         spark.conf.set(PROGRESS_KEPT, kept)
     if dropped_rows[name]:
@@ -114,8 +92,15 @@ def hourly_counts(stream: DataFrame) -> DataFrame:
     return _windowed(stream, F.window("timestamp", "1 hour"))
 
 
-def sliding_velocity(stream: DataFrame, length: str = "24 hours", slide: str = "1 hour") -> DataFrame:
-    return _windowed(stream, F.window("timestamp", length, slide))
+def sliding_velocity(counts: DataFrame, hours: int = 24) -> DataFrame:
+    """Counts in windows of `hours` that begin every hour, from the counts of their hours.
+
+    The stream keeps one row of state for each account and hour; only these rows are added up to windows, so no
+    transaction is copied into the windows that it lies in.
+    """
+    starts = F.sequence(F.col("window_start") - F.expr(f"INTERVAL {hours - 1} HOURS"), F.col("window_start"), F.expr("INTERVAL 1 HOUR"))
+    panes = counts.select("account_id", F.explode(starts).alias("window_start"), "txn_count")
+    return panes.groupBy("account_id", "window_start").agg(F.sum("txn_count").alias("txn_count"))
 
 
 def _windowed(stream: DataFrame, window: Column) -> DataFrame:
@@ -124,81 +109,137 @@ def _windowed(stream: DataFrame, window: Column) -> DataFrame:
     return counts.select("account_id", F.col("w.start").alias("window_start"), F.col("count").alias("txn_count"))
 
 
-def rapid_fire(stream: DataFrame, hours: float = RAPID_HOURS, cell_seconds: int = DAY) -> DataFrame:
-    """Flags a transaction that follows the account's previous one within the limit.
+class _RapidFire(StatefulProcessor):
+    """Holds a cell's rows until the watermark has passed its end, then goes through them in order."""
+
+    def __init__(self, hours: float, cell_seconds: int):
+        self.hours, self.cell_seconds = hours, cell_seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "us bigint, transaction_id string, own boolean")
 
-    State is the last time seen per account and cell of time. Only a few minutes matter, so a cell's last rows are
-    copied into the next one, and a busy account's history is handled by many tasks. Narrower cells split a busy
-    account further at the price of more groups.
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for part in rows:
+            if key[1] is None or pd.isna(key[1]):
+                # Rows without a time have no previous one.
+                yield pd.DataFrame({"transaction_id": part["transaction_id"], "rapid_fire": 0}).astype({"rapid_fire": "int32"})
+                continue
+            self.rows.appendList(list(zip(part["us"].tolist(), part["transaction_id"].tolist(), part["own"].tolist(), strict=True)))
+            self.handle.registerTimer((int(key[1]) + 1) * self.cell_seconds * 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = pd.DataFrame(list(self.rows.get()), columns=["us", "transaction_id", "own"]).sort_values(["us", "transaction_id"])
+        gap = held["us"].diff() / 3.6e9
+        held["rapid_fire"] = (gap < self.hours).astype("int32")
+        self.rows.clear()
+        yield held.loc[held["own"], ["transaction_id", "rapid_fire"]]
+
+    def close(self) -> None:
+        pass
+
+
+def rapid_fire(stream: DataFrame, hours: float = RAPID_HOURS, cell_seconds: int = RAPID_CELL) -> DataFrame:
+    """Flags a transaction that follows the account's previous one, by time and id, within the limit.
+
+    State is the rows of one account and cell of time, which is a few times the limit long. A cell also gets the rows
+    of the one before that lie within the limit of its end, so cells need nothing else from one another and a busy
+    account is the work of many tasks. A cell waits until the watermark has passed its end: rows may come in any order
+    before that, and every row of a cell that is not late is flagged exactly as the batch operator flags it.
     """
-    limit = hours * 3.6e9
+    limit = int(hours * 3.6e9)
     us = F.unix_micros("timestamp")
     rows = stream.withWatermark("timestamp", WATERMARK).select(
         "transaction_id", "account_id", "timestamp", us.alias("us"), cell_of(us, cell_seconds).alias("home")
     )
-    late = cell_of(F.col("us") + F.lit(int(limit)), cell_seconds)
-    copies = F.array_distinct(F.array(F.col("home"), late))
-    spread = rows.withColumn("cell", F.explode(copies)).withColumn("own", F.col("cell") == F.col("home")).drop("home")
-
-    def flag(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        # One cell of one account in this batch.
-        part = pd.concat(list(chunks)).sort_values(["us", "transaction_id"])
-        last = state.get[0] if state.exists else None
-        before = part["us"].shift(1)
-        if last is not None:
-            before.iloc[0] = last
-        part["rapid_fire"] = ((part["us"] - before) / 3.6e9 < hours).astype("int32")
-        newest = int(part["us"].max()) if last is None else max(last, int(part["us"].max()))
-        state.update((newest,))
-        end_ms = (int(key[1]) + 1) * cell_seconds * 1000
-        state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
-        yield part.loc[part["own"], ["transaction_id", "rapid_fire"]]
-
-    return spread.groupBy("account_id", "cell").applyInPandasWithState(
-        flag,
-        "transaction_id string, rapid_fire int",
-        "last_us long",
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    copies = F.when(F.col("home").isNull(), F.array(F.col("home"))).otherwise(
+        F.sequence(F.col("home"), cell_of(F.col("us") + F.lit(limit), cell_seconds))
+    )
+    spread = rows.withColumn("cell", F.explode(copies)).withColumn("own", F.col("cell").eqNullSafe(F.col("home"))).drop("home")
+    return spread.groupBy("account_id", "cell").transformWithStateInPandas(
+        _RapidFire(hours, cell_seconds), StructType.fromDDL("transaction_id string, rapid_fire int"), "append", "EventTime"
     )
 
 
-def cooldown(alerts: DataFrame, hours: int = 24) -> DataFrame:
-    """At most one alert per account within the cooldown; state is the time of the last alert let through."""
+class InOrder:
+    """Runs a batch step on the rows of a stream in the order of their times, as the watermark passes them.
+
+    `step(closed, state)` gets the rows that the watermark has just passed, all later than those of the calls before, and
+    the state table that the last call returned; it returns result rows and the next state. Both are ordinary
+    DataFrames, so joins and windows deal a busy account over many tasks. Rows wait in a table in the shared folder;
+    every batch writes folders of its own number, so a repeated batch changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, step: Callable, state_schema: str, delay_seconds: int = WATERMARK_SECONDS):
+        self.spark, self.step, self.state_schema = spark, step, state_schema
+        self.delay = delay_seconds * 1_000_000
+        self.path = scratch_dir(spark, name)
+        self.passed: dict[int, tuple[int | None, int]] = {}  # batch -> watermark behind it, late rows up to it
+        self.schema = self.out_schema = None
+
+    def _stored(self, kind: str, batch: int, schema) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}/{batch}")
+
+    def advance(self, new: DataFrame, batch: int, last: bool = False) -> None:
+        before, late = self.passed.get(batch - 1, (None, 0))
+        us = F.unix_micros("timestamp")
+        timely = new if before is None else new.where(us.isNull() | (us > before))
+        self.schema = self.schema or new.schema
+        rows = timely
+        if batch > 0:
+            held = self._stored("rows", batch - 1, self.schema)
+            rows = rows.unionByName(held if before is None else held.where(us > before))
+        rows.write.mode("overwrite").parquet(f"{self.path}/rows/{batch}")
+        rows = self._stored("rows", batch, self.schema)
+        if before is not None:
+            late += new.where(us <= before).count()
+        newest = rows.agg(F.max(us)).first()[0]
+        mark = max((x for x in (before, None if newest is None else newest - self.delay) if x is not None), default=None)
+        self.passed[batch] = (mark, late)
+        if last:
+            closed = rows
+        else:
+            closed = rows.where(us.isNull() | (us <= mark)) if mark is not None else rows.where(us.isNull())
+        state = self._stored("state", batch - 1, self.state_schema) if batch > 0 else self.spark.createDataFrame([], self.state_schema)
+        out, state = self.step(closed, state)
+        out.write.mode("overwrite").parquet(f"{self.path}/out/batch={batch}")
+        self.out_schema = out.schema
+        state.write.mode("overwrite").parquet(f"{self.path}/state/{batch}")
+
+    def run(self, stream: DataFrame, name: str, whole: bool = False) -> DataFrame:
+        """Run the stream to its end, close what still waits, and read the results back."""
+        writer = stream.writeStream.foreachBatch(self.advance).option("checkpointLocation", f"{self.path}/checkpoint")
+        _finish(writer, self.spark, name, whole, lambda: max((n for _, n in self.passed.values()), default=0))
+        if not self.passed:
+            return self.spark.createDataFrame([], self.step(self.spark.createDataFrame([], stream.schema), self.spark.createDataFrame([], self.state_schema))[0].schema)
+        self.advance(self.spark.createDataFrame([], self.schema), max(self.passed) + 1, last=True)
+        return self.spark.read.schema(self.out_schema).parquet(f"{self.path}/out").drop("batch")
+
+
+def _cooldown_step(hours: int) -> Callable:
     wait = hours * 3600 * 1_000_000
-    rows = alerts.withWatermark("timestamp", WATERMARK).select(
-        "transaction_id", "account_id", "timestamp", F.unix_micros("timestamp").alias("us")
-    )
 
-    def let_through(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        times = pd.concat([c[["transaction_id", "us"]] for c in chunks]).sort_values(["us", "transaction_id"])
-        us, passed, at = times["us"].to_numpy(), [], 0
-        # From one passed alert straight to the first one a cooldown later.
-        if last is not None:
-            at = int(us.searchsorted(last + wait))
-        while at < len(us):
-            passed.append(at)
-            last = int(us[at])
-            at = int(us.searchsorted(last + wait))
-        if last is not None:
-            state.update((last,))
-            state.setTimeoutTimestamp(max((last + wait) // 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"transaction_id": times["transaction_id"].to_numpy()[passed], "account_id": key[0]})
-
-    return rows.groupBy("account_id").applyInPandasWithState(
-        let_through,
-        "transaction_id string, account_id string",
-        "last_us long",
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
+    def step(closed: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = closed.where("timestamp IS NOT NULL").join(state, "account_id", "left")
+        ready = cut(rows.where((F.col("last_us") + wait <= F.unix_micros("timestamp")) | F.col("last_us").isNull()).drop("last_us"), "ready")
+        passed = cut(alerts.cooldown(ready, hours).select("transaction_id", "account_id", F.unix_micros("timestamp").alias("last_us")), "passed")
+        last = state.unionByName(passed.select("account_id", "last_us")).groupBy("account_id").agg(F.max("last_us").alias("last_us"))
+        return passed.select("transaction_id", "account_id"), last
+
+    return step
+
+
+def cooldown(stream: DataFrame, name: str = "cooldown", hours: int = alerts.COOLDOWN_HOURS, whole: bool = False) -> DataFrame:
+    """At most one alert per account within the cooldown, counted from the last alert let through, as in the batch operator.
+
+    An alert's fate rests on all alerts of its account before it, so no key smaller than an account can hold the state,
+    and a busy account must not be one task's. Each batch therefore follows the chains of the rows that the watermark
+    has passed with the batch operator, from a stored table of each account's last alert. Alerts may come in any order
+    within the watermark; later ones are dropped and counted. Alerts without a time are let through by neither.
+    """
+    spark = stream.sparkSession
+    rows = stream.select("transaction_id", "account_id", "timestamp")
+    return InOrder(spark, name, _cooldown_step(hours), "account_id string, last_us bigint").run(rows, name, whole)
 
 
 def deduplicated(stream: DataFrame, key: str = "transaction_id", within: str = WATERMARK) -> DataFrame:
