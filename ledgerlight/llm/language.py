@@ -137,13 +137,15 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", k: int
     )
 
 
-def _scorer(model: Model) -> Callable:
+def _scorer(model: Model, inside: str | None) -> Callable:
+    """`inside` names the field of the row that holds the text, where it need not travel by itself."""
     centroids = model.centroids.astype(np.float32)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             letters = batch.column("letters").to_numpy(zero_copy_only=False)
-            for first, counts in gram_counts(batch.column("text")):
+            texts = batch.column("text") if inside is None else batch.column("row").field(inside)
+            for first, counts in gram_counts(texts):
                 n = len(counts)
                 has = letters[first : first + n].astype(bool)
                 lang, near, out = ["und"] * n, np.zeros(n), np.ones(n, dtype=bool)
@@ -170,10 +172,13 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[st
     than what the language's own labelled rows allow. Repeated rows agree, ties go to the first language by name,
     an empty table gives no rows, a model without languages says `und`.
     """
-    row = F.struct(*[F.col(c) for c in (keep or docs.columns)]).alias("row")
+    kept = keep or docs.columns
+    # A text that stays in the row goes to Python once.
+    inside = text_col if text_col in kept and docs.schema[text_col].dataType.simpleString() == "string" else None
+    row = F.struct(*[F.col(c) for c in kept]).alias("row")
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    rows = docs.select(F.col(text_col).alias("text"), letters, row)
-    return rows.mapInArrow(_scorer(model), f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
+    rows = docs.select(*([F.col(text_col).alias("text")] if inside is None else []), letters, row)
+    return rows.mapInArrow(_scorer(model, inside), f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double, rejected boolean")
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -27,10 +27,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
+_CASED = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_BYTE = _BYTE[LOWER]
+_BYTE = _CASED[LOWER]
 WHITE_SPACE = np.zeros(256, dtype=bool)
 WHITE_SPACE[[32, *range(9, 14)]] = True
 NO_WORD = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
@@ -38,12 +38,13 @@ _powers = {"n": 0}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _powers["n"] < n:
-        size = max(n, CHUNK_BYTES)
-        with np.errstate(over="ignore"):
-            _powers["up"] = np.cumprod(np.full(size, _BASE, dtype=np.uint64))
-            _powers["down"] = np.cumprod(np.full(size, _INVERSE, dtype=np.uint64))
-        _powers["n"] = size
+    """Powers up to a chunk's length are kept; those for a longer document go with it."""
+    if n > CHUNK_BYTES:
+        return np.cumprod(np.full(n, _BASE, dtype=np.uint64)), np.cumprod(np.full(n, _INVERSE, dtype=np.uint64))
+    if _powers["n"] < CHUNK_BYTES:
+        _powers["up"] = np.cumprod(np.full(CHUNK_BYTES, _BASE, dtype=np.uint64))
+        _powers["down"] = np.cumprod(np.full(CHUNK_BYTES, _INVERSE, dtype=np.uint64))
+        _powers["n"] = CHUNK_BYTES
     return _powers["up"][:n], _powers["down"][:n]
 
 
@@ -90,12 +91,12 @@ def word_spans(raw: np.ndarray, at: np.ndarray, between: np.ndarray = WHITE_SPAC
     return text, first, last, np.searchsorted(first, at - begin)
 
 
-def span_hashes(text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Hash of the bytes from each `first` to its `last`, A-Z lower-cased."""
+def span_hashes(text: np.ndarray, first: np.ndarray, last: np.ndarray, cased: bool = False) -> np.ndarray:
+    """Hash of the bytes from each `first` to its `last`, A-Z lower-cased unless `cased`."""
     if not len(first):
         return np.zeros(0, dtype=np.uint64)
     up, down = _power_tables(len(text))
-    sums = np.cumsum(_BYTE[text] * up)
+    sums = np.cumsum((_CASED if cased else _BYTE)[text] * up)
     before = np.where(first > 0, sums[first - 1], _U(0))
     return mix((sums[last] - before) * down[first] + (last - first).astype(np.uint64) * _STEPS[3])
 

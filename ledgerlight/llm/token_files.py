@@ -11,12 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+from ledgerlight.llm import text
 from ledgerlight.session import cut, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-CACHED = 600_000  # encoded words in each of two generations that a worker remembers; a bound on memory only
-GROUP_BYTES = 4_000_000  # text whose unknown pieces are encoded in one call
+CACHED = 400_000  # encoded words that a worker remembers; a bound on memory only
+FILE_BYTES = 256_000_000  # text of one file, about
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.stripe.size": str(32 << 20),
@@ -26,12 +27,55 @@ ORC_OPTIONS = {
 }
 
 
+# Two bytes that begin a white space beyond ASCII; others begin with them too, so such texts are looked at again.
+WIDE_SPACES = [(0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80)]
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[*range(9, 14), *range(28, 33)]] = True
+
+
+def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each run of `sizes` places."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+class _Words:
+    """Words and their ids in flat arrays, found by the words' hashes in order."""
+
+    def __init__(self) -> None:
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.slots = np.zeros(0, dtype=np.int64)
+        self.word_at, self.id_at = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.letters, self.ids = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.uint32)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Slot of each hash, -1 where there is none."""
+        if not len(self):
+            return np.full(len(hashes), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
+        return np.where(self.hashes[at] == hashes, self.slots[at], -1)
+
+    def add(self, hashes: np.ndarray, words: list[bytes], ids: list[bytes]) -> None:
+        """Further words, their hashes ascending."""
+        at = np.searchsorted(self.hashes, hashes)
+        slots = np.arange(len(self), len(self) + len(hashes))
+        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
+        self.word_at = np.concatenate((self.word_at, self.word_at[-1] + np.cumsum([len(w) for w in words])))
+        self.id_at = np.concatenate((self.id_at, self.id_at[-1] + np.cumsum([len(x) // 4 for x in ids])))
+        self.letters = np.concatenate((self.letters, np.frombuffer(b"".join(words), dtype=np.uint8)))
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype="<u4")))
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct word encoded once while it is remembered.
 
     A byte-level vocabulary is applied piece by piece, and a single space before a word always begins a piece. So where
     no white space stands next to other white space, the text's ids are those of its words, each with its space. Other
-    texts, and those with the string of a special token, go to the library whole.
+    texts, and those with the string of a special token, go to the library whole. A chunk's words are looked up by hash
+    and compared byte by byte, all at once; only words that the table lacks become Python strings.
     """
 
     def __init__(self, vocabulary: str):
@@ -44,52 +88,115 @@ class Encoder:
 
         path = vocabulary if os.path.sep in vocabulary else public_tokenizers.path(vocabulary)
         self.library = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s\s", *special]))
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = [s.encode() for s in special]
+        self.whole = re.compile("|".join([r"\s\s", *map(re.escape, special)]))
+        self.words = _Words()
         self.marks = dict(zip(".,", self._ids([".", ","]), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        group: list[str] = []
-        size = 0
-        for t in texts:
-            group.append(t)
-            size += len(t)
-            if size >= GROUP_BYTES:
-                yield from self._group(group)
-                group, size = [], 0
-        yield from self._group(group)
-
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        split = [None if self.whole.search(t) else t.split(" ") for t in texts]
-        if len(self.known) > CACHED:
-            self.before, self.known = self.known, {}
-        known, before = self.known, self.before
-        seen = set().union(*[parts[1:] for parts in split if parts]).difference(known)
-        for w in seen.intersection(before):
-            known[w] = before[w]
-        new: dict[str, None] = {}
-        marked: list[str] = []
-        for w in seen.difference(before):
-            # A mark after letters is a piece of its own.
-            if w[-1:] in self.marks and w[:-1].isalpha():
-                marked.append(w)
-                if w[:-1] not in known:
-                    new[w[:-1]] = None
-            else:
-                new[w] = None
-        known.update(zip(new, self._ids([" " + w for w in new]), strict=True))
-        known.update({w: known[w[:-1]] + self.marks[w[-1]] for w in marked})
-        odd = iter(self._ids([t if p is None else p[0] for t, p in zip(texts, split, strict=True)]))
-        for parts in split:
-            head = next(odd)
-            yield head if parts is None else head + b"".join(map(known.__getitem__, parts[1:]))
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        plain = [w.decode("utf-8", "replace") for w in words]
+        # A mark after letters is a piece of its own.
+        stems = [w[:-1] if w[-1:] in self.marks and w[:-1].isalpha() else w for w in plain]
+        distinct = list(dict.fromkeys(stems))
+        ids = dict(zip(distinct, self._ids([" " + w for w in distinct]), strict=True))
+        self.words.add(hashes, words, [ids[s] + (self.marks[w[-1]] if len(s) < len(w) else b"") for s, w in zip(stems, plain, strict=True)])
+
+    def _odd(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rows that have to go to the library whole."""
+        space = _SPACE[data]
+        twice = np.flatnonzero(space[1:] & space[:-1])
+        row = np.searchsorted(at, twice, side="right") - 1
+        odd = np.zeros(len(at) - 1, dtype=bool)
+        odd[row[twice + 1 < at[row + 1]]] = True
+        packed, doubtful = data.tobytes(), np.zeros(len(at) - 1, dtype=bool)
+        spots = [np.flatnonzero((data[:-1] == a) & (data[1:] == b)) for a, b in WIDE_SPACES] if data.max(initial=0) >= 0xC2 else []
+        for s in self.special:
+            found = packed.find(s)
+            while found >= 0:
+                spots.append(np.array([found]))
+                # One in a row is enough.
+                found = packed.find(s, int(at[np.searchsorted(at, found, side="right")]))
+        if spots:
+            doubtful[np.searchsorted(at, np.concatenate(spots), side="right") - 1] = True
+        for k in np.flatnonzero(doubtful & ~odd):
+            odd[k] = self.whole.search(packed[at[k] : at[k + 1]].decode("utf-8", "replace")) is not None
+        return odd
+
+    def encode(self, raw: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows one after another, `end_id` behind each, and each row's first place.
+
+        `at` holds the rows' offsets in the bytes `raw`.
+        """
+        data, at = raw[int(at[0]) : int(at[-1])], at - at[0]
+        rows = len(at) - 1
+        odd = self._odd(data, at)
+        blanks = np.flatnonzero(data == 32)
+        row = np.searchsorted(at, blanks, side="right") - 1
+        blanks, row = blanks[~odd[row]], row[~odd[row]]
+        # The head of a row has no space before it; each further word reaches from behind its space to the next one.
+        nexts = np.append(blanks[1:], 0)
+        ends = at[row + 1]
+        same = np.append(row[1:] == row[:-1], False)
+        first, last = blanks + 1, np.where(same, nexts, ends)
+        count = np.bincount(row, minlength=rows)
+        begin = np.cumsum(count) - count
+        heads_end = at[1:].copy()
+        heads_end[count > 0] = blanks[begin[count > 0]]
+        packed = data.tobytes()
+        heads = self._ids([packed[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1].tolist(), heads_end.tolist(), strict=True)])
+
+        sizes = last - first
+        hashes = np.full(len(first), 0, dtype=np.uint64)
+        some = sizes > 0
+        hashes[some] = text.span_hashes(data, first[some], last[some] - 1, cased=True)
+        if len(self.words) > CACHED:
+            self.words = _Words()
+        slots = self.words.find(hashes)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            new, where = np.unique(hashes[missing], return_index=True)
+            where = missing[where]
+            self._learn(new, [packed[a:b] for a, b in zip(first[where].tolist(), last[where].tolist(), strict=True)])
+            slots[missing] = self.words.find(hashes[missing])
+        known = self.words
+        known_size = known.word_at[slots + 1] - known.word_at[slots]
+        differ = known_size != sizes
+        differ[~differ] |= self._unlike(data, first[~differ], known.letters, known.word_at[slots[~differ]], sizes[~differ])
+        units_at, units = known.id_at[slots], known.id_at[slots + 1] - known.id_at[slots]
+        source = [known.ids, np.frombuffer(b"".join(heads), dtype="<u4"), np.array([end_id], dtype=np.uint32)]
+        if differ.any():
+            # Another word with the same hash.
+            others = self._ids([" " + packed[a:b].decode("utf-8", "replace") for a, b in zip(first[differ].tolist(), last[differ].tolist(), strict=True)])
+            n = np.array([len(x) // 4 for x in others])
+            units_at[differ], units[differ] = sum(map(len, source)) + np.cumsum(n) - n, n
+            source.append(np.frombuffer(b"".join(others), dtype="<u4"))
+
+        head_sizes = np.array([len(x) // 4 for x in heads], dtype=np.int64)
+        place = np.arange(rows) * 2 + begin
+        runs = np.zeros(len(first) + 2 * rows, dtype=np.int64)
+        begins = np.zeros(len(runs), dtype=np.int64)
+        runs[place], begins[place] = head_sizes, len(known.ids) + np.cumsum(head_sizes) - head_sizes
+        tails = place + count + 1
+        runs[tails], begins[tails] = 1, len(known.ids) + int(head_sizes.sum())
+        middle = np.arange(len(first)) + 2 * row + 1
+        runs[middle], begins[middle] = units, units_at
+        flat = np.concatenate(source)[_spread(begins, runs)]
+        upto = np.concatenate(([0], np.cumsum(runs)))
+        return flat, upto[np.append(place, len(runs))]
+
+    @staticmethod
+    def _unlike(data: np.ndarray, first: np.ndarray, letters: np.ndarray, place: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether runs of equal sizes hold other bytes."""
+        out = np.zeros(len(sizes), dtype=bool)
+        differ = data[_spread(first, sizes)] != letters[_spread(place, sizes)]
+        if differ.any():
+            out[np.repeat(np.arange(len(sizes)), sizes)[differ]] = True
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -105,24 +212,14 @@ def _encoder(vocabulary: str) -> Encoder:
 def _writer(vocabulary: str, end_id: int) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, position = _encoder(vocabulary), 0
-        tail = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            packed, rows, first, size = [], [], 0, 0
-            for n, piece in enumerate(encoder.encode([t or "" for t in texts])):
-                packed.append(piece + tail)
-                rows.append(len(packed[-1]) // 4)
-                size += len(packed[-1])
-                if size >= 4 * GROUP_BYTES or n == len(texts) - 1:
-                    flat = pa.py_buffer(b"".join(packed))
-                    values = pa.Array.from_buffers(pa.int32(), size // 4, [None, flat])
-                    at = pa.array(np.concatenate(([0], np.cumsum(rows))).astype(np.int32))
-                    place = pa.array(np.arange(position, position + len(rows)), pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.slice(first, len(rows)), place, pa.ListArray.from_arrays(at, values)], names=["doc_id", "position", "ids"]
-                    )
-                    position += len(rows)
-                    first, packed, rows, size = n + 1, [], [], 0
+            raw, at = text.buffers(batch.column("text"))
+            for a, b in text.chunks(at):
+                flat, edges = encoder.encode(raw, at[a : b + 1], end_id)
+                place = pa.array(np.arange(position, position + b - a), pa.int64())
+                lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(flat.view(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), place, lists], names=["doc_id", "position", "ids"])
+                position += b - a
 
     return encode
 
@@ -132,11 +229,17 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
 
     Each file holds a range of ids, in order; `position` counts a file's documents. Stripes can be read in parallel;
     row indexes and the Bloom filter let readers skip stripes by doc_id. Null texts are empty, null ids come first,
-    repeated ids stand together, an empty table gives files without rows. `files` is the number of id ranges.
+    repeated ids stand together, an empty table gives files without rows. `files` is the number of ranges, by default
+    one for each shuffle partition and each FILE_BYTES of text; ranges are cut by id and a hash of the text, so rows
+    without an id and many texts of one id are spread as well.
     """
-    files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+    if files is None:
+        size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    order = ["doc_id", F.xxhash64("text")]
+    rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     encoded = rows.mapInArrow(_writer(vocabulary, end_id), "doc_id long, position long, ids array<int>")
     encoded.write.options(**ORC_OPTIONS).orc(path)
 

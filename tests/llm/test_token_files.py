@@ -3,7 +3,9 @@ import zlib
 import numpy as np
 import pytest
 
-from ledgerlight.llm import token_files
+import pyarrow as pa
+
+from ledgerlight.llm import text, token_files
 
 
 @pytest.fixture(scope="module")
@@ -42,19 +44,46 @@ TEXTS = [
 ]
 
 
+def encoded(encoder, texts):
+    raw, at = text.buffers(pa.array(texts, pa.string()))
+    flat, edges = encoder.encode(raw, at, 0)
+    return [flat[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def whole(library, texts):
+    return [[*library.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+
+
 def test_words_by_themselves_give_the_ids_of_the_text(library):
     encoder = token_files.Encoder(token_files.VOCABULARY)
-    texts = [t or "" for t in TEXTS] * 2
-    for t, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    assert encoded(encoder, TEXTS * 2) == whole(library, TEXTS * 2)
+    assert encoded(encoder, TEXTS[::-1]) == whole(library, TEXTS[::-1])
+    assert encoded(encoder, []) == [] and encoded(encoder, [None, ""]) == [[0], [0]]
+
+
+def test_random_texts(library):
+    import random
+
+    rng = random.Random(3)
+    parts = ["word", "Word", "é", "ñu", ".", ",", " ", " ", " ", "\n", "\t", "\u00a0", "\u2009", "\u2019s", "\u3000", "\x1c", "12", "it's", "<|endoftext|>", "😀", "a.b", "x,"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 30))) for _ in range(3000)]
+    encoder = token_files.Encoder(token_files.VOCABULARY)
+    assert encoded(encoder, texts) == whole(library, texts)
 
 
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(token_files, "CACHED", 5)
-    monkeypatch.setattr(token_files, "GROUP_BYTES", 30)
     encoder = token_files.Encoder(token_files.VOCABULARY)
-    texts = [t or "" for t in TEXTS] * 3
-    assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for k in range(0, 3 * len(TEXTS), 4):
+        part = (TEXTS * 3)[k : k + 4]
+        assert encoded(encoder, part) == whole(library, part)
+
+
+def test_words_with_equal_hashes_keep_their_own_ids(library, monkeypatch):
+    monkeypatch.setattr(text, "span_hashes", lambda data, first, last, cased=False: (last - first).astype(np.uint64) + np.uint64(1))
+    encoder = token_files.Encoder(token_files.VOCABULARY)
+    texts = ["one two six ten cat dog", "a bb cc dd the dog", "x one cat the"]
+    assert encoded(encoder, texts) == whole(library, texts) and encoded(encoder, texts[::-1]) == whole(library, texts[::-1])
 
 
 @pytest.mark.parametrize("files", [1, 5])
