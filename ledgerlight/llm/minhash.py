@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.llm import text
 from ledgerlight.llm.components import connected
-from ledgerlight.session import cut
+from ledgerlight.session import cut, scratch_dir, scratch_scope
 
 SLOTS = 512
 BAND_ROWS = 8
 # Shingles of the sets that one task compares with one another at once.
-OTHERS_BLOCK, ALL_BLOCK = 100_000, 400_000
+OTHERS_BLOCK, ALL_BLOCK = 1_000_000, 3_000_000
 _U = np.uint64
 
 
@@ -112,7 +112,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _comparer(percent: int) -> Callable:
     def compare(others: pd.DataFrame, everyone: pd.DataFrame) -> pd.DataFrame:
-        """Links between two blocks of a bucket, leaving out pairs that are in one component by then."""
+        """Links between two blocks of a family, leaving out pairs that are in one component by then."""
         out: list[tuple[int, int]] = []
         if len(others) and len(everyone):
             label = {c: c for c in {*others["c"].tolist(), *everyone["c"].tolist()}}
@@ -124,17 +124,25 @@ def _comparer(percent: int) -> Callable:
                 return c
 
             ids, comps, n = everyone["id"].to_numpy(), everyone["c"].to_numpy(), everyone["n"].to_numpy()
-            aside = everyone["aside"].to_numpy()
-            flat = np.concatenate(everyone["shingles"].to_list())
-            begins = np.concatenate(([0], np.cumsum(n)[:-1]))
-            for x, cx, nx, own in zip(others["id"], others["c"], others["n"], others["shingles"], strict=True):
+            aside, sets = everyone["aside"].to_numpy(), everyone["shingles"].to_list()
+            buckets: dict[int, list[int]] = {}
+            for j, keys in enumerate(everyone["keys"]):
+                for key in keys.tolist():
+                    buckets.setdefault(key, []).append(j)
+            for x, cx, nx, own, keys in zip(others["id"], others["c"], others["n"], others["shingles"], others["keys"], strict=True):
+                met = np.unique([j for key in keys.tolist() for j in buckets.get(key, ())]).astype(np.int64)
+                # Sets of too different sizes cannot be alike. Of two members of the smaller components, one looks at the other.
+                fits = 100 * np.minimum(n[met], nx) >= percent * np.maximum(n[met], nx)
+                met = met[fits & (ids[met] != x) & ~(aside[met] & (ids[met] < x))]
+                met = met[[root(c) != root(cx) for c in comps[met].tolist()]] if len(met) else met
+                if not len(met):
+                    continue
                 # Hashes ascend as unsigned numbers and come as signed ones, so they are not in order here.
                 own = np.sort(own)
+                flat = np.concatenate([sets[j] for j in met])
                 at = np.minimum(np.searchsorted(own, flat), nx - 1)
-                both = np.add.reduceat((own[at] == flat).astype(np.int64), begins)
-                # Of two members of the smaller components, one looks at the other.
-                linked = (100 * both >= percent * (nx + n - both)) & (ids != x) & ~(aside & (ids < x))
-                for j in np.flatnonzero(linked):
+                both = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(n[met]) - n[met])
+                for j in met[100 * both >= percent * (nx + n[met] - both)]:
                     a, b = root(cx), root(comps[j])
                     if a != b:
                         label[max(a, b)] = min(a, b)
@@ -147,19 +155,25 @@ def _comparer(percent: int) -> Callable:
 def _within(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that join components inside the buckets of `left` (key, id, n, c).
 
-    Members of a bucket's largest component are compared with those of its others only. Both sides are cut into blocks
-    of bounded size, every pair of blocks is a group of its own, and only links leave it.
+    Buckets that share members are a family. A member is in one family and knows its buckets, of which it has no more
+    than bands, so its set travels once, however many buckets it is in. Members of a family's largest component are
+    compared with those of its others only, where they share a bucket. Both sides are cut into blocks of bounded size,
+    every pair of blocks is a group of its own, and only links leave it.
     """
-    sizes = left.groupBy("key", "c").agg(F.count("*").alias("rows"), F.sum("n").alias("s"))
-    bucket = sizes.groupBy("key").agg(F.max(F.struct("rows", "c", "s")).alias("main"), F.sum("s").alias("s"))
-    blocks = bucket.select(
-        "key",
+    leaders = left.groupBy("key").agg(F.min("id").alias("leader"))
+    families = connected(left.join(leaders, "key").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
+    rows = left.groupBy("id").agg(F.any_value("n").alias("n"), F.any_value("c").alias("c"), F.collect_set("key").alias("keys"))
+    rows = cut(rows.join(families.select(F.col("node").alias("id"), F.col("component").alias("family")), "id"), "families")
+    sizes = rows.groupBy("family", "c").agg(F.count("*").alias("rows"), F.sum("n").alias("s"))
+    whole = sizes.groupBy("family").agg(F.max(F.struct("rows", "c", "s")).alias("main"), F.sum("s").alias("s"))
+    blocks = whole.where("s > main.s").select(
+        "family",
         F.col("main.c").alias("main"),
         F.ceil((F.col("s") - F.col("main.s")) / OTHERS_BLOCK).cast("int").alias("na"),
         F.ceil(F.col("s") / ALL_BLOCK).cast("int").alias("nb"),
     )
-    held = left.drop("n").join(sets, "id").withColumn("n", F.size("shingles")).where("n > 0")
-    members = cut(held.join(blocks, "key").withColumn("aside", F.col("c") != F.col("main")), "blocks")
+    held = rows.join(blocks, "family").withColumn("aside", F.col("c") != F.col("main")).drop("main")
+    members = held.drop("n").join(sets, "id").withColumn("n", F.size("shingles")).where("n > 0")
 
     def part(count: str):
         return F.pmod(F.xxhash64("id", F.lit(7)), F.col(count)).cast("int")
@@ -167,10 +181,37 @@ def _within(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def numbers(count: str):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    columns = [F.col(c).alias(c) for c in ("key", "id", "n", "c", "aside", "shingles")]
-    others = members.where("aside").select("key", "id", "n", "c", "shingles", part("na").alias("i"), numbers("nb").alias("j"))
-    everyone = members.select(*columns, part("nb").alias("j"), numbers("na").alias("i"))
-    return others.groupBy("key", "i", "j").cogroup(everyone.groupBy("key", "i", "j")).applyInPandas(_comparer(percent), "a long, b long")
+    columns = ["family", "id", "n", "c", "keys", "shingles"]
+    others = members.where("aside").select(*columns, part("na").alias("i"), numbers("nb").alias("j"))
+    # Named anew, as both sides are made of the same rows.
+    everyone = members.select(*[F.col(c).alias(c) for c in [*columns, "aside"]], part("nb").alias("j"), numbers("na").alias("i"))
+    return others.groupBy("family", "i", "j").cogroup(everyone.groupBy("family", "i", "j")).applyInPandas(_comparer(percent), "a long, b long")
+
+
+def _labels(named: DataFrame, keys: DataFrame, buckets: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(node, component) of all nodes that have links, from the members of the buckets."""
+    members = cut(keys.join(buckets.select("key", "members", "leader"), "key"), "members")
+    wanted = members.select("id").distinct()
+    sets = named.join(wanted.hint("shuffle_hash"), "id", "left_semi")
+    sets = cut(sets.mapInArrow(_shingler(shingle), "id long, shingles array<long>"), "sets")
+    first = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    labels = cut(connected(_confirmed(first, sets, percent)), "labels")
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        named = labels.withColumnRenamed("node", "id")
+        return rows.join(named, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+
+    def unfinished(rows: DataFrame) -> DataFrame:
+        ends = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
+        return ends.where("x <> y").select("key")
+
+    # A bucket is done when it is one component, or has two members, which have met.
+    seen = labelled(members.where("members > 2").select("key", "id", "n"))
+    left = cut(seen.join(unfinished(seen), "key", "left_semi"), "left")
+    if left.isEmpty():
+        return labels
+    known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected(known.union(_within(left, sets, percent)))
 
 
 def near_duplicates(
@@ -202,36 +243,19 @@ def near_duplicates(
     signed = cut(named.mapInArrow(_signer(shingle, slots, band_rows), "id long, n long, s1 long, s2 long, bands array<long>"), "signatures")
     real = signed.where("n > 0 AND id IS NOT NULL")
     nodes = cut(real.groupBy("s1", "s2", "n").agg(F.min("id").alias("id"), F.any_value("bands").alias("bands")), "nodes")
-    keys = nodes.select("id", "n", F.explode("bands").alias("key"))
+    # Dealt once, for counting the buckets and for finding their members again.
+    keys = nodes.select("id", "n", F.explode("bands").alias("key")).repartition("key")
 
     buckets = keys.groupBy("key").agg(
         F.count("*").alias("members"), F.min("id").alias("leader"), F.bit_xor(F.xxhash64("id")).alias("mark")
     ).where("members > 1")
     # Bands with the same members are one bucket.
     buckets = buckets.groupBy("mark", "members", "leader").agg(F.min("key").alias("key"))
-    members = cut(keys.join(buckets.select("key", "members", "leader"), "key"), "members")
-
-    wanted = members.select("id").distinct()
-    sets = named.join(wanted.hint("shuffle_hash"), "id", "left_semi")
-    sets = cut(sets.mapInArrow(_shingler(shingle), "id long, shingles array<long>"), "sets")
-    first = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = _confirmed(first, sets, percent)
-    labels = cut(connected(links), "labels")
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        named = labels.withColumnRenamed("node", "id")
-        return rows.join(named, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-
-    def unfinished(rows: DataFrame) -> DataFrame:
-        ends = rows.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"))
-        return ends.where("x <> y").select("key")
-
-    # A bucket is done when it is one component, or has two members, which have met.
-    seen = labelled(members.where("members > 2").select("key", "id", "n"))
-    left = cut(seen.join(unfinished(seen), "key", "left_semi"), "left")
-    if not left.isEmpty():
-        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = cut(connected(known.union(_within(left, sets, percent))), "labels")
+    path = scratch_dir(docs.sparkSession, "components")
+    with scratch_scope(docs.sparkSession):
+        labels = _labels(named, keys, buckets, shingle, percent)
+        labels.write.parquet(path)
+    labels = docs.sparkSession.read.schema(labels.schema).parquet(path)
 
     groups = nodes.select("s1", "s2", "n", F.col("id").alias("node")).join(labels, "node", "left")
     groups = groups.select("s1", "s2", F.col("n").alias("n_set"), F.coalesce("component", "node").alias("component"))

@@ -80,6 +80,13 @@ def test_equals_all_pairs(spark, k):
     assert run(spark, rows, shingle=k) == brute(rows, k, 80)
 
 
+def test_blocks_of_a_family_meet_one_another(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "OTHERS_BLOCK", 300)
+    monkeypatch.setattr(minhash, "ALL_BLOCK", 700)
+    rows = texts()
+    assert run(spark, rows, slots=64, band_rows=2) == brute(rows, 5, 80)
+
+
 def test_only_members_behind_the_leader_are_alike(spark):
     """One band holds all three; the leader is like neither of the others, which are like one another."""
     rng = random.Random(4)
@@ -111,12 +118,15 @@ def test_comparer_counts_like_set_intersection(size):
             sets.append(np.where(new, rng.integers(0, 2**64, size, dtype=np.uint64), own))
     sets = [np.unique(s).view(np.int64) for s in sets]
     for i, x in enumerate(sets):
-        others = pd.DataFrame({"id": [i], "c": [i], "n": [len(x)], "shingles": [x]})
+        keys = [np.array([7, i])]
+        others = pd.DataFrame({"id": [i], "c": [i], "n": [len(x)], "shingles": [x], "keys": keys})
         for j, y in enumerate(sets):
-            everyone = pd.DataFrame({"id": [j], "c": [j], "n": [len(y)], "aside": [False], "shingles": [y]})
+            everyone = pd.DataFrame({"id": [j], "c": [j], "n": [len(y)], "aside": [False], "shingles": [y], "keys": [np.array([j, 7])]})
             both = len(np.intersect1d(x, y))
             wanted = [(i, j)] if i != j and 100 * both >= 80 * (len(x) + len(y) - both) else []
             assert list(minhash._comparer(80)(others, everyone).itertuples(index=False, name=None)) == wanted
+            apart = everyone.assign(keys=[np.array([-1])])
+            assert not len(minhash._comparer(80)(others, apart))
 
 
 def test_long_text_and_copies(spark):
