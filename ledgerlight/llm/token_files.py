@@ -16,7 +16,8 @@ from ledgerlight.session import cut, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-CACHED = 400_000  # encoded words that a worker remembers; a bound on memory only
+CACHED = 800_000  # encoded words that a worker remembers; a bound on memory only
+JOINED = 2_000  # unknown words that are encoded as one string
 FILE_BYTES = 256_000_000  # text of one file, about
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -31,6 +32,8 @@ ORC_OPTIONS = {
 WIDE_SPACES = [(0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80)]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[*range(9, 14), *range(28, 33)]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -58,15 +61,14 @@ class _Words:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
         return np.where(self.hashes[at] == hashes, self.slots[at], -1)
 
-    def add(self, hashes: np.ndarray, words: list[bytes], ids: list[bytes]) -> None:
-        """Further words, their hashes ascending."""
+    def add(self, hashes: np.ndarray, place: np.ndarray, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Further words: `hashes` ascend, the word of each is words[place]; `ids` has `sizes` ids for each of the words."""
         at = np.searchsorted(self.hashes, hashes)
-        slots = np.arange(len(self), len(self) + len(hashes))
-        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
+        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, len(self) + place)
         self.word_at = np.concatenate((self.word_at, self.word_at[-1] + np.cumsum([len(w) for w in words])))
-        self.id_at = np.concatenate((self.id_at, self.id_at[-1] + np.cumsum([len(x) // 4 for x in ids])))
+        self.id_at = np.concatenate((self.id_at, self.id_at[-1] + np.cumsum(sizes)))
         self.letters = np.concatenate((self.letters, np.frombuffer(b"".join(words), dtype=np.uint8)))
-        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype="<u4")))
+        self.ids = np.concatenate((self.ids, ids))
 
 
 class Encoder:
@@ -75,7 +77,8 @@ class Encoder:
     A byte-level vocabulary is applied piece by piece, and a single space before a word always begins a piece. So where
     no white space stands next to other white space, the text's ids are those of its words, each with its space. Other
     texts, and those with the string of a special token, go to the library whole. A chunk's words are looked up by hash
-    and compared byte by byte, all at once; only words that the table lacks become Python strings.
+    and compared byte by byte, all at once. Words that the table lacks are encoded many in a string, with single spaces
+    between them; an id whose token begins with the space begins a word.
     """
 
     def __init__(self, vocabulary: str):
@@ -92,19 +95,43 @@ class Encoder:
         self.special = [s.encode() for s in special]
         self.whole = re.compile("|".join([r"\s\s", *map(re.escape, special)]))
         self.words = _Words()
-        self.marks = dict(zip(".,", self._ids([".", ","]), strict=True))
+        vocabulary = self.library.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # a space, in byte-level vocabularies
+        self.joins = not any(" " in s for s in special)
+        # Where a mark behind letters is a piece of its own, words are remembered without it.
+        marks, apart = self._ids([".", ",", " a", "a"]), self._ids([" a.", " a,", "a."])
+        self.marks = [np.frombuffer(m, dtype="<u4") for m in marks[:2]] if apart == [marks[2] + marks[0], marks[2] + marks[1], marks[3] + marks[0]] else []
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        plain = [w.decode("utf-8", "replace") for w in words]
-        # A mark after letters is a piece of its own.
-        stems = [w[:-1] if w[-1:] in self.marks and w[:-1].isalpha() else w for w in plain]
-        distinct = list(dict.fromkeys(stems))
-        ids = dict(zip(distinct, self._ids([" " + w for w in distinct]), strict=True))
-        self.words.add(hashes, words, [ids[s] + (self.marks[w[-1]] if len(s) < len(w) else b"") for s, w in zip(stems, plain, strict=True)])
+        """Put words, without the space before them, into the table; their hashes ascend."""
+        # White space at a word's end, which is its text's end as well, would stand beside the next word's space.
+        lone = [not w or bool(_SPACE[w[-1]]) or (w[-1] >= 128 and w.decode("utf-8", "replace")[-1].isspace()) for w in words]
+        together = [k for k, x in enumerate(lone) if not x] if self.joins else []
+        alone = [k for k, x in enumerate(lone) if x] if self.joins else list(range(len(words)))
+        groups = [together[k : k + JOINED] for k in range(0, len(together), JOINED)]
+        joined = [" " + b" ".join([words[k] for k in g]).decode("utf-8", "replace") for g in groups]
+        order, ids, sizes = [], [], []
+        for group, found in zip(groups, self.library.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            own = np.array(found.ids, dtype=np.uint32)
+            at = np.flatnonzero(self.begins[own])
+            if len(at) != len(group) or at[0] != 0:
+                alone += group
+                continue
+            order += group
+            ids.append(own)
+            sizes.append(np.diff(at, append=len(own)))
+        single = self._ids([" " + words[k].decode("utf-8", "replace") for k in alone])
+        order += alone
+        ids.append(np.frombuffer(b"".join(single), dtype="<u4"))
+        sizes.append(np.array([len(x) // 4 for x in single], dtype=np.int64))
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        self.words.add(hashes, place, [words[k] for k in order], np.concatenate(ids), np.concatenate(sizes))
 
     def _odd(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rows that have to go to the library whole."""
@@ -150,6 +177,9 @@ class Encoder:
         packed = data.tobytes()
         heads = self._ids([packed[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1].tolist(), heads_end.tolist(), strict=True)])
 
+        marked = self._marked(data, first, last)
+        marks_before = np.concatenate(([0], np.cumsum(marked)))
+        last = last - marked
         sizes = last - first
         hashes = np.full(len(first), 0, dtype=np.uint64)
         some = sizes > 0
@@ -177,18 +207,33 @@ class Encoder:
             source.append(np.frombuffer(b"".join(others), dtype="<u4"))
 
         head_sizes = np.array([len(x) // 4 for x in heads], dtype=np.int64)
-        place = np.arange(rows) * 2 + begin
-        runs = np.zeros(len(first) + 2 * rows, dtype=np.int64)
+        place = np.arange(rows) * 2 + begin + marks_before[begin]
+        runs = np.zeros(len(first) + int(marks_before[-1]) + 2 * rows, dtype=np.int64)
         begins = np.zeros(len(runs), dtype=np.int64)
         runs[place], begins[place] = head_sizes, len(known.ids) + np.cumsum(head_sizes) - head_sizes
-        tails = place + count + 1
+        tails = place + count + marks_before[begin + count] - marks_before[begin] + 1
         runs[tails], begins[tails] = 1, len(known.ids) + int(head_sizes.sum())
-        middle = np.arange(len(first)) + 2 * row + 1
+        middle = np.arange(len(first)) + marks_before[:-1] + 2 * row + 1
         runs[middle], begins[middle] = units, units_at
+        for mark, own in zip(b".,", self.marks, strict=False):
+            at_mark = middle[marked & (data[np.minimum(last, len(data) - 1)] == mark)] + 1
+            runs[at_mark], begins[at_mark] = len(own), sum(map(len, source))
+            source.append(own)
         flat = np.concatenate(source)[_spread(begins, runs)]
         upto = np.concatenate(([0], np.cumsum(runs)))
         return flat, upto[np.append(place, len(runs))]
 
+    def _marked(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Whether a word is letters, ASCII or with one accent, and a full stop or a comma."""
+        if not self.marks or not len(first):
+            return np.zeros(len(first), dtype=bool)
+        accent = data == 0xC3
+        letter = _LETTER[data] | accent
+        letter[1:] |= accent[:-1] & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        others = np.concatenate(([0], np.cumsum(~letter)))
+        end = data[np.maximum(last - 1, 0)]
+        return (last - first > 1) & ((end == 46) | (end == 44)) & (others[np.maximum(last - 1, first)] == others[first])
+
     @staticmethod
     def _unlike(data: np.ndarray, first: np.ndarray, letters: np.ndarray, place: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Whether runs of equal sizes hold other bytes."""
