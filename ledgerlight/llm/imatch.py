@@ -55,7 +55,7 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: flo
 def fingerprint(found: np.ndarray, words: np.ndarray, whole: str) -> np.ndarray:
     """The fingerprint of ascending term hashes: a 16-bit number per scale and subset, 0 where the subset has no term.
 
-    Texts without a lexicon term have one number only, a hash of the text.
+    Texts without a lexicon term have the 16 numbers of the text's SHA-256 instead.
     """
     if len(words) and len(found):
         at = np.minimum(np.searchsorted(words, found), len(words) - 1)
@@ -63,7 +63,7 @@ def fingerprint(found: np.ndarray, words: np.ndarray, whole: str) -> np.ndarray:
     else:
         found = found[:0]
     if not len(found):
-        return np.frombuffer(hashlib.sha256(whole.encode("utf-8", "surrogatepass")).digest()[:2], dtype=np.uint16)
+        return np.frombuffer(hashlib.sha256(whole.encode("utf-8", "surrogatepass")).digest(), dtype=np.uint16)
     drawn = text.mix(found[None, :] ^ _SEEDS)
     value = text.mix(found)[None, :]
     out = np.zeros((len(_LIMITS), SUBSETS), dtype=np.uint16)
@@ -82,7 +82,7 @@ def likeness(one: np.ndarray, two: np.ndarray) -> float:
     """
     if np.array_equal(one, two):
         return 1.0
-    if len(one) != len(two) or len(one) == 1:
+    if len(one) != len(two) or len(one) != len(_LIMITS) * SUBSETS:
         return 0.0
     a, b = one.reshape(-1, SUBSETS), two.reshape(-1, SUBSETS)
     used = ((a != 0) | (b != 0)).sum(axis=1)

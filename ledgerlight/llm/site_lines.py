@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerlight.session import cut
+
 RATIO = 0.2  # share of a host's pages from which a line is boilerplate
 LEAST_PAGES = 3  # pages of the host that have to share it at least
 _BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
@@ -53,8 +55,9 @@ def without_boilerplate(
     which is split at run time where a host is hot.
     """
     rows = pages.select(F.col(id_col), host(F.col(url_col)).alias("host"), html_lines(F.col(html_col)).alias("lines"))
-    common = boilerplate(rows, ratio, least_pages)
-    # A sort-merge join, whose hot partitions are split at run time; a late broadcast would leave them whole.
+    # Written, so that both sides of the join are plain exchanges: a sort-merge join splits a hot host's pages at run time,
+    # which an aggregate in the join's own stage would forbid, and a late broadcast would leave them whole.
+    common = cut(boilerplate(rows, ratio, least_pages), "boilerplate")
     joined = rows.join(common.hint("merge"), "host", "left")
     dropped = F.coalesce("boilerplate", F.array().cast("array<bigint>"))
     kept = F.filter("lines", lambda x: ~F.array_contains(dropped, F.xxhash64(x)))

@@ -6,12 +6,14 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from ledgerlight.session import cut
 
-BANDS = 64  # parts of the time line that a URL's captures are looked through in
+LEAST_BANDS = 64  # parts of the time line that a URL's captures are looked through in, at least
+BAND_ROWS = 200_000  # captures of a part, about: even a URL with a third of all has no more of them in one task
 HEADERS = "array<struct<name:string,value:string>>"
 SCHEMA = f"record_id string, type string, url string, date timestamp, digest string, status int, headers {HEADERS}, payload binary"
 _ARROW = pa.schema(
@@ -183,13 +185,12 @@ def _latest(rows: DataFrame) -> DataFrame:
     band; that is carried on over a page's bands, and only rows of a band are compared with each other.
     """
     micros = F.unix_micros("date")
-    events = rows.select("record_id", "type", "page", micros.alias("t")).where("t IS NOT NULL AND record_id IS NOT NULL")
-    shares = [k / BANDS for k in range(1, BANDS)]
-    bounds = events.agg(F.percentile_approx("t", shares, 10_000)).first()[0] or []
-    place = F.lit(0)
-    for b in sorted(set(bounds)):
-        place = place + F.when(F.col("t") >= b, 1).otherwise(0)
-    events = events.withColumn("band", place)
+    events = rows.select("record_id", "type", "page", micros.alias("t")).where("t IS NOT NULL AND record_id IS NOT NULL AND page IS NOT NULL")
+    bands = max(LEAST_BANDS, -(-events.count() // BAND_ROWS))
+    shares = [k / bands for k in range(1, bands)]
+    bounds = events.agg(F.percentile_approx(F.col("t").cast("double"), shares, max(10_000, 10 * bands))).first()[0] or []
+    splits = [-float("inf"), *sorted(set(bounds)), float("inf")]
+    events = Bucketizer(splits=splits, inputCol="at", outputCol="band").transform(events.withColumn("at", F.col("t").cast("double"))).drop("at")
     full = F.when(F.col("type") == "response", F.struct("t", "record_id"))
     sums = events.groupBy("page", "band").agg(F.max(full).alias("last"))
     before = Window.partitionBy("page").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
@@ -209,10 +210,11 @@ def resolve(rows: DataFrame) -> DataFrame:
     must agree too; with nothing to compare it isn't validated. Its headers are the stored ones, with the fields that a
     304 may update replaced. Otherwise it has no payload and keeps its own headers: mismatch, or no_response. Of
     responses at the same time the one with the greatest id counts. Records with the same id count as one; those
-    without id or date are never a source, and a revisit without them is no_response. Other types are left out.
+    without id or date are never a source, and a revisit without them is no_response. So is one whose URL is null or
+    has no host: its page is null, and unknown URLs are not the same. Other types are left out, further columns ignored.
     """
-    rows = rows.where("type = 'response' OR type = 'revisit'")
-    rows = rows.withColumn("page", canonical(F.col("url"))).withColumn("type", F.when(F.col("status") == 304, "revisit").otherwise(F.col("type")))
+    rows = rows.select(*_ARROW.names).where("type = 'response' OR type = 'revisit'")
+    rows = rows.withColumn("page", canonical(F.col("url"))).withColumn("page", F.when(F.col("page").rlike("^[^/?]"), F.col("page"))).withColumn("type", F.when(F.col("status") == 304, "revisit").otherwise(F.col("type")))
     latest = _latest(rows).groupBy("record_id", "page").agg(F.max("source_id").alias("source_id"))
     revisits = rows.where("type = 'revisit'").drop("payload").join(latest, ["record_id", "page"], "left")
     stored = rows.where("type = 'response' AND record_id IS NOT NULL").groupBy("record_id").agg(F.min(F.struct("payload", "headers", "digest")).alias("stored"))

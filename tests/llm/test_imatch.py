@@ -71,3 +71,10 @@ def test_equal_texts_have_equal_fingerprints(spark):
     assert prints.groupBy("text").agg(F.countDistinct("fingerprint").alias("n")).where("n > 1").count() == 0
     texts = docs.select("text").distinct().count()
     assert prints.select("fingerprint").distinct().count() > 0.9 * texts
+
+
+def test_texts_without_lexicon_terms_keep_their_whole_digest():
+    none = np.zeros(0, dtype=np.uint64)
+    prints = [imatch.fingerprint(none, none, f"text {i}") for i in range(3000)]
+    assert len({imatch.as_text(p) for p in prints}) == 3000
+    assert imatch.likeness(prints[0], prints[0].copy()) == 1.0 and imatch.likeness(prints[0], prints[1]) == 0.0

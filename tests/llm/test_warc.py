@@ -116,3 +116,29 @@ def test_query_resolves_derived_crawl(spark):
     assert len(counts["response"]) == len(counts["same"]) == len(pages)
     assert set(counts["response"]) == {"response"} and counts["same"].count("resolved") > 0.9 * len(pages)
     assert "resolved" not in counts["other"]
+
+
+def test_unknown_urls_are_not_the_same(spark):
+    tag = [("ETag", '"1"')]
+    rows = []
+    for k, url in enumerate([None, "", "http:///x"]):
+        rows += [record(f"a{k}", url=url, headers=tag), record(f"b{k}", "revisit", url=url, minutes=5, headers=tag)]
+    found = resolved(spark, rows)
+    for k in range(3):
+        assert (found[f"b{k}"]["outcome"], found[f"b{k}"]["source_id"], found[f"b{k}"]["page"]) == ("no_response", None, None)
+        assert found[f"a{k}"]["outcome"] == "response"
+
+
+def test_further_columns_may_have_any_name(spark):
+    tag = [("ETag", '"1"')]
+    rows = frame(spark, [record("a", headers=tag), record("b", "revisit", minutes=5, headers=tag)])
+    wide = rows.withColumns({c: F.lit(7) for c in ("page", "source_id", "stored", "outcome", "t", "band", "at")})
+    assert sorted(map(str, warc.resolve(wide).collect())) == sorted(map(str, warc.resolve(rows).collect()))
+
+
+def test_more_bands_give_the_same(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [record(f"r{i:03d}", rng.choice(["response", "revisit"]), rng.choice(["http://a/x", "http://a/x", "http://b/y"]), rng.randrange(400), headers=[("ETag", '"1"')]) for i in range(300)]
+    want = {k: v["source_id"] for k, v in resolved(spark, rows).items()}
+    monkeypatch.setattr(warc, "BAND_ROWS", 2)
+    assert {k: v["source_id"] for k, v in resolved(spark, rows).items()} == want
