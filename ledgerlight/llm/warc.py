@@ -189,7 +189,8 @@ def _latest(rows: DataFrame) -> DataFrame:
     bands = max(LEAST_BANDS, -(-events.count() // BAND_ROWS))
     shares = [k / bands for k in range(1, bands)]
     bounds = events.agg(F.percentile_approx(F.col("t").cast("double"), shares, max(10_000, 10 * bands))).first()[0] or []
-    splits = [-float("inf"), *sorted(set(bounds)), float("inf")]
+    # A bucketizer has two buckets at least; nothing lies in the last one of these.
+    splits = [-float("inf"), *(sorted(set(bounds)) or [2.0**62]), float("inf")]
     events = Bucketizer(splits=splits, inputCol="at", outputCol="band").transform(events.withColumn("at", F.col("t").cast("double"))).drop("at")
     full = F.when(F.col("type") == "response", F.struct("t", "record_id"))
     sums = events.groupBy("page", "band").agg(F.max(full).alias("last"))
