@@ -19,8 +19,7 @@ GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-
 # What may be an identifier without being a base one: digits with separators, and names at a host without a domain.
 LOOSE = r"(?<![0-9A-Za-z.(+-])\(?[0-9][\x20().0-9-]{3,}[0-9]|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++"
 LOOSE_GUARD = r"[0-9][\x20().0-9-]{3}|@"
-CONTEXT = 48  # code points on either side that a context's words are taken from
-ROUNDS = 3
+WIDTHS = (48, 1_024, 32_768)  # code points looked at first for a context's words; more only where a word reaches further
 LEAST_SEEDS = 3  # distinct known identifiers of a kind that a context needs
 LEAST_PATTERN = 0.75  # share of a context's identifiers that are of its kind
 LEAST_INSTANCE = 0.9
@@ -75,18 +74,34 @@ def _valid_spans(text: Column, kind: str) -> Column:
     return F.filter(spans(text, PATTERNS[kind], GUARDS[kind]), lambda s: valid(kind, s["value"]))
 
 
+def _before(text: Column, start: Column, words: str) -> Column:
+    """The last words that end before `start`, whole however long they are; null without them."""
+
+    def within(begin: Column) -> Column:
+        piece = F.substring(text, begin + 1, start - begin)
+        piece = F.when(begin == 0, F.concat(F.lit(" "), piece)).otherwise(piece)
+        return F.nullif(F.regexp_extract(piece, rf"[\x20\x09-\x0D]({words})[\x20\x09-\x0D]*+$", 1), F.lit(""))
+
+    return F.coalesce(*[within(F.greatest(start - w, F.lit(0))) for w in WIDTHS], within(F.lit(0)))
+
+
+def _after(text: Column, end: Column) -> Column:
+    """The first word from `end` on, whole however long it is; null without one."""
+
+    def within(width: Column) -> Column:
+        piece = F.substring(text, end + 1, width)
+        piece = F.when(F.length(piece) < width, F.concat(piece, F.lit(" "))).otherwise(piece)
+        return F.nullif(F.regexp_extract(piece, r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)[\x20\x09-\x0D]", 1), F.lit(""))
+
+    return F.coalesce(*[within(F.lit(w)) for w in WIDTHS], within(F.lit(2**31 - 1)))
+
+
 def _context(text: Column, start: Column, end: Column) -> list[Column]:
     """Two lexical patterns: the two words before, and the word on either side; digits count alike."""
-    begin = F.greatest(start - CONTEXT, F.lit(0))
-    left = F.regexp_replace(F.substring(text, begin + 1, start - begin), "[0-9]", "0")
-    right = F.regexp_replace(F.substring(text, end + 1, F.lit(CONTEXT)), "[0-9]", "0")
-    one = F.lower(F.regexp_extract(left, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
-    two = F.lower(F.regexp_extract(left, r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
-    after = F.lower(F.regexp_extract(right, r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1))
-    return [
-        F.when(two != "", F.concat(two, F.lit(" _"))),
-        F.when((one != "") & (after != ""), F.concat(one, F.lit(" _ "), after)),
-    ]
+    word = r"[^\x20\x09-\x0D]++"
+    two = F.concat(_before(text, start, word + r"[\x20\x09-\x0D]++" + word), F.lit(" _"))
+    around = F.concat(_before(text, start, word), F.lit(" _ "), _after(text, end))
+    return [F.lower(F.regexp_replace(c, "[0-9]", "0")) for c in (two, around)]
 
 
 def _fits(kind: Column, value: Column) -> Column:
@@ -124,32 +139,36 @@ def _value(kind: Column, value: Column) -> Column:
     return F.when(value.contains("@"), F.lower(value)).when((kind == "ip") | value.rlike(r"^[0-9]+(\.[0-9]+){3}$"), value).otherwise(_digits(value))
 
 
-def discover(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def discover(found: DataFrame) -> DataFrame:
     """(instance, kind) of identifiers beyond the base ones, by scoring the graph of patterns and instances.
 
     Base identifiers are seeds with score 1. In each round a pattern's confidence in a kind is the sum of its instances'
     scores over the number of its distinct instances plus one; patterns with enough distinct instances of the kind
     and enough confidence vote, an unseen instance's score is the chance that not all of its patterns are wrong, and
-    those with a high score join the known ones. Edges are distinct (pattern, instance) pairs, counted before they move.
+    those with a high score join the known ones with it. Rounds go on until one accepts nothing new: what is accepted
+    stays, so they end, after as many rounds as the longest chain of contexts has links. Edges are distinct
+    (pattern, instance) pairs, counted before they move.
     """
+    spark = found.sparkSession
     seen = found.select(F.explode(F.concat("base", "loose")).alias("s"))
     seen = seen.select(F.col("s.kind").alias("kind"), _value(F.col("s.kind"), F.col("s.value")).alias("instance"), F.col("s.value").alias("value"), F.explode("s.patterns").alias("pattern"))
     edges = cut(seen.groupBy("pattern", "instance").agg(F.min("kind").alias("kind"), F.min("value").alias("value")), "edges")
     known = edges.where("kind IS NOT NULL").select("instance", "kind").distinct()
     total = edges.groupBy("pattern").agg(F.count("*").alias("all"))
-    seeds = known.withColumn("score", F.lit(1.0))
+    scored = known.withColumn("score", F.lit(1.0))
     unseen = edges.where("kind IS NULL").select("pattern", "instance", "value").join(known.select("instance").distinct(), "instance", "left_anti")
-    accepted = None
-    for _ in range(rounds):
-        scored = seeds if accepted is None else seeds.union(accepted.select("instance", "kind", "score"))
-        votes = edges.select("pattern", "instance").join(scored, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), F.count("*").alias("n"))
+    accepted = spark.createDataFrame([], "instance string, kind string, score double")
+    while True:
+        votes = edges.select("pattern", "instance").join(scored.union(accepted), "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), F.count("*").alias("n"))
         votes = votes.where(F.col("n") >= LEAST_SEEDS).join(total, "pattern").withColumn("c", F.col("sum") / (F.col("all") + 1))
         votes = votes.where(F.col("c") >= LEAST_PATTERN).select("pattern", "kind", "c")
-        scores = unseen.join(votes, "pattern").where(_fits(F.col("kind"), F.col("value")))
+        scores = unseen.join(accepted.select("instance"), "instance", "left_anti").join(votes, "pattern").where(_fits(F.col("kind"), F.col("value")))
         scores = scores.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.least("c", F.lit(0.99)))))).alias("score"))
         best = scores.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("b"))
-        accepted = cut(best.select("instance", F.col("b.kind").alias("kind"), F.col("b.score").alias("score")).where(F.col("score") >= LEAST_INSTANCE), "accepted")
-    return accepted.select("instance", "kind")
+        new = cut(best.select("instance", F.col("b.kind").alias("kind"), F.col("b.score").alias("score")).where(F.col("score") >= LEAST_INSTANCE), "accepted")
+        if new.isEmpty():
+            return accepted.select("instance", "kind")
+        accepted = cut(accepted.union(new), "accepted")
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

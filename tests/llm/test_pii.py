@@ -77,6 +77,67 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert not added[51] and not added[53] and not any(added[i] for i in range(12))
 
 
+def words_around(text, start, end):
+    before, after = re.findall(r"[^ \t-\r]+", text[:start]), re.findall(r"[^ \t-\r]+", text[end:])
+    out = []
+    if len(before) > 1:
+        out.append(re.search(r"[^ \t-\r]+[ \t-\r]+[^ \t-\r]+(?=[ \t-\r]*$)", text[:start])[0] + " _")
+    if before and after:
+        out.append(f"{before[-1]} _ {after[0]}")
+    return [re.sub("[0-9]", "0", p).lower() for p in out]
+
+
+def brute_added(rows):
+    """Phone numbers without a plus that the rounds add, by plain loops: {id: values}."""
+    loose = re.compile(r"(?<![0-9A-Za-z.(+-])\(?[0-9][ ().0-9-]{3,}[0-9]")
+    spots, edges, known = [], {}, {}
+    for i, text in rows:
+        base = [(a, b) for kind, a, b in brute(text) if kind == "phone"]
+        for a, b in base:
+            known[re.sub("[^0-9]", "", text[a:b])] = 1.0
+        for a, b in base + [m.span() for m in loose.finditer(text) if not any(x < m.end() and m.start() < y for x, y in base)]:
+            value = re.sub("[^0-9]", "", text[a:b])
+            spots.append((i, text[a:b], value, (a, b) in base))
+            for p in words_around(text, a, b):
+                edges.setdefault(p, set()).add(value)
+    unseen = {v for *_, v, is_base in spots if not is_base and v not in known and 7 <= len(v) <= 15}
+    scores, rounds = dict(known), 0
+    while True:
+        votes = {}
+        for p, values in edges.items():
+            have = [scores[v] for v in values if v in scores]
+            if len(have) >= pii.LEAST_SEEDS and sum(have) / (len(values) + 1) >= pii.LEAST_PATTERN:
+                votes[p] = sum(have) / (len(values) + 1)
+        new = {}
+        for v in unseen - set(scores):
+            wrong = 1.0
+            for p, values in edges.items():
+                if v in values and p in votes:
+                    wrong *= 1 - min(votes[p], 0.99)
+            if 1 - wrong >= pii.LEAST_INSTANCE:
+                new[v] = 1 - wrong
+        if not new:
+            return {i: sorted(s for j, s, v, b in spots if j == i and not b and v in scores and v not in known) for i, _ in rows}, rounds
+        scores |= new
+        rounds += 1
+
+
+def test_rounds_go_on_until_nothing_is_new_as_plain_loops_do(spark):
+    long = "w" * 70
+    places = [("Please ring {} at noon", 0), (f"or {long} {{}} {long}é now", 1), ("or whisper {} softly to them", 2), ("\n \t" * 60 + "mail  fax {} only" + " " * 80, 3), ("So just text {} twice", 4)]
+    sizes = [1500, 300, 60, 12, 2]
+    number = lambda k, j: f"+1 (415) 5{k}5-{1000 + j}" if k == 0 else f"(415) 5{k}5-{1000 + j}"
+    rows = []
+    for text, k in places[:4]:
+        rows += [(0, text.format(number(k, j))) for j in range(sizes[k])] + [(0, text.format(number(k + 1, j))) for j in range(sizes[k + 1])]
+    rows += [(0, f"or {long[1:]}x 415 555 8888 {long} now"), (0, "No number 12 34 here"), (0, "It lists 415 555 9999 units")]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    want, rounds = brute_added(rows)
+    got = {i: sorted(s[3] for s in spans if not s[4]) for i, spans in run(spark, rows)}
+    assert rounds == 4 and sum(map(len, want.values())) == 2 * (300 + 60 + 12) + 2
+    assert got == want
+
+
 def test_digest_and_defined_cases(spark):
     rows = [(1, HARD[5]), (1, HARD[5]), (1, "another c@d.ef"), (None, "x@y.zz"), (2, None), (3, "10.0.0.1 " * 3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
