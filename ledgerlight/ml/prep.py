@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlight.functions.scalar import cyclic_features, finite
-from ledgerlight.operators.cells import Measure, percentile_rank, running, value_cell
+from ledgerlight.operators.cells import Measure, at_shares, percentile_rank, running
 from ledgerlight.plans.profiles import available
 
 
@@ -18,15 +18,9 @@ def stacked(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def medians(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature, median) over the finite values, exact, from running counts of equal values."""
+    """(feature, median) over the finite values, exact."""
     counts = stacked(df, columns).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
-    upto = running(
-        counts.withColumn("_cell", value_cell(F.col("v"))), ["feature"], [Measure("_upto", F.col("n"))], order=["v"]
-    )
-    middle = (F.col("_upto_all") - 1) / 2
-    low = F.min(F.when(F.col("_upto") > F.floor(middle), F.col("v")))
-    high = F.min(F.when(F.col("_upto") > F.ceil(middle), F.col("v")))
-    return upto.groupBy("feature").agg(((low + high) / 2).alias("median"))
+    return at_shares(counts, ["feature"], "v", [0.5]).select("feature", ((F.col("lo_0") + F.col("hi_0")) / 2).alias("median"))
 
 
 def fit_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:

@@ -1,7 +1,7 @@
 """Ordered per-key work in two levels.
 
 A window over a whole account puts that account into one task, however many rows it has. Here a key's
-ordered rows are cut into cells (hours for time, narrow value bands for amounts and scores). Rows are only
+ordered rows are cut into cells (hours for time, ranges drawn from the data for amounts and scores). Rows are only
 ever grouped by (key, cell). One aggregated row per cell then carries totals and running totals
 from cell to cell; that second level is bounded by the number of cells a key can have, not by its rows. Once rows
 are numbered that way, windows over neighbouring rows work on slices of a fixed number of rows.
@@ -19,12 +19,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from ledgerlight.functions.scalar import finite
+from ledgerlight.session import cut
 
 HOUR = 3600
 DAY = 86_400
 CELL_SECONDS = HOUR
-VALUE_BANDS_PER_DOUBLING = 256
-SCORE_BANDS_PER_DOUBLING = 65_536
 
 UNBOUNDED = Window.unboundedPreceding
 
@@ -39,10 +38,14 @@ def with_time_cell(df: DataFrame, ts: str = "timestamp", seconds: int = CELL_SEC
     return df.withColumns({"_us": us, "_cell": cell_of(us, seconds)})
 
 
-def value_cell(x: Column, bands: int = VALUE_BANDS_PER_DOUBLING) -> Column:
-    """Band number that never falls as x grows; at most 2 * 1024 * bands bands exist for doubles."""
-    x = x.cast("double")
-    return F.floor(F.signum(x) * F.log2(1 + F.abs(x)) * bands).cast("long")
+def ranged(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Adds `_cell`: the number of the row's range in the order of *columns*, as a written table.
+
+    Spark draws the ranges' bounds from the rows themselves, so a range holds about an even share of them however the
+    values are spread, and there are as many ranges as shuffle partitions. Equal values share a range, so rows should be
+    counted by value before. Bounds differ between evaluations, hence the table: all that follows sees the same ones.
+    """
+    return cut(df.repartitionByRange(*columns).withColumn("_cell", F.spark_partition_id().cast("long")), "ranges")
 
 
 def _combine(how: str, parts: list[Column]) -> Column:
@@ -257,12 +260,11 @@ def distinct_per_key(source: DataFrame, key: str, columns: dict[str, str]) -> Da
     return out
 
 
-def rank_average(df: DataFrame, keys: list[str], value: str, *, source: DataFrame | None = None, bands: int = VALUE_BANDS_PER_DOUBLING):
-    """Per (key, value): rows below, rows equal and rows in all; enough for ranks with ties averaged."""
+def rank_average(df: DataFrame, keys: list[str], value: str, *, source: DataFrame | None = None) -> DataFrame:
+    """Per (key, value): rows below, rows equal and rows in all; enough for ranks with ties averaged. Nulls have none."""
     source = df if source is None else source
-    counts = source.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_equal"))
-    counts = counts.withColumn("_cell", value_cell(F.col(value), bands))
-    ranked = running(counts, keys, [Measure("_upto", F.col("_equal"))], order=[value])
+    counts = source.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_equal"))
+    ranked = running(ranged(counts, [*keys, value]), keys, [Measure("_upto", F.col("_equal"))], order=[value])
     return ranked.select(
         *keys, value, "_equal", (F.col("_upto") - F.col("_equal")).alias("_below"), F.col("_upto_all").alias("_rows")
     )
@@ -276,19 +278,37 @@ def percentile_rank(df: DataFrame, key: str, value: str, name: str, *, source: D
     return same_key(df, ranks, [key, value])
 
 
-def quantile(df: DataFrame, value: str, p: float, name: str = "q", bands: int = SCORE_BANDS_PER_DOUBLING) -> DataFrame:
-    """Exact quantile with linear interpolation of the finite values, as one row.
+def at_shares(counts: DataFrame, keys: list[str], value: str, shares: list[float], n: str = "n") -> DataFrame:
+    """Per key the neighbours of the positions share * (rows - 1): `lo_<i>`, `hi_<i>`, how far between as `part_<i>`, `rows`.
 
-    Equal values are counted first, the counts are added up band by band, and only the two neighbours of the
-    wanted position are kept.
+    `counts` has a row per (key, value) with its number of rows. Ranges of values are added up, and only those that hold
+    a wanted position are looked into; the others are never sorted.
     """
-    present = df.select(finite(F.col(value)).alias("_v")).filter("_v is not null")
-    counts = present.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cell", value_cell(F.col("_v"), bands))
-    upto = running(counts, [], [Measure("_upto", F.col("_n"))], order=["_v"])
-    at = (F.col("_upto_all") - 1) * F.lit(float(p))
-    ends = upto.agg(
-        F.min(F.when(F.col("_upto") > F.floor(at), F.col("_v"))).alias("lo"),
-        F.min(F.when(F.col("_upto") > F.ceil(at), F.col("_v"))).alias("hi"),
-        F.max(at - F.floor(at)).alias("part"),
+    dealt = ranged(counts, [*keys, value])
+    by_key = Window.partitionBy(*(keys or [F.lit(0)]))
+    cells = dealt.groupBy(*keys, "_cell").agg(F.sum(n).alias("_s"))
+    cells = cells.withColumns(
+        {
+            "_base": F.coalesce(F.sum("_s").over(by_key.orderBy("_cell").rowsBetween(UNBOUNDED, -1)), F.lit(0)),
+            "_all": F.sum("_s").over(by_key),
+        }
     )
-    return ends.select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias(name))
+    at = [(F.col("_all") - 1) * F.lit(float(p)) for p in shares]
+    ends = F.array(*[e for x in at for e in (F.floor(x), F.ceil(x))])
+    wanted = F.exists(ends, lambda e: (e >= F.col("_base")) & (e < F.col("_base") + F.col("_s")))
+    inside = same_key(dealt, cells.where(wanted).drop("_s"), [*keys, "_cell"], "inner")
+    w = Window.partitionBy(*keys, "_cell").orderBy(value).rowsBetween(UNBOUNDED, 0)
+    inside = inside.withColumn("_upto", F.col("_base") + F.sum(n).over(w))
+    found = [F.max("_all").alias("rows")]
+    for i, x in enumerate(at):
+        found.append(F.min(F.when(F.col("_upto") > F.floor(x), F.col(value))).alias(f"lo_{i}"))
+        found.append(F.min(F.when(F.col("_upto") > F.ceil(x), F.col(value))).alias(f"hi_{i}"))
+        found.append(F.max(x - F.floor(x)).alias(f"part_{i}"))
+    return inside.groupBy(*keys).agg(*found)
+
+
+def quantile(df: DataFrame, value: str, p: float, name: str = "q") -> DataFrame:
+    """Exact quantile with linear interpolation of the finite values, as one row."""
+    present = df.select(finite(F.col(value)).alias("_v")).filter("_v is not null")
+    found = at_shares(present.groupBy("_v").agg(F.count(F.lit(1)).alias("n")), [], "_v", [p])
+    return found.select((F.col("lo_0") + (F.col("hi_0") - F.col("lo_0")) * F.col("part_0")).alias(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlight.functions.scalar import ratio
-from ledgerlight.operators.cells import SCORE_BANDS_PER_DOUBLING, Measure, running, value_cell
+from ledgerlight.operators.cells import Measure, ranged, running
 
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
@@ -36,12 +36,11 @@ def precision_recall(df: DataFrame, label: str, predicted: str) -> DataFrame:
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve with half credit for ties, 0 where a class is missing.
 
-    Scores are counted per distinct value and ranked by running counts over score bands.
+    Scores are counted per distinct value and ranked by running counts over ranges of scores.
     """
     rows = df.select(F.col(label).cast("int").alias("y"), F.col(score).cast("double").alias("s")).dropna()
     counts = rows.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    counts = counts.withColumn("_cell", value_cell(F.col("s"), SCORE_BANDS_PER_DOUBLING))
-    upto = running(counts, [], [Measure("_neg", F.col("neg")), Measure("_pos", F.col("pos"))], order=["s"])
+    upto = running(ranged(counts, ["s"]), [], [Measure("_neg", F.col("neg")), Measure("_pos", F.col("pos"))], order=["s"])
     wins = F.col("pos") * (F.col("_neg") - F.col("neg") / 2.0)
     # A count can pass 2^53; the product of both class sizes is taken in doubles.
     pairs = F.max("_neg_all").cast("double") * F.max("_pos_all").cast("double")

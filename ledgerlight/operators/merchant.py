@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.functions.scalar import flag, money, squared, unit_std, units
-from ledgerlight.operators.cells import Measure, running, same_key
+from ledgerlight.operators.cells import Measure, number_rows, ranged, running, same_key
 
 
 def value_frequency(source: DataFrame, column: str, name: str) -> DataFrame:
@@ -107,9 +107,10 @@ def first_seen_merchant(df: DataFrame, source=None) -> DataFrame:
 
 
 def category_codes(source: DataFrame) -> DataFrame:
-    """Category -> code in alphabetical order. Categories are a short dimension, so they are ranked in one list."""
-    names = source.agg(F.array_sort(F.collect_set("merchant_category")).alias("names"))
-    return names.select(F.posexplode("names").alias("category_encoded", "merchant_category"))
+    """Category -> code in alphabetical order, numbered over ranges of the distinct names."""
+    names = source.select("merchant_category").where("merchant_category IS NOT NULL").distinct()
+    numbered = number_rows(ranged(names, ["merchant_category"]), [], order=["merchant_category"], name="_place")
+    return numbered.select("merchant_category", (F.col("_place") - 1).cast("int").alias("category_encoded"))
 
 
 def with_category_codes(df: DataFrame, source=None) -> DataFrame:

@@ -15,9 +15,10 @@ from ledgerlight.operators.cells import (
     number_rows,
     over_neighbours,
     quantile,
+    rank_average,
+    ranged,
     running,
     trailing,
-    value_cell,
     with_time_cell,
 )
 from ledgerlight.operators.diversity import FULL_PROFILE, Diversity, rolling_diversity
@@ -81,13 +82,44 @@ def test_entropy(txns):
     close(out, {"a": (1, 0), "b": (2, 1), "c": (1, 0), "d": (1, 0)})
 
 
-def test_value_cell_never_falls(spark):
+def test_ranges_never_fall(spark):
     xs = [-1e12, -5.0, -0.1, 0.0, 1e-9, 0.1, 0.100001, 3.0, 1e12]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
-    cells = [r[0] for r in df.select(value_cell(F.col("x")), "i").orderBy("i").collect()]
+    cells = [r[0] for r in ranged(df, ["x"]).orderBy("i").select("_cell").collect()]
     assert cells == sorted(cells)
 
 
+def test_ranges_share_out_values_that_lie_close_together(spark):
+    n, parts = 200_000, 40
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # All in [0.5, 0.500001), a third of them under one key.
+        df = spark.range(n).select((0.5 + F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1e12).alias("x"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"))
+        sizes = [r["count"] for r in ranged(df.distinct(), ["k", "x"]).groupBy("_cell").count().collect()]
+        assert len(sizes) == parts and max(sizes) < 3 * n / parts
+        ranks = {(r["k"], r["x"]): (r["_below"], r["_equal"], r["_rows"]) for r in rank_average(df, ["k"], "x").collect()}
+        half = quantile(df, "x", 0.37).first()[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    frame = df.toPandas()
+    assert half == pytest.approx(frame["x"].quantile(0.37), abs=1e-15)
+    grouped = frame.groupby("k")["x"]
+    frame["below"], frame["equal"] = grouped.rank(method="min") - 1, frame.groupby(["k", "x"])["x"].transform("size")
+    frame["rows"] = grouped.transform("size")
+    want = {(k, x): (b, e, m) for k, x, b, e, m in frame[["k", "x", "below", "equal", "rows"]].itertuples(index=False)}
+    assert ranks == want
+
+
+def test_ranks_and_quantiles_without_values(spark):
+    df = spark.createDataFrame([("a", None), ("a", 2.0), ("a", 1.0), ("b", None)], "k string, x double")
+    ranks = {r["x"]: (r["_below"], r["_rows"]) for r in rank_average(df, ["k"], "x").collect()}
+    assert ranks == {1.0: (0, 2), 2.0: (1, 2)}
+    assert [tuple(r) for r in quantile(df.where("k = 'b'"), "x", 0.5).collect()] == [(None,)]
+
+
 @pytest.mark.parametrize("seconds", [3600, DAY])
 def test_trailing_on_a_hot_account(skewed, seconds):
     t, frame = skewed
