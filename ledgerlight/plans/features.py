@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import scalar as fn
@@ -226,7 +228,8 @@ def _distinct_sql(spec):
 
 @query("rolling_distinct", f"WITH {TXN} SELECT transaction_id, {', '.join(_distinct_sql(s) for s in div.CATALOGUE_PROFILE)} FROM txn")
 def rolling_distinct(spark, d):
-    return div.rolling_diversity(txn(spark, d), div.CATALOGUE_PROFILE).select(ID, *[s.name for s in div.CATALOGUE_PROFILE])
+    specs = [replace(s, entropy=None) for s in div.CATALOGUE_PROFILE]
+    return div.rolling_diversity(txn(spark, d), specs).select(ID, *[s.name for s in specs])
 
 
 ENTROPY_SQL = f"""

@@ -1,6 +1,7 @@
 """Two-level windows against hand-made values and against plain SQL windows on skewed data."""
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -21,7 +22,7 @@ from ledgerlight.operators.cells import (
     trailing,
     with_time_cell,
 )
-from ledgerlight.operators.diversity import FULL_PROFILE, Diversity, rolling_diversity
+from ledgerlight.operators.diversity import FULL_PROFILE, Diversity, rolling_diversity, visits
 
 WEEK = "RANGE BETWEEN CAST(604799999999 AS BIGINT) PRECEDING AND CURRENT ROW"
 
@@ -82,6 +83,28 @@ def test_entropy(txns):
     close(out, {"a": (1, 0), "b": (2, 1), "c": (1, 0), "d": (1, 0)})
 
 
+def test_distinct_where_uses_are_just_a_span_apart(txns):
+    week, second = 7 * DAY, 1
+    starts = [0, week, 2 * week - second, 3 * week - second, 3 * week, 3 * week, 4 * week + second]
+    rows = [(f"a{i}", "x", str(pd.Timestamp("2024-01-01 00:59:59") + pd.Timedelta(seconds=s)), 1.0, "p", "q" if i % 2 else None) for i, s in enumerate(starts)]
+    rows += [(f"b{i}", "x", str(pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=s)), 1.0, "r", None) for i, s in enumerate([0, 3600, 2 * week + 3599, 2 * week + 3600])]
+    t = with_time_cell(txns(rows, ("transaction_id", "account_id", "timestamp", "amount", "cat", "other")))
+    specs = [Diversity(f"{c}{d}", c, d) for c in ("cat", "other") for d in (1, 7, 14)]
+    got = by_id(rolling_diversity(t, specs).select("transaction_id", *[s.name for s in specs]))
+    times = {r[0]: (pd.Timestamp(r[2]), r[4], r[5]) for r in rows}
+    for i, (at, *_) in times.items():
+        want = tuple(len({v[1 + k] for v in times.values() if v[1 + k] and at - pd.Timedelta(days=d) < v[0] <= at}) for k in (0, 1) for d in (1, 7, 14))
+        assert got[i] == want, i
+
+
+def test_few_uses_make_a_visit(skewed):
+    t, frame = skewed
+    changes = visits(with_time_cell(t), "account_id", [Diversity("c", "merchant_category", 30)])
+    groups = frame.groupby(["account_id", "merchant_category"]).ngroups
+    assert changes.count() < 0.3 * len(frame) and changes.where("_step = 1").count() >= groups
+    assert changes.agg(F.sum("_step")).first()[0] == 0
+
+
 def test_ranges_never_fall(spark):
     xs = [-1e12, -5.0, -0.1, 0.0, 1e-9, 0.1, 0.100001, 3.0, 1e12]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
