@@ -68,6 +68,51 @@ def test_time_gaps(txns):
     assert (row["avg_time_gap_hours"], row["max_time_gap_hours"]) == (2.0, 3.0)
 
 
+def test_time_gaps_within_and_between_hours(skewed, txns):
+    t, frame = skewed
+    steps = frame["timestamp"].sort_values().diff().dropna().dt.total_seconds() / 3600
+    row = dq.time_gaps(t).first()
+    assert row["avg_time_gap_hours"] == pytest.approx(steps.mean()) and row["max_time_gap_hours"] == pytest.approx(steps.max())
+    row = dq.time_gaps(txns([("a", "x", "2024-01-01 00:01:00", 1.0), ("b", "y", "2024-01-01 00:31:00", 1.0), ("c", "y", "2024-01-01 00:31:00", 1.0)])).first()
+    assert row["max_time_gap_hours"] == 0.5
+    assert dq.time_gaps(t.limit(1)).first()["max_time_gap_hours"] is None
+    assert dq.time_gaps(t.limit(0)).first()["max_time_gap_hours"] is None
+
+
+def test_duplicates_where_fingerprints_tie(spark, skewed):
+    t, frame = skewed
+    rows = t.select("merchant_name", "city", "channel", F.when(F.col("is_fraud") == 1, None).otherwise(F.col("amount") % 1).alias("x"))
+    pandas = rows.toPandas()
+    want = int(pandas.duplicated().sum())
+    assert want > 0
+    for mark in (dq.fingerprint, lambda c: F.pmod(F.xxhash64(*c), F.lit(3)), lambda c: F.lit(1)):
+        row = dq.duplicate_rate(rows, mark).first()
+        assert (row["row_count"], row["duplicate_rows"]) == (len(frame), want) and row["duplicate_rate"] == want / len(frame)
+    assert dq.duplicate_rate(t).first()["duplicate_rows"] == 0
+    zeros = spark.createDataFrame([(0.0, None, 1), (-0.0, None, 1), (float("nan"), 1, None), (float("nan"), None, 1)], "a double, b int, c int")
+    assert dq.duplicate_rate(zeros).first()["duplicate_rows"] == 1
+    assert tuple(dq.duplicate_rate(zeros.limit(0)).first()) == (None, None, None)
+
+
+def test_ingest_writes_the_table_and_evaluates_its_source_once(spark, skewed, tmp_path):
+    t, frame = skewed
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(len(b))
+            yield b
+
+    source = t.mapInPandas(count, t.schema)
+    table, metrics = dq.ingest(source, str(tmp_path / "t"))
+    got = {r["metric"]: r["value"] for r in metrics.collect()}
+    assert calls.value == len(frame) == table.count()
+    assert got["amount_mean"] == pytest.approx(frame["amount"].mean()) and got["amount_std"] == pytest.approx(frame["amount"].std())
+    assert got["negative_amount_rate"] == pytest.approx((frame["amount"] < 0).mean()) and got["duplicate_rate"] == 0
+    empty = {r["metric"]: r["value"] for r in dq.ingest(t.limit(0), str(tmp_path / "e"))[1].collect()}
+    assert empty["amount_mean"] is None and empty["duplicate_rate"] is None
+
+
 def test_key_quality(txns):
     t = txns([("a", "x", "2024-01-01", 1.0), ("a", None, "2024-01-01", 1.0)])
     rows = {r["check_name"]: r["violations"] for r in dq.key_quality(t).collect()}
