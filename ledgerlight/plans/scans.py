@@ -30,6 +30,32 @@ def scan_transactions(spark, d):
     )
 
 
+@query("scan_rejects", f"""WITH {TXN}, m AS (SELECT *, CAST(right(transaction_id, 2) AS INT) AS k FROM txn)
+SELECT channel, count(*) FILTER (WHERE k >= 5) AS n_rows, sum(amount) FILTER (WHERE k >= 5) AS total, count(*) FILTER (WHERE k < 5) AS n_rejected
+FROM m GROUP BY channel""", "total")
+def scan_rejects(spark, d):
+    """Files with differently ordered columns, in which every twentieth line is broken: what is read, and what is not."""
+    t = src.transactions(spark, d).withColumn("k", F.substring("transaction_id", -2, 2).cast("int"))
+    t = t.withColumn("text", F.when(F.col("k") < 3, "n/a").otherwise(F.col("amount").cast("string")))
+    folder = scratch_dir(spark, "mixed")
+    left = t.select("transaction_id", "account_id", "timestamp", F.col("text").alias("amount"), "channel").where("k < 3 OR k >= 50")
+    right = t.select("channel", F.col("text").alias("amount"), "city", "timestamp", "account_id", "transaction_id").where("k >= 5 AND k < 50")
+    # A value too few: the number of values differs from the header's.
+    short = t.where("k IN (3, 4)").select(F.concat_ws(",", "channel", "transaction_id").alias("value"))
+    files.write_csv(left, f"{folder}/a")
+    files.write_csv(right, f"{folder}/b")
+    header = spark.range(1).select(F.lit("channel,transaction_id,amount").alias("value"))
+    header.union(short).coalesce(1).write.text(f"{folder}/c")
+    rows, rejects = files.scan_csv(spark, f"{folder}/*")
+    kept = rows.select("channel", F.col("amount"), F.lit(0).alias("bad"))
+    # A rejected line's channel: the last value of the first kind of file, the first one of the last kind.
+    name = F.when(F.col("line").contains("n/a"), F.substring_index("line", ",", -1)).otherwise(F.substring_index("line", ",", 1))
+    both = kept.unionByName(rejects.select(name.alias("channel"), F.lit(None).cast("double").alias("amount"), F.lit(1).alias("bad")))
+    return both.groupBy("channel").agg(
+        F.sum(1 - F.col("bad")).alias("n_rows"), fn.money(F.sum(fn.units("amount").cast("decimal(19,0)"))).alias("total"), F.sum("bad").alias("n_rejected")
+    )
+
+
 @query("scan_accounts", f"SELECT concat('acc_', {padded_sql('c_custkey', 4)}) AS account_id, "
        "c_mktsegment AS segment FROM customer")
 def scan_accounts(spark, d):

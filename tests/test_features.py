@@ -53,6 +53,28 @@ def test_csv_with_missing_and_reordered_columns(spark, tmp_path):
     assert row["amount"] == 1.5 and row["timestamp"].hour == 10 and "V1" in back.columns
 
 
+def test_csv_files_by_their_own_headers_with_rejects(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    head = "transaction_id,account_id,timestamp,amount"
+    (folder / "a.csv").write_text(f"{head}\nt1,x,2024-01-01 10:00:00,1.5\nt2,x,soon,2.5\n\nt3,x,2024-01-01 10:00:00\n{head}\nt4,x,,\n")
+    (folder / "b.csv").write_text('\ufeffamount,note,transaction_id\n-2.25,"a, b",t5\nmuch,c,t6\n3,d,t7,extra\n')
+    (folder / "c.csv").write_text(head + "\n")
+    (folder / "d.csv").write_text("")
+    rows, rejects = files.scan_csv(spark, str(folder))
+    got = {r["transaction_id"]: (r["account_id"], r["amount"], r["note"], r["timestamp"] is not None) for r in rows.collect()}
+    assert got == {"t1": ("x", 1.5, None, True), "t4": ("x", None, None, False), "t5": (None, -2.25, "a, b", False)}
+    bad = {(r["file"][-5:], r["line"]) for r in rejects.collect()}
+    assert bad == {("a.csv", "t2,x,soon,2.5"), ("a.csv", "t3,x,2024-01-01 10:00:00"), ("b.csv", "much,c,t6"), ("b.csv", "3,d,t7,extra")}
+    # The same whatever columns are read.
+    assert rows.count() == 3 and rejects.count() == 4 and rows.select("account_id").count() == 3
+    assert rows.schema["amount"].dataType.simpleString() == "double" and rows.schema["timestamp"].dataType.simpleString() == "timestamp"
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "e.csv").write_text("")
+    rows, rejects = files.scan_csv(spark, str(tmp_path / "none"))
+    assert rows.count() == rejects.count() == 0 and "amount" in rows.columns
+
+
 def test_single_transaction_account(txns):
     columns = ("transaction_id", "account_id", "timestamp", "amount", "merchant_name", "merchant_category", "is_fraud")
     t = txns([("a", "x", "2024-01-01 12:00:00", 10.0, "m", "c", 0)], columns)
