@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlight.functions.scalar import money, ratio, units
 from ledgerlight.operators.cells import quantile
+from ledgerlight.operators.evaluate import histogram
 
 
 def overview(df: DataFrame) -> DataFrame:
@@ -53,23 +54,35 @@ def top_accounts(df: DataFrame, n: int = 10, min_transactions: int = 30) -> Data
     )
 
 
-def anomaly_overview(scored: DataFrame, score: str = "anomaly_score", flag: str = "is_anomaly") -> DataFrame:
+def anomaly_overview(scored: DataFrame, score: str = "anomaly_score", flag: str = "is_anomaly", bins: int = 50) -> DataFrame:
+    """One row: anomalies, their rate and precision, the score's 95 % quantile and its histogram, a count for each bin."""
     p95 = quantile(scored, score, 0.95)
+    counts = histogram(scored, score, bins).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"))
+    bars = counts.select(F.transform(F.sequence(F.lit(1), F.lit(bins)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0))))
     hits = F.sum(F.col("is_fraud") * F.col(flag))
     return scored.agg(
         F.sum(flag).alias("anomaly_count"),
         F.avg(flag).alias("anomaly_rate"),
         ratio(hits, F.greatest(F.sum(flag), F.lit(1))).alias("precision"),
-    ).withColumn("score_p95", p95.scalar())
+    ).withColumns({"score_p95": p95.scalar(), "score_histogram": bars.scalar()})
 
 
 def recent_anomalies(scored: DataFrame, n: int = 20, flag: str = "is_anomaly") -> DataFrame:
     return scored.filter(F.col(flag) == 1).orderBy(F.col("timestamp").desc(), "transaction_id").limit(n)
 
 
-def account_card(days: DataFrame, forecasts: DataFrame, as_of: str) -> DataFrame:
-    """Per forecast account: current balance, lowest forecast, any overdraft, days until the first one."""
-    now = days.groupBy("account_id").agg(F.max_by("balance", "ds").alias("current_balance"))
+def current_balance(df: DataFrame, time: str = "timestamp") -> DataFrame:
+    """(account_id, current_balance): the latest balance, or the sum of amounts where the table has no balances."""
+    latest = F.max_by("balance", time) if "balance" in df.columns else money(F.sum(units("amount")))
+    return df.groupBy("account_id").agg(latest.alias("current_balance"))
+
+
+def account_card(days: DataFrame, forecasts: DataFrame, as_of: str, transactions: DataFrame | None = None) -> DataFrame:
+    """Per forecast account: current balance, lowest forecast, any overdraft, days until the first one.
+
+    The balance is that of the latest day, or by `current_balance` of the transactions if they are given.
+    """
+    now = current_balance(days, "ds") if transactions is None else current_balance(transactions)
     first = F.min(F.when(F.col("overdraft_risk") == 1, F.col("date")))
     ahead = forecasts.groupBy("account_id").agg(
         F.min("forecast").alias("min_forecast"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlight.functions.scalar import channel_of, padded
+from ledgerlight.operators.cells import cell_of
 from ledgerlight.session import configure
 
 
@@ -152,11 +153,12 @@ def calendar_of(df: DataFrame, ts: str = "timestamp", holidays=HOLIDAYS) -> Data
 
 
 def enrich(df: DataFrame, calendar: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Left joins to the calendar and the account dimension."""
+    """Left joins to the calendar and the account dimension.
+
+    An account's attributes go to its (account, hour) rows first, so the rows of a hot account are never one key.
+    """
     cal = calendar.select(F.col("date").alias("_date"), "is_weekend", "is_holiday", "holiday_name")
-    return (
-        df.withColumn("_date", F.to_date("timestamp"))
-        .join(cal, "_date", "left")
-        .drop("_date")
-        .join(accounts, "account_id", "left")
-    )
+    hour = F.coalesce(cell_of(F.unix_micros("timestamp")), F.lit(-1))
+    rows = df.withColumns({"_date": F.to_date("timestamp"), "_hour": hour})
+    hours = rows.select("account_id", "_hour").distinct().join(accounts, "account_id", "left")
+    return rows.join(cal, "_date", "left").drop("_date").join(hours, ["account_id", "_hour"], "left").drop("_hour")

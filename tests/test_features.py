@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import scalar as fn
+from ledgerlight.operators import marts
 from ledgerlight.operators import forecast as fc
 from ledgerlight.operators import merchant as mer
 from ledgerlight.operators.cells import with_time_cell
@@ -75,6 +76,30 @@ def test_csv_files_by_their_own_headers_with_rejects(spark, tmp_path):
     assert rows.count() == rejects.count() == 0 and "amount" in rows.columns
 
 
+def test_account_card_with_and_without_balances(spark, txns):
+    t = txns([("a", "x", "2024-01-01", 10.25), ("b", "x", "2024-01-03", -4.0), ("c", "y", "2024-01-02", 1.0)])
+    days = spark.sql("SELECT * FROM VALUES ('x', DATE '2024-01-01', 5.0D), ('x', DATE '2024-01-03', 7.0D), ('y', DATE '2024-01-02', 2.0D) AS t(account_id, ds, balance)")
+    ahead = spark.sql("SELECT 'x' AS account_id, DATE '2024-01-05' AS date, -1.0D AS forecast, 1 AS overdraft_risk")
+    want = {"min_forecast": -1.0, "overdraft_risk": 1, "days_to_overdraft": 2, "account_id": "x"}
+    assert [r.asDict() for r in marts.account_card(days, ahead, "2024-01-03").collect()] == [want | {"current_balance": 7.0}]
+    assert [r.asDict() for r in marts.account_card(days, ahead, "2024-01-03", t).collect()] == [want | {"current_balance": 6.25}]
+
+
+def test_anomaly_mart_holds_its_histogram(spark):
+    scores = [0.0, 0.1, 0.1, 0.55, 1.0, None]
+    df = spark.createDataFrame([(s, int(s == 1.0), int(i == 4)) for i, s in enumerate(scores)], "anomaly_score double, is_anomaly int, is_fraud int")
+    row = marts.anomaly_overview(df, bins=10).first()
+    assert row["score_histogram"] == [1, 2, 0, 0, 0, 1, 0, 0, 0, 1] and row["precision"] == 1.0 and row["anomaly_count"] == 1
+    assert marts.anomaly_overview(df.limit(0), bins=3).first()["score_histogram"] == [0, 0, 0]
+
+
+def test_enrich_keeps_rows_without_account_or_time(spark, txns):
+    t = txns([("a", "x", "2024-01-01 10:00:00", 1.0), ("b", None, "2024-01-01 10:00:00", 1.0), ("c", "x", None, 1.0), ("d", "z", "2024-01-06 10:00:00", 1.0)])
+    accounts = spark.createDataFrame([("x", "s1"), ("y", "s2")], "account_id string, segment string")
+    got = {r["transaction_id"]: (r["segment"], r["is_weekend"]) for r in src.enrich(t, src.calendar_of(t), accounts).collect()}
+    assert got == {"a": ("s1", 0), "b": (None, 0), "c": ("s1", None), "d": (None, 1)}
+
+
 def test_single_transaction_account(txns):
     columns = ("transaction_id", "account_id", "timestamp", "amount", "merchant_name", "merchant_category", "is_fraud")
     t = txns([("a", "x", "2024-01-01 12:00:00", 10.0, "m", "c", 0)], columns)
