@@ -77,6 +77,49 @@ def test_lof_over_many_cells_and_a_hot_one(spark, monkeypatch):
     assert lof.neighbours(few, 5).count() == 2 and lof.outlier_factors(few, "id", F.col("x")).count() == 2
 
 
+def brute_neighbours(m, k):
+    d = np.sqrt(((m[:, None] - m[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    return np.argsort(d, axis=1, kind="stable")[:, :k]
+
+
+def test_lof_tree_of_many_levels(spark, monkeypatch):
+    """Cells are split until they are small; copies that fill a third of the table leave the tree at once."""
+    monkeypatch.setattr(lof, "LEAF_ROWS", 12)
+    monkeypatch.setattr(lof, "BRANCH", 4)
+    rng = np.random.default_rng(5)
+    m = np.round(rng.normal(0, 1, (450, 2)) + rng.integers(0, 5, (450, 1)) * 9, 3)
+    m[100:250] = m[7]
+    m[300:306] = m[299]
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id long, x array<double>")
+    leaves, levels = lof.tree(df)
+    assert len(levels) > 2 and leaves.count() == 450 and leaves.select("id").distinct().count() == 450
+    sizes = [(r["n"], r["radius"]) for t in levels for r in t.where("leaf").collect()]
+    assert sum(n for n, _ in sizes) == 450 and all(n <= 12 or radius == 0 for n, radius in sizes)
+    near = lof.neighbours(df, 5).toPandas().sort_values(["id", "dist", "other"])
+    assert np.array_equal(near["other"].to_numpy().reshape(450, 5), brute_neighbours(m, 5))
+    assert lof.neighbours(df.limit(0), 5).count() == 0
+
+
+def test_lof_work_grows_below_the_square(spark, monkeypatch):
+    """Pairs of rows that are compared, in the own leaf and in the visited ones, at three sizes."""
+    monkeypatch.setattr(lof, "LEAF_ROWS", 64)
+    monkeypatch.setattr(lof, "BRANCH", 16)
+    rng = np.random.default_rng(6)
+    points = rng.random((8_000, 2)) * 100
+    work = []
+    for n in (500, 2_000, 8_000):
+        df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(points[:n])], "id long, x array<double>")
+        leaves, levels = lof.tree(df)
+        own = leaves.groupBy("cell").agg(F.count("*").alias("n"))
+        near = lof._join(leaves, leaves, own.select("cell", F.col("n").alias("n_rows"), F.col("n").alias("n_others")), 5)
+        bound = near.groupBy("id").agg(F.max("dist").alias("bound"))
+        met = lof.visits(leaves.withColumnRenamed("cell", "own").join(bound, "id"), levels, 5).join(own, "cell")
+        work.append(met.agg(F.sum("n")).first()[0] + own.agg(F.sum(F.col("n") * F.col("n"))).first()[0])
+    print("pairs compared:", work)
+    assert work[1] < 4**1.5 * work[0] and work[2] < 4**1.5 * work[1]
+
+
 def test_forest_draws_alike_at_every_size(spark):
     for n in (50, 3_000, 60_000):
         df = spark.range(n).select(F.col("id").cast("string").alias("k"), (F.col("id") % 97).alias("a"))
