@@ -12,7 +12,7 @@ from ledgerlight.session import cut
 
 WINDOW = 13
 SHINGLE = 5
-BLOCK_SHINGLES = 500_000  # shingles of the benchmark that are broadcast at once, 16 bytes each
+BLOCK_SHINGLES = 500_000  # shingles or prefixes of the benchmark that are broadcast at once, some 40 bytes each
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -22,10 +22,6 @@ def words(text: Column) -> Column:
     return F.transform(parts, lower_ascii)
 
 
-def _n_words(text: Column) -> Column:
-    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), ""))
-
-
 def _shingles(column: str, k: int) -> Column:
     """Hash of the k words from each position on; the last k - 1 positions have none."""
     following = "".join(f", get({column}, i + {j})" for j in range(1, k))
@@ -45,6 +41,69 @@ def _windows(items: DataFrame, item_id: str, item_text: str, window: int, shingl
     return cutout.select("item", "len", "k", hashes.alias("hs")).distinct()
 
 
+def _shingled(docs: DataFrame, id_col: str, text_col: str, sizes: list[int]) -> DataFrame:
+    """(id, digest, n, hs<k> for each k) of every row, written: its number of words and the hashes of its k-word shingles."""
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), words(F.col(text_col)).alias("w"))
+    return cut(texts.select("id", "digest", F.size("w").alias("n"), *[_shingles("w", k).alias(f"hs{k}") for k in sizes]), "shingled")
+
+
+def _in_blocks(table: DataFrame, n: int, by: str) -> list[DataFrame]:
+    """A table of n rows as broadcasts of about BLOCK_SHINGLES rows at most, dealt by a hash."""
+    blocks = max(1, math.ceil(n / BLOCK_SHINGLES))
+    return [F.broadcast(table.where(F.pmod(F.col(by), F.lit(blocks)) == block)) for block in range(blocks)]
+
+
+def _rows_by_k(table: DataFrame) -> dict[int, int]:
+    return {r["k"]: r["n"] for r in table.groupBy("k").agg(F.count("*").alias("n")).collect()}  # at most `shingle` rows
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    for part in parts[1:]:
+        parts[0] = parts[0].union(part)
+    return parts[0]
+
+
+def _occurrences(texts: DataFrame, wins: DataFrame) -> DataFrame:
+    """(id, digest, start, len, item) of every window in the shingled texts; there is at least one window."""
+    tokens = cut(wins.select("k", F.explode("hs").alias("h")).distinct(), "shingles")
+    # Rarity: how often the documents have each shingle of the benchmark; counted where they are, so only counts move.
+    counts = []
+    for k, n in sorted(_rows_by_k(tokens).items()):
+        for block in _in_blocks(tokens.where(F.col("k") == k), n, "h"):
+            counts.append(texts.select(F.explode(f"hs{k}").alias("h")).join(block, "h").groupBy("k", "h").agg(F.count("*").alias("df")))
+    rarity = cut(_union(counts), "rarity")
+
+    # The necessary prefix of a window is its rarest shingle; a window with one that no document has cannot occur.
+    each = wins.select("win", "len", "k", "hs").distinct()
+    spread = each.select("win", F.size("hs").alias("m"), "len", "k", F.posexplode("hs").alias("off", "h")).join(rarity, ["k", "h"], "left")
+    order = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h", "off")
+    prefix = spread.groupBy("win", "len", "m", "k").agg(F.min(order).alias("p")).where("p.df > 0")
+    prefix = cut(prefix.select("win", "len", "m", "k", F.col("p.h").alias("h"), F.col("p.off").alias("off")), "prefix")
+
+    # Only prefixes meet the documents. Where one is found, the window has to fit between the text's ends around it, and
+    # the text's shingles there have to be the window's.
+    found = []
+    for k, n in sorted(_rows_by_k(prefix).items()):
+        hits = texts.select("id", "digest", "n", F.col(f"hs{k}").alias("hs"), F.posexplode(f"hs{k}").alias("pos", "h"))
+        for block in _in_blocks(prefix.where(F.col("k") == k), n, "win"):
+            met = hits.join(block, "h").withColumn("start", F.col("pos") - F.col("off")).where("start >= 0 AND start + len <= n")
+            whole = F.slice("hs", F.greatest(F.col("start") + 1, F.lit(1)), F.col("m"))
+            found.append(met.where(F.xxhash64(whole, "len") == F.col("win")).select("id", "digest", "start", "len", "win"))
+    none = prefix.select(F.lit(None).cast(texts.schema["id"].dataType).alias("id"), F.lit(0).cast("long").alias("digest"), F.lit(0).alias("start"), "len", "win").where("false")
+    found = _union([none, *found]).distinct()
+    return found.join(wins.select("win", "item").distinct(), "win").select("id", "digest", "start", "len", "item")
+
+
+def _found(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """The shingled texts and the occurrences in them."""
+    wins = cut(_windows(items, item_id, item_text, window, shingle).withColumn("win", F.xxhash64("hs", "len")), "windows")
+    texts = _shingled(docs, id_col, text_col, sorted(_rows_by_k(wins)))
+    if len(texts.columns) > 3:
+        return texts, _occurrences(texts, wins)
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("start", "int"), ("len", "int"), ("item", "string"))]
+    return texts, texts.select("id", "digest", *nothing).where("false")
+
+
 def matches(
     docs: DataFrame,
     items: DataFrame,
@@ -59,56 +118,16 @@ def matches(
 
     An item's windows are its runs of `window` words, a shorter item is one window. A window is the set of its k-word
     shingles with their offsets, and must be contained whole, so one shingle of it, the rarest over all documents, is
-    the necessary prefix. Documents meet the benchmark's shingles once, in blocks that are broadcast up to a fixed size
-    (a larger benchmark takes more passes); what is found there is counted, and rarity, prefixes, bounds and the check
-    of whole windows all work on it. Words compare by chained 64-bit hashes of their shingles.
+    the necessary prefix. Texts are split and hashed once, into a table of shingle hashes; one aggregation over it counts
+    the benchmark's shingles, then the prefixes alone are joined, and each hit is bounded by the text's ends and checked
+    against the whole window in place. Both joins broadcast blocks of a fixed size; a larger benchmark reads the table of
+    hashes once more for each block. Words compare by chained 64-bit hashes of their shingles.
 
     `digest` hashes the text: rows that share an id are told apart by it, equal rows are one. Null texts and null ids
     are an empty text and an id of its own; items with a null id match with a null item.
     """
-    wins = cut(_windows(items, item_id, item_text, window, shingle).withColumn("win", F.xxhash64("hs", "len")), "windows")
-    tokens = cut(wins.select("k", F.explode("hs").alias("h")).distinct(), "shingles")
-    sizes = {r["k"]: r["n"] for r in tokens.groupBy("k").agg(F.count("*").alias("n")).collect()}  # at most `shingle` rows
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), words(F.col(text_col)).alias("w"))
-    parts = []
-    for k, n in sorted(sizes.items()):
-        blocks = math.ceil(n / BLOCK_SHINGLES)
-        spread = texts.select("id", "digest", F.size("w").alias("n"), F.posexplode(_shingles("w", k)).alias("pos", "h"))
-        for block in range(blocks):
-            some = tokens.where((F.col("k") == k) & (F.pmod("h", F.lit(blocks)) == block))
-            parts.append(spread.join(F.broadcast(some), "h"))
-    if not parts:
-        return docs.select(F.col(id_col), F.xxhash64(text_col).alias("digest"), *[F.lit(None).cast(t).alias(c) for c, t in (("start", "int"), ("len", "int"), ("item", "string"))]).where("false")
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.union(part)
-    found = cut(found.distinct(), "hits")
-
-    # The rarest shingle of each window; a window with one that no document has cannot occur.
-    rarity = found.groupBy("h").agg(F.count("*").alias("df"))
-    each = wins.select("win", "len", "k", "hs").distinct()
-    spread = each.select("win", F.size("hs").alias("m"), "len", "k", F.posexplode("hs").alias("off", "h")).join(rarity, "h", "left")
-    order = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h", "off")
-    prefix = spread.groupBy("win", "len", "m", "k").agg(F.min(order).alias("p")).where("p.df > 0")
-    prefix = prefix.select("win", "len", "m", "k", F.col("p.h").alias("h"), F.col("p.off").alias("off"))
-    candidates = found.join(prefix, ["h", "k"]).select("id", "digest", "win", "len", "m", "k", "n", (F.col("pos") - F.col("off")).alias("start"))
-    candidates = candidates.where("start >= 0 AND start + len <= n")
-
-    # From each hit on, the next m hits have to be neighbours and give the window's hash.
-    held = found.select("id", "digest", "k", "pos", "h")
-    lengths = [r["m"] for r in wins.select(F.size("hs").alias("m")).distinct().collect()]  # at most `window` rows
-    runs = []
-    for m in sorted(lengths):
-        ahead = Window.partitionBy("id", "digest", "k").orderBy("pos").rowsBetween(0, m - 1)
-        runs.append(F.struct(F.lit(m).alias("m"), F.collect_list("h").over(ahead).alias("hs"), F.max("pos").over(ahead).alias("last")))
-    chains = held.select("id", "digest", "k", "pos", F.array(*runs).alias("runs"))
-    chains = chains.select("id", "digest", "k", "pos", F.explode("runs").alias("r"))
-    chains = chains.where("r.last - pos = r.m - 1 AND size(r.hs) = r.m")
-    width = F.col("r.m") + F.col("k") - 1
-    chains = chains.select(F.col("id").alias("id2"), F.col("digest").alias("digest2"), F.col("pos").alias("start2"), F.xxhash64("r.hs", width).alias("win2"))
-    same = F.col("id").eqNullSafe(F.col("id2")) & (F.col("digest") == F.col("digest2")) & (F.col("start") == F.col("start2")) & (F.col("win") == F.col("win2"))
-    whole = candidates.join(chains, same, "left_semi").select("id", "digest", "start", "len", "win")
-    return whole.join(wins.select("win", "item").distinct(), "win").select(F.col("id").alias(id_col), "digest", "start", "len", "item")
+    found = _found(docs, items, id_col, text_col, item_id, item_text, window, shingle)[1]
+    return found.select(F.col("id").alias(id_col), "digest", "start", "len", "item")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = 20, **options) -> DataFrame:
@@ -119,8 +138,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     ids, sorted as strings and joined by commas. Options go to `matches`, as do its rules for nulls and repeated rows;
     empty tables give no rows or no hits.
     """
-    found = matches(docs, items, id_col, text_col, **options)
-    found = cut(found.withColumnRenamed(id_col, "id"), "matches")
+    texts, found = _found(docs, items, id_col, text_col, **options)
+    found = cut(found, "matches")
     earlier = Window.partitionBy("id", "digest").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     spans = found.select("id", "digest", "start", (F.col("start") + F.col("len")).alias("end")).distinct()
     spans = spans.withColumn("covered", F.greatest("start", F.coalesce(F.max("end").over(earlier), F.lit(0))))
@@ -129,7 +148,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     found = hit.join(which, hit["id"].eqNullSafe(which["id"]) & (hit["digest"] == which["digest"])).select(
         hit["id"].alias("id"), hit["digest"].alias("digest"), "n_hit", "items"
     )
-    rows = docs.select(F.col(id_col).alias("row_id"), F.xxhash64(text_col).alias("row_digest"), _n_words(F.col(text_col)).cast("long").alias("n_words"))
+    rows = texts.select(F.col("id").alias("row_id"), F.col("digest").alias("row_digest"), F.col("n").cast("long").alias("n_words"))
     rows = rows.join(found, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_digest") == F.col("digest")), "left")
     hits = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.select(

@@ -81,6 +81,22 @@ def test_empty_tables(spark):
     assert run(spark, [(1, "a b c"), (2, None)], []) == brute([(1, "a b c"), (2, None)], [])
 
 
+def test_only_prefixes_are_joined(spark):
+    """A window of frequent shingles and one rare one is looked up by the rare one alone."""
+    from pyspark.sql import functions as F
+
+    common = "one two three four five six seven eight nine ten"
+    docs = [(i, f"{common} w{i} x{i} y{i} z{i}") for i in range(50)]
+    items = spark.createDataFrame([(1, f"{common} w7 x7 y7")], "item_id long, text string")
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    texts, found = decontaminate._found(d, items, "doc_id", "text")
+    assert texts.columns == ["id", "digest", "n", "hs5"]
+    assert [(r["id"], r["start"], r["len"], r["item"]) for r in found.collect()] == [(7, 0, 13, "1")]
+    joined = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" in joined and "Window" not in joined
+    assert d.count() == texts.count() == 50 and texts.agg(F.sum(F.size("hs5"))).first()[0] == 50 * 10
+
+
 def test_no_shuffle_before_the_broadcast_join(spark):
     from pyspark.sql import functions as F
 
