@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.window import Window
 from ledgerlight.llm.native import word_count
 from ledgerlight.session import cut
 
-BAND_ROWS = 2_000  # rows of a source that are sorted together, about
+BAND_ROWS = 2_000  # rows that a band holds at least, about; there are no more bands than shuffle partitions
 MOST_REPEATS = 3
 WEIGHTS = (5, 2, 1)
 
@@ -64,33 +65,37 @@ def targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOS
 def plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """How much of each source to take, a row per source, from narrow rows (id, source, size, key).
 
-    epochs: whole passes; then the rows up to and including (band, key, id) = (cut_band, cut_key, cut_id) once more.
-    A source's rows are never sorted together: equal slices of the keys' range hold about BAND_ROWS rows each, their
-    sums are added up, and only the slice in which the budget ends is sorted.
+    epochs: whole passes; then the rows up to and including (key, id) = (cut_key, cut_id) once more. A source's rows are
+    never sorted together: Spark draws the bounds of bands from the rows themselves, in the order of source, key and id,
+    so bands are even however the keys are spread; their sums are added up, and a source sorts only the band in which
+    its budget ends. Rows that share source, key and id are added up before.
     """
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     goal = targets(totals, weights, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    goal = goal.withColumn("epochs", epochs.cast("long")).withColumns(
-        {"rest": F.col("target") - F.col("epochs") * F.col("source_size"), "bands": F.ceil(F.col("n") / BAND_ROWS)}
-    )
+    goal = goal.withColumn("epochs", epochs.cast("long")).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     goal = cut(goal, "targets")
-    banded = join_source(rows, goal.select("source", "rest", "bands")).where("rest > 0").withColumn("band", band())
-    sums = banded.groupBy("source", "band", "rest").agg(F.sum("size").alias("s"))
+    banded = bands(join_source(rows, goal.select("source", "rest")).where("rest > 0"), goal.agg(F.sum("n")).first()[0] or 0)
+    sums = banded.groupBy("source", "band", "rest").agg(F.sum("s").alias("s"), F.max(F.struct("key", "id")).alias("last"))
     before = Window.partitionBy("source").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("base", F.coalesce(F.sum("s").over(before), F.lit(0)))
-    last = cut(sums.where("base <= rest AND base + s > rest").select("source", F.col("band").alias("cut_band"), "base"), "bands")
-    inside = join_source(banded, last).where("band = cut_band")
-    tied = inside.groupBy("source", "rest", "base", "key", "id").agg(F.sum("size").alias("s"))
+    sums = sums.withColumns({"base": F.coalesce(F.sum("s").over(before), F.lit(0)), "earlier": F.max("last").over(before)})
+    ending = sums.where("base <= rest AND base + s > rest").select("source", F.col("band").alias("cut_band"), "base", "earlier")
+    ending = cut(ending, "ending")
+    inside = join_source(banded, ending.drop("earlier")).where("band = cut_band")
     upto = F.sum("s").over(Window.partitionBy("source").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, 0))
-    tied = tied.withColumn("upto", F.col("base") + upto)
-    taken = tied.where("upto <= rest OR (upto - s < rest AND upto - rest < rest - (upto - s))")
-    ends = taken.groupBy("source").agg(F.max(F.struct("key", "id")).alias("e")).select("source", F.col("e.key").alias("cut_key"), F.col("e.id").alias("cut_id"))
-    return cut(join_source(join_source(goal, last.drop("base"), "left"), ends, "left"), "plan")
+    inside = inside.withColumn("upto", F.col("base") + upto)
+    taken = inside.where("upto <= rest OR (upto - s < rest AND upto - rest < rest - (upto - s))")
+    ends = taken.groupBy("source").agg(F.max(F.struct("key", "id")).alias("end"))
+    made = join_source(join_source(goal, ending.select("source", "earlier"), "left"), ends, "left").withColumn("end", F.coalesce("end", "earlier"))
+    return cut(made.drop("earlier").withColumns({"cut_key": F.col("end.key"), "cut_id": F.col("end.id")}).drop("end"), "plan")
 
 
-def band() -> Column:
-    return F.least(F.floor((1 - F.exp(-F.col("key"))) * F.col("bands")), F.col("bands") - 1)
+def bands(rows: DataFrame, n: int) -> DataFrame:
+    """(source, key, id, rest, s, band): n rows by source, key and id, in bands of their order whose bounds come from the data."""
+    tied = rows.groupBy("source", "key", "id", "rest").agg(F.sum("size").alias("s"))
+    count = max(1, min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / BAND_ROWS)))
+    # Written, as bounds are drawn anew at each evaluation.
+    return cut(tied.repartitionByRange(count, "source", "key", "id").withColumn("band", F.spark_partition_id()), "bands")
 
 
 def join_source(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
@@ -101,9 +106,9 @@ def join_source(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFr
 
 def repeats(id_col: Column, key: Column) -> Column:
     """Times that a row, joined with its source's plan, is taken."""
-    after = (key > F.col("cut_key")) | ((key == F.col("cut_key")) & (F.coalesce(id_col, F.lit(-(2**63))) > F.coalesce("cut_id", F.lit(-(2**63)))))
-    inside = F.when(F.col("band") < F.col("cut_band"), 1).when((F.col("band") == F.col("cut_band")) & ~after, 1).otherwise(0)
-    return F.col("epochs") + F.when(F.col("rest") > 0, inside).otherwise(0)
+    first = F.lit(-(2**63))
+    upto = (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (F.coalesce(id_col, first) <= F.coalesce("cut_id", first)))
+    return F.col("epochs") + F.when((F.col("rest") > 0) & upto, 1).otherwise(0)
 
 
 def mixed(
@@ -126,7 +131,7 @@ def mixed(
     """
     rows = cut(sized(docs, id_col, text_col, source_col, weight, seed).drop("row"), "sizes")
     made = plan(rows, weights, most)
-    out = join_source(rows, made).withColumn("band", band())
+    out = join_source(rows, made)
     taken = (F.col("size") * repeats(F.col("id"), F.col("key"))).alias("taken")
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", taken)
 
@@ -136,6 +141,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     source, comes to them."""
     rows = sized(docs, id_col, text_col, source_col, weight, seed)
     made = plan(cut(rows.drop("row"), "sizes"), **options)
-    out = join_source(rows, made.drop("source_size", "n", "target")).withColumn("band", band())
+    out = join_source(rows, made.drop("source_size", "n", "target"))
     times = repeats(F.col("id"), F.col("key")).cast("int")
     return out.select("row", F.explode(F.array_repeat(F.lit(True), times)).alias("taken")).select("row.*")

@@ -95,6 +95,27 @@ def test_mix_repeats_rows_and_keeps_columns(spark):
     assert {k: v for k, v in taken.items() if v} == {k: v for k, v in got.items() if v}
 
 
+def test_bands_are_even_whatever_the_weights(spark, monkeypatch):
+    """Keys of very large and very small weights spread over the bands; the mix is still in the order of the keys."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing, "BAND_ROWS", 100)
+    docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("source"))
+    for weight in (F.lit(1000.0), F.lit(0.001), F.when(F.col("doc_id") % 2 == 0, 1e6).otherwise(1e-6)):
+        rows = mixing.sized(docs, "doc_id", "text", "source", weight, "mix").drop("row")
+        made = mixing.bands(rows.withColumn("rest", F.lit(1.0)), 4_000)
+        counts = [r["count"] for r in made.groupBy("band").count().collect()]
+        assert len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(counts) < 2 * 4_000 / len(counts)
+        found = mixing.mixed(docs, weight=weight).collect()
+        keys = {r["id"]: r["key"] for r in rows.select("id", "key").collect()}
+        for source in ("a", "b"):
+            own = [r for r in found if (r["doc_id"] % 4 == 0) == (source == "b")]
+            low, high = min(r["taken"] for r in own), max(r["taken"] for r in own)
+            assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 1.5
+            if low < high:
+                assert max(keys[r["doc_id"]] for r in own if r["taken"] == high) < min(keys[r["doc_id"]] for r in own if r["taken"] == low)
+
+
 def test_weight_and_empty(spark):
     from pyspark.sql import functions as F
 
