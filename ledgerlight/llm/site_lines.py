@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlight.session import cut
 
 RATIO = 0.2  # share of a host's pages from which a line is boilerplate
 LEAST_PAGES = 3  # pages of the host that have to share it at least
+SLICE_PAGES = 1_000  # pages of a host that are joined together, about
+HOT_HOSTS = 65_536  # a host is cut into slices only where it has more than this part of all pages, so they are no more
 _BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
 
 
@@ -32,6 +36,20 @@ def text_lines(text: Column) -> Column:
     return F.filter(F.transform(lines, lambda x: F.regexp_replace(x, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")), lambda x: x != "")
 
 
+def slices(totals: DataFrame) -> DataFrame:
+    """(host_hash, slices) of the hosts in (host, pages) that are cut: HOT_HOSTS rows at most, whatever the table's size."""
+    pages = totals.agg(F.sum("pages")).first()[0] or 0
+    most = max(SLICE_PAGES, math.ceil(pages / HOT_HOSTS))
+    hot = totals.where(F.col("pages") > most).select(F.xxhash64("host").alias("host_hash"), F.ceil(F.col("pages") / most).cast("int").alias("slices"))
+    return hot.groupBy("host_hash").agg(F.max("slices").alias("slices"))
+
+
+def _sliced(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Adds `slices` to rows with a host: 1 unless it is hot."""
+    joined = rows.withColumn("host_hash", F.xxhash64("host")).join(F.broadcast(hot), "host_hash", "left").drop("host_hash")
+    return joined.withColumn("slices", F.coalesce("slices", F.lit(1)))
+
+
 def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """(host, boilerplate): hashes of the lines that more than `ratio` of the host's pages have, at least `least_pages`.
 
@@ -51,14 +69,19 @@ def without_boilerplate(
     """One row per page: id, host, n_lines, n_dropped, text (the lines that stay, joined by newlines).
 
     A null or unreadable URL belongs to the host of no name, null pages have no lines, repeated rows count as pages of
-    their own, an empty table gives no rows. Lines compare by a 64-bit hash. Pages meet their host's array in one join,
-    which is split at run time where a host is hot.
+    their own, an empty table gives no rows. Lines compare by a 64-bit hash. Pages meet their host's array in one join by
+    host and slice: a hot host's pages are dealt to slices by id and content, and its array goes once to each.
     """
-    rows = pages.select(F.col(id_col), host(F.col(url_col)).alias("host"), html_lines(F.col(html_col)).alias("lines"))
-    # Written, so that both sides of the join are plain exchanges: a sort-merge join splits a hot host's pages at run time,
-    # which an aggregate in the join's own stage would forbid, and a late broadcast would leave them whole.
-    common = cut(boilerplate(rows, ratio, least_pages), "boilerplate")
-    joined = rows.join(common.hint("merge"), "host", "left")
+    rows = pages.select(
+        F.col(id_col), host(F.col(url_col)).alias("host"), html_lines(F.col(html_col)).alias("lines"), F.xxhash64(id_col, html_col).alias("row_hash")
+    )
+    totals = cut(rows.groupBy("host").agg(F.count("*").alias("pages")), "hosts")
+    hot = cut(slices(totals), "hot")
+    # Written, so that both sides of the join are plain exchanges: what is left of a skew is then split at run time.
+    common = _sliced(cut(boilerplate(rows, ratio, least_pages), "boilerplate"), hot)
+    common = common.select("host", "boilerplate", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    rows = _sliced(rows, hot).withColumn("slice", F.pmod("row_hash", "slices").cast("int")).drop("row_hash", "slices")
+    joined = rows.join(common.hint("merge"), ["host", "slice"], "left")
     dropped = F.coalesce("boilerplate", F.array().cast("array<bigint>"))
     kept = F.filter("lines", lambda x: ~F.array_contains(dropped, F.xxhash64(x)))
     joined = joined.select(id_col, "host", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))

@@ -44,6 +44,21 @@ def test_equals_brute_force(spark):
     assert site_lines.without_boilerplate(df.limit(0)).count() == 0
 
 
+def test_hot_host_is_cut_into_slices(spark, monkeypatch):
+    """A third of the pages in one host, copies among them: no task joins more than some slices, the result is the same."""
+    rows = [(i, f"http://{'hot' if i % 3 == 0 else 'h' + str(i % 50)}.example/{i}", f"<p>own {i if i % 2 else 0}<p>shared<p>{i % 40}") for i in range(1_500)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted(map(tuple, site_lines.without_boilerplate(df).collect()))
+    monkeypatch.setattr(site_lines, "SLICE_PAGES", 20)
+    totals = df.groupBy(site_lines.host(F.col("url")).alias("host")).agg(F.count("*").alias("pages"))
+    hot = site_lines.slices(totals)
+    assert {r["slices"] for r in hot.collect()} == {25}
+    dealt = site_lines._sliced(df.withColumn("host", site_lines.host(F.col("url"))), hot)
+    dealt = dealt.groupBy("host", F.pmod(F.xxhash64("page_id", "html"), "slices")).count()
+    assert dealt.agg(F.max("count")).first()[0] < 60
+    assert sorted(map(tuple, site_lines.without_boilerplate(df).collect())) == whole
+
+
 def test_query_drops_shared_lines(spark):
     found = QUERIES["op10_site_lines"](spark, "/root/testdata/sf0.01")
     row = found.agg(F.count("*").alias("n"), F.sum("n_dropped").alias("d"), F.sum("n_lines").alias("all")).first()
