@@ -25,6 +25,8 @@ def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents with too large a share of words from benchmark items go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     bad = decontaminate.contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("bad_id"), "digest").distinct()
+    # Written, so that its size is known before the join: texts are exchanged only where the list is too long to broadcast.
+    bad = cut(bad, "contaminated")
     same = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["digest"])
     return docs.join(bad, same, "left_anti")
 
