@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from ledgerlight.ml import explain as ex
 from ledgerlight.ml import iforest, lof, prep
@@ -179,6 +179,16 @@ def test_forest_learns_the_label(spark):
     assert dict(sup.importances(model, ["a", "b"])).keys() == {"a", "b"}
 
 
+def test_forest_scores_after_observed_metrics(spark, points):
+    """A session that has observed metrics cannot be serialized; the model goes to the tasks without it."""
+    seen = Observation()
+    points.observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 203}
+    model = sup.fit_random_forest(points, FEATURES, n_trees=5, depth=4)
+    assert not model.stages[-1].hasSummary
+    assert sup.score_random_forest(points, model).agg(F.max("rf_score").between(0.0, 1.0)).first()[0]
+
+
 def test_ensemble_without_supervised_scores(points):
     out = sup.ensemble(points.withColumn("iso_score", F.abs("a")), rf=None)
     assert out.filter(F.col("ensemble_score") != F.col("iso_score")).count() == 0
