@@ -38,13 +38,14 @@ _powers = {"n": 0}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers up to a chunk's length are kept; those for a longer document go with it."""
+    """Powers up to the longest chunk so far are kept; those for a longer document go with it."""
     if n > CHUNK_BYTES:
         return np.cumprod(np.full(n, _BASE, dtype=np.uint64)), np.cumprod(np.full(n, _INVERSE, dtype=np.uint64))
-    if _powers["n"] < CHUNK_BYTES:
-        _powers["up"] = np.cumprod(np.full(CHUNK_BYTES, _BASE, dtype=np.uint64))
-        _powers["down"] = np.cumprod(np.full(CHUNK_BYTES, _INVERSE, dtype=np.uint64))
-        _powers["n"] = CHUNK_BYTES
+    if _powers["n"] < n:
+        most = min(CHUNK_BYTES, 1 << n.bit_length())
+        _powers["up"] = np.cumprod(np.full(most, _BASE, dtype=np.uint64))
+        _powers["down"] = np.cumprod(np.full(most, _INVERSE, dtype=np.uint64))
+        _powers["n"] = most
     return _powers["up"][:n], _powers["down"][:n]
 
 

@@ -16,8 +16,10 @@ from ledgerlight.session import cut, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-CACHED = 800_000  # encoded words that a worker remembers; a bound on memory only
+CACHED = 400_000  # encoded words that a worker remembers; a bound on memory only
+CACHED_LETTERS = 16  # bytes of them for each, on the whole
 JOINED = 2_000  # unknown words that are encoded as one string
+CHUNK_BYTES = 250_000  # text encoded at once: its arrays, eight bytes and more for a byte of text, stay near the core
 FILE_BYTES = 256_000_000  # text of one file, about
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -42,33 +44,65 @@ def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(begins - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def _longer(kept: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """`kept` with `more` behind its first `used` places; it doubles when it is full."""
+    if used + len(more) > len(kept):
+        kept, old = np.empty(max(2 * len(kept), used + len(more)), dtype=kept.dtype), kept
+        kept[:used] = old[:used]
+    kept[used : used + len(more)] = more
+    return kept
+
+
 class _Words:
-    """Words and their ids in flat arrays, found by the words' hashes in order."""
+    """Words and their ids in flat arrays, found by the words' hashes in a table with open places."""
 
-    def __init__(self) -> None:
-        self.hashes = np.zeros(0, dtype=np.uint64)
-        self.slots = np.zeros(0, dtype=np.int64)
-        self.word_at, self.id_at = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
-        self.letters, self.ids = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=np.uint32)
+    def __init__(self, id_type: np.dtype = np.uint32) -> None:
+        self.n = 0
+        self.table = np.full(1 << 12, -1, dtype=np.int32)
+        self.hashes = np.zeros(1 << 10, dtype=np.uint64)
+        self.word_at, self.id_at = np.zeros(1 << 10, dtype=np.int32), np.zeros(1 << 10, dtype=np.int32)
+        self.letters, self.ids = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=id_type)
 
     def __len__(self) -> int:
-        return len(self.hashes)
+        return self.n
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.table) - 1)).astype(np.int64)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Slot of each hash, -1 where there is none."""
-        if not len(self):
-            return np.full(len(hashes), -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
-        return np.where(self.hashes[at] == hashes, self.slots[at], -1)
-
-    def add(self, hashes: np.ndarray, place: np.ndarray, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Further words: `hashes` ascend, the word of each is words[place]; `ids` has `sizes` ids for each of the words."""
-        at = np.searchsorted(self.hashes, hashes)
-        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, len(self) + place)
-        self.word_at = np.concatenate((self.word_at, self.word_at[-1] + np.cumsum([len(w) for w in words])))
-        self.id_at = np.concatenate((self.id_at, self.id_at[-1] + np.cumsum(sizes)))
-        self.letters = np.concatenate((self.letters, np.frombuffer(b"".join(words), dtype=np.uint8)))
-        self.ids = np.concatenate((self.ids, ids))
+        at = self._first(hashes)
+        slots = self.table[at]
+        other = np.flatnonzero((slots >= 0) & (self.hashes[slots] != hashes))
+        while len(other):
+            at[other] = (at[other] + 1) & (len(self.table) - 1)
+            slots[other] = self.table[at[other]]
+            other = other[(slots[other] >= 0) & (self.hashes[slots[other]] != hashes[other])]
+        return slots
+
+    def _enter(self, first: int) -> None:
+        """Give the slots from `first` on a place in the table."""
+        slots = np.arange(first, self.n, dtype=np.int32)
+        at = self._first(self.hashes[first : self.n])
+        while len(slots):
+            free = self.table[at] < 0
+            self.table[at[free]] = slots[free]
+            rest = self.table[at] != slots
+            slots, at = slots[rest], (at[rest] + 1) & (len(self.table) - 1)
+
+    def add(self, hashes: np.ndarray, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Further words and their hashes, all new; `ids` has `sizes` ids for each of the words."""
+        n, word_end, id_end = self.n, int(self.word_at[self.n]), int(self.id_at[self.n])
+        self.hashes = _longer(self.hashes, n, hashes)
+        self.word_at = _longer(self.word_at, n + 1, word_end + np.cumsum([len(w) for w in words]))
+        self.id_at = _longer(self.id_at, n + 1, id_end + np.cumsum(sizes))
+        self.letters = _longer(self.letters, word_end, np.frombuffer(b"".join(words), dtype=np.uint8))
+        self.ids = _longer(self.ids, id_end, ids)
+        self.n += len(hashes)
+        if 2 * self.n > len(self.table):
+            self.table = np.full(1 << (2 * self.n).bit_length(), -1, dtype=np.int32)
+            n = 0
+        self._enter(n)
 
 
 class Encoder:
@@ -94,9 +128,9 @@ class Encoder:
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = [s.encode() for s in special]
         self.whole = re.compile("|".join([r"\s\s", *map(re.escape, special)]))
-        self.words = _Words()
         vocabulary = self.library.get_vocab()
         self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.words = _Words(np.uint16 if len(self.begins) <= 1 << 16 else np.uint32)
         self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # a space, in byte-level vocabularies
         self.joins = not any(" " in s for s in special)
         # Where a mark behind letters is a piece of its own, words are remembered without it.
@@ -108,7 +142,7 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in found]
 
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        """Put words, without the space before them, into the table; their hashes ascend."""
+        """Put words, without the space before them, into the table."""
         # White space at a word's end, which is its text's end as well, would stand beside the next word's space.
         lone = [not w or bool(_SPACE[w[-1]]) or (w[-1] >= 128 and w.decode("utf-8", "replace")[-1].isspace()) for w in words]
         together = [k for k, x in enumerate(lone) if not x] if self.joins else []
@@ -129,9 +163,7 @@ class Encoder:
         order += alone
         ids.append(np.frombuffer(b"".join(single), dtype="<u4"))
         sizes.append(np.array([len(x) // 4 for x in single], dtype=np.int64))
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.arange(len(order))
-        self.words.add(hashes, place, [words[k] for k in order], np.concatenate(ids), np.concatenate(sizes))
+        self.words.add(hashes[order], [words[k] for k in order], np.concatenate(ids), np.concatenate(sizes))
 
     def _odd(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rows that have to go to the library whole."""
@@ -163,8 +195,9 @@ class Encoder:
         rows = len(at) - 1
         odd = self._odd(data, at)
         blanks = np.flatnonzero(data == 32)
-        row = np.searchsorted(at, blanks, side="right") - 1
-        blanks, row = blanks[~odd[row]], row[~odd[row]]
+        row = np.repeat(np.arange(rows), np.diff(np.searchsorted(blanks, at)))
+        if odd.any():
+            blanks, row = blanks[~odd[row]], row[~odd[row]]
         # The head of a row has no space before it; each further word reaches from behind its space to the next one.
         nexts = np.append(blanks[1:], 0)
         ends = at[row + 1]
@@ -184,8 +217,8 @@ class Encoder:
         hashes = np.full(len(first), 0, dtype=np.uint64)
         some = sizes > 0
         hashes[some] = text.span_hashes(data, first[some], last[some] - 1, cased=True)
-        if len(self.words) > CACHED:
-            self.words = _Words()
+        if len(self.words) > CACHED or self.words.word_at[len(self.words)] > CACHED * CACHED_LETTERS:
+            self.words = _Words(self.words.ids.dtype)
         slots = self.words.find(hashes)
         missing = np.flatnonzero(slots < 0)
         if len(missing):
@@ -198,28 +231,34 @@ class Encoder:
         differ = known_size != sizes
         differ[~differ] |= self._unlike(data, first[~differ], known.letters, known.word_at[slots[~differ]], sizes[~differ])
         units_at, units = known.id_at[slots], known.id_at[slots + 1] - known.id_at[slots]
-        source = [known.ids, np.frombuffer(b"".join(heads), dtype="<u4"), np.array([end_id], dtype=np.uint32)]
+        # Ids that are not in the table stand behind it.
+        base = int(known.id_at[len(known)])
+        source = [np.frombuffer(b"".join(heads), dtype="<u4"), np.array([end_id], dtype=np.uint32)]
         if differ.any():
             # Another word with the same hash.
             others = self._ids([" " + packed[a:b].decode("utf-8", "replace") for a, b in zip(first[differ].tolist(), last[differ].tolist(), strict=True)])
             n = np.array([len(x) // 4 for x in others])
-            units_at[differ], units[differ] = sum(map(len, source)) + np.cumsum(n) - n, n
+            units_at[differ], units[differ] = base + sum(map(len, source)) + np.cumsum(n) - n, n
             source.append(np.frombuffer(b"".join(others), dtype="<u4"))
 
         head_sizes = np.array([len(x) // 4 for x in heads], dtype=np.int64)
         place = np.arange(rows) * 2 + begin + marks_before[begin]
         runs = np.zeros(len(first) + int(marks_before[-1]) + 2 * rows, dtype=np.int64)
         begins = np.zeros(len(runs), dtype=np.int64)
-        runs[place], begins[place] = head_sizes, len(known.ids) + np.cumsum(head_sizes) - head_sizes
+        runs[place], begins[place] = head_sizes, base + np.cumsum(head_sizes) - head_sizes
         tails = place + count + marks_before[begin + count] - marks_before[begin] + 1
-        runs[tails], begins[tails] = 1, len(known.ids) + int(head_sizes.sum())
+        runs[tails], begins[tails] = 1, base + int(head_sizes.sum())
         middle = np.arange(len(first)) + marks_before[:-1] + 2 * row + 1
         runs[middle], begins[middle] = units, units_at
         for mark, own in zip(b".,", self.marks, strict=False):
             at_mark = middle[marked & (data[np.minimum(last, len(data) - 1)] == mark)] + 1
-            runs[at_mark], begins[at_mark] = len(own), sum(map(len, source))
+            runs[at_mark], begins[at_mark] = len(own), base + sum(map(len, source))
             source.append(own)
-        flat = np.concatenate(source)[_spread(begins, runs)]
+        at_id = _spread(begins, runs)
+        flat = np.zeros(len(at_id), dtype=np.uint32)
+        known_id = at_id < base
+        flat[known_id] = known.ids[at_id[known_id]]
+        flat[~known_id] = np.concatenate(source)[at_id[~known_id] - base]
         upto = np.concatenate(([0], np.cumsum(runs)))
         return flat, upto[np.append(place, len(runs))]
 
@@ -259,7 +298,7 @@ def _writer(vocabulary: str, end_id: int) -> Callable:
         encoder, position = _encoder(vocabulary), 0
         for batch in batches:
             raw, at = text.buffers(batch.column("text"))
-            for a, b in text.chunks(at):
+            for a, b in text.chunks(at, CHUNK_BYTES):
                 flat, edges = encoder.encode(raw, at[a : b + 1], end_id)
                 place = pa.array(np.arange(position, position + b - a), pa.int64())
                 lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(flat.view(np.int32)))

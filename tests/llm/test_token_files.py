@@ -86,6 +86,39 @@ def test_words_with_equal_hashes_keep_their_own_ids(library, monkeypatch):
     assert encoded(encoder, texts) == whole(library, texts) and encoded(encoder, texts[::-1]) == whole(library, texts[::-1])
 
 
+def test_many_words_find_their_places(library):
+    """The table grows several times, hashes with equal low bits among them."""
+    words = token_files._Words()
+    low = np.arange(1, 20_001, dtype=np.uint64)
+    for hashes in (low, low << np.uint64(40)):
+        words.add(hashes, [b"%d" % h for h in hashes], hashes.astype(np.uint32), np.ones(len(hashes), dtype=np.int64))
+    slots = words.find(np.concatenate((low << np.uint64(40), low[::-1])))
+    assert slots.tolist() == [*range(20_000, 40_000), *range(19_999, -1, -1)]
+    assert (words.find(low + np.uint64(1 << 20)) == -1).all()
+    at = slots[:9]
+    assert [words.letters[words.word_at[k] : words.word_at[k + 1]].tobytes() for k in at] == [b"%d" % (h << 40) for h in range(1, 10)]
+
+
+def test_memory_of_a_batch():
+    """A worker's arrays are small beside the batches that Spark hands over, however many rows these have."""
+    import random
+    import tracemalloc
+
+    rng = random.Random(5)
+    some = ["".join(rng.choices("abcdefghijkl", k=rng.randrange(2, 9))) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(some, k=400)) for _ in range(2_500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    encode = token_files._writer(token_files.VOCABULARY, 0)
+    assert sum(len(b) for b in encode(iter([batch.slice(0, 100)]))) == 100
+    tracemalloc.start()
+    try:
+        rows = sum(len(b) for b in encode(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(texts) and peak < 4 * batch.nbytes
+
+
 @pytest.mark.parametrize("files", [1, 5])
 def test_round_trip(spark, library, tmp_path, files):
     rows = [(i * 5 - 30, TEXTS[i % len(TEXTS)]) for i in range(60)] + [(10_000, "long " * 40_000), (7_777, "end")]
