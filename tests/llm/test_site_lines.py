@@ -59,6 +59,14 @@ def test_hot_host_is_cut_into_slices(spark, monkeypatch):
     assert sorted(map(tuple, site_lines.without_boilerplate(df).collect())) == whole
 
 
+def test_pages_are_parsed_once(spark):
+    """The join reads written lines; taking them out of the pages is not in its plan."""
+    df = spark.createDataFrame([(1, "http://a.example/", "<p>one<p> \x0b two \t three \x0c\r\n")], "page_id long, url string, html string")
+    found = site_lines.without_boilerplate(df)
+    assert "<script" not in found._jdf.queryExecution().toString()
+    assert found.first()["text"] == "one\ntwo \t three"
+
+
 def test_query_drops_shared_lines(spark):
     found = QUERIES["op10_site_lines"](spark, "/root/testdata/sf0.01")
     row = found.agg(F.count("*").alias("n"), F.sum("n_dropped").alias("d"), F.sum("n_lines").alias("all")).first()
