@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import json
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,10 +16,11 @@ from ledgerlight.session import cut, scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-CACHED = 400_000  # encoded words that a worker remembers; a bound on memory only
+CACHED = 400_000  # encoded pieces that a worker remembers; a bound on memory only
 CACHED_LETTERS = 16  # bytes of them for each, on the whole
-JOINED = 2_000  # unknown words that are encoded as one string
-CHUNK_BYTES = 250_000  # text encoded at once: its arrays, eight bytes and more for a byte of text, stay near the core
+LONGEST = 100  # bytes of a piece that is remembered
+JOINED = 100  # unknown pieces that are encoded as one string
+CHUNK_BYTES = 1_000_000  # text whose pieces are told apart at once
 FILE_BYTES = 256_000_000  # text of one file, about
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -32,10 +33,31 @@ ORC_OPTIONS = {
 
 # Two bytes that begin a white space beyond ASCII; others begin with them too, so such texts are looked at again.
 WIDE_SPACES = [(0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80)]
+_SPACES = frozenset([*range(9, 14), *range(28, 33)])
 _SPACE = np.zeros(256, dtype=bool)
-_SPACE[[*range(9, 14), *range(28, 33)]] = True
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SPACE[list(_SPACES)] = True
+# Kinds of bytes. Bytes beyond ASCII may be of any kind, but for Latin letters with an accent.
+_ANY, _BLANK, _LINE, _LETTER, _DIGIT, _MARK, _QUOTE = range(7)
+_KIND = np.full(256, _ANY, dtype=np.uint8)
+_KIND[33:127] = _MARK
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[[9, 10, 13]] = _LINE
+_KIND[[32, 39]] = _BLANK, _QUOTE
+# Whether a piece begins between a byte of one kind and one of the next, where no white space stands beside other white
+# space. What a quote begins depends on the letters behind it, so nothing is parted there.
+_BLANKS = np.zeros((8, 8), dtype=bool)
+_BLANKS[:, _BLANK] = True
+_RUNS = _BLANKS.copy()
+_RUNS[_LINE, [_LETTER, _DIGIT, _MARK, _QUOTE]] = True
+_RUNS[_LETTER, [_LINE, _DIGIT, _MARK, _QUOTE]] = True
+_RUNS[_DIGIT, [_LINE, _LETTER, _MARK, _QUOTE]] = True
+_RUNS[_MARK, [_LINE, _LETTER, _DIGIT]] = True
+
+
+def _white(piece: bytes, at: int) -> bool:
+    """Whether a piece's first (0) or last (-1) character is white space."""
+    return piece[at] in _SPACES or (piece[at] >= 128 and piece.decode("utf-8", "replace")[at].isspace())
 
 
 def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -62,6 +84,7 @@ class _Words:
         self.hashes = np.zeros(1 << 10, dtype=np.uint64)
         self.word_at, self.id_at = np.zeros(1 << 10, dtype=np.int32), np.zeros(1 << 10, dtype=np.int32)
         self.letters, self.ids = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=id_type)
+        self.met = np.zeros(1 << 10, dtype=bool)
 
     def __len__(self) -> int:
         return self.n
@@ -98,21 +121,32 @@ class _Words:
         self.id_at = _longer(self.id_at, n + 1, id_end + np.cumsum(sizes))
         self.letters = _longer(self.letters, word_end, np.frombuffer(b"".join(words), dtype=np.uint8))
         self.ids = _longer(self.ids, id_end, ids)
+        self.met = _longer(self.met, n, np.zeros(len(hashes), dtype=bool))
         self.n += len(hashes)
         if 2 * self.n > len(self.table):
             self.table = np.full(1 << (2 * self.n).bit_length(), -1, dtype=np.int32)
             n = 0
         self._enter(n)
 
+    def again(self) -> _Words:
+        """Only the words marked in `met`, without their marks."""
+        kept = np.flatnonzero(self.met[: self.n])
+        begin, end, sizes = self.word_at[kept].tolist(), self.word_at[kept + 1].tolist(), self.id_at[kept + 1] - self.id_at[kept]
+        packed, out = self.letters.tobytes(), _Words(self.ids.dtype)
+        out.add(self.hashes[kept], [packed[a:b] for a, b in zip(begin, end, strict=True)], self.ids[_spread(self.id_at[kept], sizes)], sizes)
+        return out
 
-class Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct word encoded once while it is remembered.
 
-    A byte-level vocabulary is applied piece by piece, and a single space before a word always begins a piece. So where
-    no white space stands next to other white space, the text's ids are those of its words, each with its space. Other
-    texts, and those with the string of a special token, go to the library whole. A chunk's words are looked up by hash
-    and compared byte by byte, all at once. Words that the table lacks are encoded many in a string, with single spaces
-    between them; an id whose token begins with the space begins a word.
+class Encoder:
+    """Ids of whole texts by the tokenizers library, each distinct piece encoded once while it is remembered.
+
+    A byte-level vocabulary is applied piece by piece, and where no white space stands next to other white space, a
+    single space always begins a piece, as does each change between letters, digits, marks and line ends. So the text's
+    ids are those of the parts between such places. Other texts, and those with the string of a special token, go to the
+    library whole. Arrow tells a chunk's parts apart; the distinct ones are looked up by hash and compared byte by byte,
+    those not yet known are encoded by the library, and the ids are taken by the parts' numbers. Unknown parts are encoded
+    many in a string: those that begin with a space one behind the other, the rest with line ends between them; the ids
+    of spaces and line ends tell them apart again.
     """
 
     def __init__(self, vocabulary: str):
@@ -128,42 +162,52 @@ class Encoder:
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = [s.encode() for s in special]
         self.whole = re.compile("|".join([r"\s\s", *map(re.escape, special)]))
+        self.words = _Words(np.uint16 if max(self.library.get_vocab().values(), default=0) < 1 << 16 else np.uint32)
+        steps = json.loads(self.library.to_str())
+        first = steps["pre_tokenizer"] or {}
+        runs = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space") and not steps["normalizer"]
+        self.cuts = (_RUNS if runs else _BLANKS).ravel()
         vocabulary = self.library.get_vocab()
-        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
-        self.words = _Words(np.uint16 if len(self.begins) <= 1 << 16 else np.uint32)
-        self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # a space, in byte-level vocabularies
-        self.joins = not any(" " in s for s in special)
-        # Where a mark behind letters is a piece of its own, words are remembered without it.
-        marks, apart = self._ids([".", ",", " a", "a"]), self._ids([" a.", " a,", "a."])
-        self.marks = [np.frombuffer(m, dtype="<u4") for m in marks[:2]] if apart == [marks[2] + marks[0], marks[2] + marks[1], marks[3] + marks[0]] else []
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        """Put words, without the space before them, into the table."""
-        # White space at a word's end, which is its text's end as well, would stand beside the next word's space.
-        lone = [not w or bool(_SPACE[w[-1]]) or (w[-1] >= 128 and w.decode("utf-8", "replace")[-1].isspace()) for w in words]
-        together = [k for k, x in enumerate(lone) if not x] if self.joins else []
-        alone = [k for k, x in enumerate(lone) if x] if self.joins else list(range(len(words)))
-        groups = [together[k : k + JOINED] for k in range(0, len(together), JOINED)]
-        joined = [" " + b" ".join([words[k] for k in g]).decode("utf-8", "replace") for g in groups]
+        self.blank, self.line = (np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool) for _ in range(2))
+        if not any(" " in s for s in special):
+            self.blank[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # a space, in byte-level vocabularies
+        if runs and not any("\n" in s for s in special):
+            self.line[[i for t, i in vocabulary.items() if t == "\u010a"]] = True
+
+    def _ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after another, and the number of each one's."""
+        spaced, plain, alone = [], [], []
+        for k, p in enumerate(pieces):
+            # White space at a piece's ends would stand beside that between pieces.
+            if len(p) > LONGEST or _white(p, -1) or (p[0] != 32 and _white(p, 0)) or any(s in p for s in self.special):
+                alone.append(k)
+            else:
+                (spaced if p[0] == 32 else plain).append(k)
         order, ids, sizes = [], [], []
-        for group, found in zip(groups, self.library.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            own = np.array(found.ids, dtype=np.uint32)
-            at = np.flatnonzero(self.begins[own])
-            if len(at) != len(group) or at[0] != 0:
-                alone += group
-                continue
-            order += group
-            ids.append(own)
-            sizes.append(np.diff(at, append=len(own)))
-        single = self._ids([" " + words[k].decode("utf-8", "replace") for k in alone])
-        order += alone
-        ids.append(np.frombuffer(b"".join(single), dtype="<u4"))
-        sizes.append(np.array([len(x) // 4 for x in single], dtype=np.int64))
-        self.words.add(hashes[order], [words[k] for k in order], np.concatenate(ids), np.concatenate(sizes))
+        for some, before, begins in ((spaced, b"", self.blank), (plain, b"\n", self.line)):
+            groups = [some[k : k + JOINED] for k in range(0, len(some), JOINED)] if begins.any() else []
+            alone += [] if groups else some
+            joined = [before + before.join([pieces[k] for k in g]) for g in groups]
+            for group, own in zip(groups, self._apart(joined), strict=True):
+                at = np.flatnonzero(begins[own])
+                if len(at) != len(group) or at[0] != 0:
+                    alone += group
+                    continue
+                order += group
+                size = np.diff(at, append=len(own))
+                if before:
+                    own, size = np.delete(own, at), size - 1
+                ids.append(own)
+                sizes.append(size)
+        single = self._apart([pieces[k] for k in alone])
+        sizes = np.concatenate([*sizes, np.array([len(x) for x in single], dtype=np.int64)])
+        ids = np.concatenate([*ids, *single, np.zeros(0, dtype=np.uint32)])
+        place = np.argsort(np.array([*order, *alone], dtype=np.int64))  # back into the order of the pieces
+        return ids[_spread((np.cumsum(sizes) - sizes)[place], sizes[place])], sizes[place]
+
+    def _apart(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.library.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, dtype=np.uint32) for e in found]
 
     def _odd(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Rows that have to go to the library whole."""
@@ -192,86 +236,64 @@ class Encoder:
         `at` holds the rows' offsets in the bytes `raw`.
         """
         data, at = raw[int(at[0]) : int(at[-1])], at - at[0]
-        rows = len(at) - 1
+        places, edges = self._pieces(data, at)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        ids = self._distinct(coded.dictionary, end_id).take(coded.indices)
+        return np.asarray(ids.flatten()), np.asarray(ids.offsets)[edges]
+
+    def _pieces(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of the pieces, an empty one at the end of each row, and each row's range of pieces."""
         odd = self._odd(data, at)
-        blanks = np.flatnonzero(data == 32)
-        row = np.repeat(np.arange(rows), np.diff(np.searchsorted(blanks, at)))
+        kind = _KIND[data]
+        lead = np.flatnonzero(data[:-1] == 0xC3) if data.max(initial=0) >= 0xC3 else []
+        if len(lead):
+            behind = data[lead + 1]
+            lead = lead[(behind & 0xC0 == 0x80) & (behind != 0x97) & (behind != 0xB7)]
+            kind[lead] = kind[lead + 1] = _LETTER
+        begin = np.zeros(len(data), dtype=bool)
+        begin[1:] = self.cuts[kind[:-1] * 8 + kind[1:]]
         if odd.any():
-            blanks, row = blanks[~odd[row]], row[~odd[row]]
-        # The head of a row has no space before it; each further word reaches from behind its space to the next one.
-        nexts = np.append(blanks[1:], 0)
-        ends = at[row + 1]
-        same = np.append(row[1:] == row[:-1], False)
-        first, last = blanks + 1, np.where(same, nexts, ends)
-        count = np.bincount(row, minlength=rows)
-        begin = np.cumsum(count) - count
-        heads_end = at[1:].copy()
-        heads_end[count > 0] = blanks[begin[count > 0]]
-        packed = data.tobytes()
-        heads = self._ids([packed[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1].tolist(), heads_end.tolist(), strict=True)])
-
-        marked = self._marked(data, first, last)
-        marks_before = np.concatenate(([0], np.cumsum(marked)))
-        last = last - marked
-        sizes = last - first
-        hashes = np.full(len(first), 0, dtype=np.uint64)
-        some = sizes > 0
-        hashes[some] = text.span_hashes(data, first[some], last[some] - 1, cased=True)
+            begin[np.repeat(odd, np.diff(at))] = False
+        begin[at[:-1][np.diff(at) > 0]] = True
+        begins = np.flatnonzero(begin)
+        upto = np.searchsorted(begins, at[1:])
+        places = np.append(np.insert(begins, upto, at[1:]), len(data))
+        return places, np.concatenate(([0], upto + np.arange(1, len(at))))
+
+    def _distinct(self, pieces: pa.Array, end_id: int) -> pa.Array:
+        """The ids of each of the distinct pieces; an empty one has `end_id`."""
+        _, offsets, letters = pieces.buffers()
+        at = np.frombuffer(offsets, dtype=np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        data = np.frombuffer(letters, dtype=np.uint8) if letters else np.zeros(0, dtype=np.uint8)
+        packed, first, sizes = data.tobytes(), at[:-1], np.diff(at)
+        short = np.flatnonzero((sizes > 0) & (sizes <= LONGEST))
+        hashes = text.span_hashes(data, first[short], first[short] + sizes[short] - 1, cased=True)
         if len(self.words) > CACHED or self.words.word_at[len(self.words)] > CACHED * CACHED_LETTERS:
-            self.words = _Words(self.words.ids.dtype)
-        slots = self.words.find(hashes)
+            self.words = self.words.again()
+        known = self.words
+        slots = known.find(hashes)
+        known.met[slots[slots >= 0]] = True
         missing = np.flatnonzero(slots < 0)
         if len(missing):
             new, where = np.unique(hashes[missing], return_index=True)
-            where = missing[where]
-            self._learn(new, [packed[a:b] for a, b in zip(first[where].tolist(), last[where].tolist(), strict=True)])
-            slots[missing] = self.words.find(hashes[missing])
-        known = self.words
-        known_size = known.word_at[slots + 1] - known.word_at[slots]
-        differ = known_size != sizes
-        differ[~differ] |= self._unlike(data, first[~differ], known.letters, known.word_at[slots[~differ]], sizes[~differ])
-        units_at, units = known.id_at[slots], known.id_at[slots + 1] - known.id_at[slots]
-        # Ids that are not in the table stand behind it.
-        base = int(known.id_at[len(known)])
-        source = [np.frombuffer(b"".join(heads), dtype="<u4"), np.array([end_id], dtype=np.uint32)]
-        if differ.any():
-            # Another word with the same hash.
-            others = self._ids([" " + packed[a:b].decode("utf-8", "replace") for a, b in zip(first[differ].tolist(), last[differ].tolist(), strict=True)])
-            n = np.array([len(x) // 4 for x in others])
-            units_at[differ], units[differ] = base + sum(map(len, source)) + np.cumsum(n) - n, n
-            source.append(np.frombuffer(b"".join(others), dtype="<u4"))
-
-        head_sizes = np.array([len(x) // 4 for x in heads], dtype=np.int64)
-        place = np.arange(rows) * 2 + begin + marks_before[begin]
-        runs = np.zeros(len(first) + int(marks_before[-1]) + 2 * rows, dtype=np.int64)
-        begins = np.zeros(len(runs), dtype=np.int64)
-        runs[place], begins[place] = head_sizes, base + np.cumsum(head_sizes) - head_sizes
-        tails = place + count + marks_before[begin + count] - marks_before[begin] + 1
-        runs[tails], begins[tails] = 1, base + int(head_sizes.sum())
-        middle = np.arange(len(first)) + marks_before[:-1] + 2 * row + 1
-        runs[middle], begins[middle] = units, units_at
-        for mark, own in zip(b".,", self.marks, strict=False):
-            at_mark = middle[marked & (data[np.minimum(last, len(data) - 1)] == mark)] + 1
-            runs[at_mark], begins[at_mark] = len(own), base + sum(map(len, source))
-            source.append(own)
-        at_id = _spread(begins, runs)
-        flat = np.zeros(len(at_id), dtype=np.uint32)
-        known_id = at_id < base
-        flat[known_id] = known.ids[at_id[known_id]]
-        flat[~known_id] = np.concatenate(source)[at_id[~known_id] - base]
-        upto = np.concatenate(([0], np.cumsum(runs)))
-        return flat, upto[np.append(place, len(runs))]
-
-    def _marked(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Whether a word is letters, ASCII or with one accent, and a full stop or a comma."""
-        if not self.marks or not len(first):
-            return np.zeros(len(first), dtype=bool)
-        accent = data == 0xC3
-        letter = _LETTER[data] | accent
-        letter[1:] |= accent[:-1] & (data[1:] != 0x97) & (data[1:] != 0xB7)
-        others = np.concatenate(([0], np.cumsum(~letter)))
-        end = data[np.maximum(last - 1, 0)]
-        return (last - first > 1) & ((end == 46) | (end == 44)) & (others[np.maximum(last - 1, first)] == others[first])
+            words = [packed[at[k] : at[k + 1]] for k in short[missing[where]].tolist()]
+            known.add(new, words, *self._ids(words))
+            slots[missing] = known.find(hashes[missing])
+        same = known.word_at[slots + 1] - known.word_at[slots] == sizes[short]
+        same[same] = ~self._unlike(data, first[short[same]], known.letters, known.word_at[slots[same]], sizes[short[same]])
+        found, slots = short[same], slots[same]
+        # Long pieces, and those that have another one's hash.
+        other = sizes > 0
+        other[found] = False
+        ids, n = self._ids([packed[at[k] : at[k + 1]] for k in np.flatnonzero(other).tolist()])
+        units = np.ones(len(pieces), dtype=np.int64)
+        units[found], units[other] = known.id_at[slots + 1] - known.id_at[slots], n
+        upto = np.concatenate(([0], np.cumsum(units)))
+        flat = np.full(int(upto[-1]), end_id, dtype=np.uint32)
+        flat[_spread(upto[found], units[found])] = known.ids[_spread(known.id_at[slots], units[found])]
+        flat[_spread(upto[:-1][other], n)] = ids
+        return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat))
 
     @staticmethod
     def _unlike(data: np.ndarray, first: np.ndarray, letters: np.ndarray, place: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -86,6 +86,48 @@ def test_words_with_equal_hashes_keep_their_own_ids(library, monkeypatch):
     assert encoded(encoder, texts) == whole(library, texts) and encoded(encoder, texts[::-1]) == whole(library, texts[::-1])
 
 
+def test_runs_are_learnt_apart(library):
+    """Marks and line ends between words do not make new words of them."""
+    some = [a + b for a in "abcdefg" for b in ("row", "and", "ing", "é")]
+    texts = [f"{a}.\n{b} {b},{a} {a}***" for a in some for b in some]
+    encoder = token_files.Encoder(token_files.VOCABULARY)
+    assert encoded(encoder, texts) == whole(library, texts)
+    assert len(encoder.words) <= 2 * len(some) + 10
+
+
+def test_kinds_of_bytes(library):
+    """Every pair of characters up to U+00FF, and quotes, digits and letters of other scripts beside each other."""
+    import random
+
+    chars = [chr(c) for c in range(256)]
+    encoder = token_files.Encoder(token_files.VOCABULARY)
+    pairs = [f"x{a}{b}y" for a in chars for b in chars]
+    assert encoded(encoder, pairs) == whole(library, pairs)
+    rng = random.Random(7)
+    parts = [*"aZ1'.-  \n\r\té×÷ªµ²½Ā漢ж\u0301\u200b\u0085", "'s", "'ll", "'t", "слово", "\u3000", "<|endoftext|>", "<|"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(25))) for _ in range(5000)]
+    assert encoded(encoder, texts) == whole(library, texts)
+
+
+def test_another_vocabulary():
+    """One that is not byte-level is only cut at single spaces."""
+    encoder = token_files.Encoder("word_bpe_49k.json")
+    texts = [t for t in TEXTS if t and "endoftext" not in t]
+    assert encoded(encoder, texts) == whole(encoder.library, texts)
+
+
+def test_words_met_again_are_kept(library, monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED", 50)
+    encoder, learnt = token_files.Encoder(token_files.VOCABULARY), []
+    encode = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda pieces: [learnt.extend(pieces), encode(pieces)][1])
+    for k in range(20):
+        texts = ["the same words " + " ".join(f"{'abcdefghij'[j]}{'klmnopqrstuvwxyzabcd'[k]}x" for j in range(10))]
+        assert encoded(encoder, texts) == whole(library, texts)
+    assert learnt.count(b" same") == 1 and learnt.count(b" akx") == 1
+    assert len(encoder.words) <= 50 + 20
+
+
 def test_many_words_find_their_places(library):
     """The table grows several times, hashes with equal low bits among them."""
     words = token_files._Words()
