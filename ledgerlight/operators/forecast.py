@@ -6,8 +6,11 @@ days of history, not by its transactions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlight.functions.scalar import flag, money, units
@@ -54,8 +57,18 @@ def daily_series(df: DataFrame, opening: DataFrame | None = None, calendar: Data
     )
 
 
-def filled_series(days: DataFrame) -> DataFrame:
-    """Every day between an account's first and last: balance carried on, everything else 0."""
+def filled_series(days: DataFrame, packed: bool = False) -> DataFrame:
+    """Every day between an account's first and last: balance carried on, everything else 0.
+
+    `packed` gives the same series as a row per account, with its observed days only, for `unpacked` in a Python worker:
+    an account with few transactions in years has many more days than rows.
+    """
+    rest = [c for c in days.columns if c not in ("account_id", "ds", "balance")]
+    if packed:
+        # As in the join below, nothing is known of the days of a null account but the first and the last one.
+        known = F.col("account_id").isNotNull()
+        days = days.where("ds IS NOT NULL").withColumns({"balance": F.when(known, F.col("balance"))} | {c: F.when(known, F.col(c)) for c in rest})
+        return packed_series(days.na.fill(0, rest))
     spine = (
         days.groupBy("account_id")
         .agg(F.min("ds").alias("a"), F.max("ds").alias("b"))
@@ -63,10 +76,41 @@ def filled_series(days: DataFrame) -> DataFrame:
     )
     rows = spine.join(days, ["account_id", "ds"], "left")
     carried = Window.partitionBy("account_id").orderBy("ds").rowsBetween(*ALL_BEFORE)
-    rest = [c for c in days.columns if c not in ("account_id", "ds", "balance")]
     return rows.withColumn("balance", F.last("balance", ignorenulls=True).over(carried)).na.fill(0, rest)
 
 
+def packed_series(days: DataFrame) -> DataFrame:
+    """(account_id, series): an account's days in order, as an array of (ds, balance, regressors)."""
+    day = F.struct("ds", F.col("balance").cast("double").alias("balance"), *[F.col(c).cast("double").alias(c) for c in REGRESSORS])
+    return days.groupBy("account_id").agg(F.array_sort(F.collect_list(day)).alias("series"))
+
+
+def unpacked(ends: np.ndarray, day: np.ndarray, balance: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lengths, balances, regressors) of the filled series of some accounts, which end at the last place of a row.
+
+    `ends` has the end of each account's observed days in the other arrays; regressors are (kind, day). Places before an
+    account's first day have its first balance.
+    """
+    starts = np.concatenate([[0], ends[:-1]])
+    length = day[ends - 1] - day[starts] + 1
+    width = int(length.max())
+    row = np.repeat(np.arange(len(ends)), ends - starts)
+    place = day - np.repeat(day[ends - 1], ends - starts) + width - 1
+    filled = np.zeros((len(known), len(ends), width))
+    filled[:, row, place] = known
+    # The place of the last known balance up to each place.
+    last = np.zeros((len(ends), width), dtype=np.int64)
+    seen = ~np.isnan(balance)
+    last[row[seen], place[seen]] = np.flatnonzero(seen) + 1
+    first = width - length
+    last = np.maximum.accumulate(last, axis=1)
+    last[np.arange(width) < first[:, None]] = 0
+    out = np.where(last > 0, balance[last - 1], np.nan)
+    before = np.arange(width) < first[:, None]
+    out = np.where(before, out[np.arange(len(ends)), first][:, None], out)
+    return length, out, filled
+
+
 def moving_averages(days: DataFrame) -> DataFrame:
     """Balance averaged over the last 7 and 30 observed days, current one included."""
     by_day = Window.partitionBy("account_id").orderBy("ds")
@@ -199,56 +243,97 @@ def additive_forecast(filled: DataFrame, horizon: int = HORIZON, min_days: int =
 def seasonal_ar_forecast(filled: DataFrame, horizon: int = HORIZON, min_days: int = 50, season: int = 7, z: float = 1.959963984540054):
     """Seasonal autoregression on the balance differenced at 1 and 7 days, with regressors; 95 % band.
 
-    Least squares on lags 1, 7 and 8 of the differenced balance. Future regressors are their last 7-day means.
+    Least squares on lags 1, 7 and 8 of the differenced balance. Future regressors are their last 7-day means. The accounts
+    of a batch are fitted together; `filled` may be packed.
     """
     reach = season + 1
 
+    lags = (1, season, reach)
+    chunk = 250_000  # days that are worked on at once
+
     def difference(a):
-        a = a[1:] - a[:-1]
-        return a[season:] - a[:-season]
+        a = a[..., 1:] - a[..., :-1]
+        return a[..., season:] - a[..., :-season]
 
-    def fit(series: pd.DataFrame) -> pd.DataFrame:
-        if len(series) < max(min_days, 3 * reach):
-            return _empty()
-        series = series.sort_values("ds")
-        y = series["balance"].to_numpy(float)
-        known = series[REGRESSORS].to_numpy(float)
-        assumed = np.tile(known[-season:].mean(axis=0), (horizon, 1))
+    def fit(length: np.ndarray, y: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(accounts, horizon): forecasts and half bands of series that end at the last place of a row."""
+        n, width = y.shape
+        assumed = np.repeat(known[:, :, -season:].mean(axis=2)[:, :, None], horizon, axis=2)
         w = difference(y)
-        xw = difference(np.vstack([known, assumed]))
-        lags = (1, season, reach)
-        rows = np.arange(reach, len(w))
-        x = np.column_stack([np.ones(len(rows))] + [w[rows - k] for k in lags] + [xw[rows]])
-        keep = x.std(axis=0) > 0
-        keep[0] = True
-        beta = np.zeros(x.shape[1])
-        scale = np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0)
-        beta[keep] = _ridge((x / scale)[:, keep], w[rows], 1e-6) / scale[keep]
-        sigma = np.std(w[rows] - x @ beta)
-
-        def roll(start_w, start_y, regressors, constant):
-            w_all, y_all = list(start_w), list(start_y)
-            for h in range(horizon):
-                step = constant + sum(b * w_all[-k] for b, k in zip(beta[1:4], lags)) + regressors[h] @ beta[4:]
-                w_all.append(step)
-                y_all.append(step + y_all[-1] + y_all[-season] - y_all[-reach])
-            return np.array(y_all[-horizon:])
-
-        mid = roll(w[-reach:], y[-reach:], xw[len(w) : len(w) + horizon], beta[0])
+        xw = difference(np.concatenate([known, assumed], axis=2))
+        rows = np.arange(reach, w.shape[1])
+        inside = rows >= (width - length + reach)[:, None]
+        alone = inside[:, None]
+        m = (length - 2 * reach)[:, None].astype(float)
+        x = np.where(alone, np.stack([np.ones((n, len(rows)))] + [w[:, rows - k] for k in lags] + list(xw[:, :, rows]), axis=1), 0.0)
+        mean = x.sum(axis=2) / m
+        spread = np.sqrt(np.where(alone, np.square(x - mean[:, :, None]), 0.0).sum(axis=2) / m)
+        keep = spread > 0
+        keep[:, 0] = True
+        scale = np.where(spread > 0, spread, 1.0)
+        target = np.where(inside, w[:, rows], 0.0)
+        x_scaled = np.where(keep[:, :, None], x / scale[:, :, None], 0.0)
+        # A column that is left out has a row of its own.
+        shrink = np.where(keep, 1e-6, 1.0)
+        shrink[:, 0] = 0.0
+        gram = x_scaled @ x_scaled.transpose(0, 2, 1) + shrink[:, :, None] * np.eye(x.shape[1])
+        beta = np.linalg.solve(gram, (x_scaled @ target[:, :, None]))[:, :, 0] * keep / scale
+        left = target - (beta[:, None] @ x)[:, 0]
+        off = left.sum(axis=1, keepdims=True) / m
+        sigma = np.sqrt(np.where(inside, np.square(left - off), 0.0).sum(axis=1) / m[:, 0])
+
+        def step(w_all, h):
+            return sum(beta[:, i + 1] * w_all[:, reach + h - k] for i, k in enumerate(lags))
+
+        def level(w_all, y_all, h):
+            return w_all[:, reach + h] + y_all[:, reach + h - 1] + y_all[:, reach + h - season] - y_all[:, h]
+
+        w_all, y_all = (np.concatenate([a[:, -reach:], np.zeros((n, horizon))], axis=1) for a in (w, y))
         # Response of the balance to one unit of noise at the first step gives the width of the band.
-        impulse = [1.0]
-        pulse_w = [0.0] * reach + [1.0]
-        pulse_y = [0.0] * reach + [1.0]
-        for _ in range(horizon - 1):
-            pulse_w.append(sum(b * pulse_w[-k] for b, k in zip(beta[1:4], lags)))
-            pulse_y.append(pulse_w[-1] + pulse_y[-1] + pulse_y[-season] - pulse_y[-reach])
-            impulse.append(pulse_y[-1])
+        pulse_w, pulse_y = np.zeros((n, reach + horizon)), np.zeros((n, reach + horizon))
+        pulse_w[:, reach] = pulse_y[:, reach] = 1.0
         with np.errstate(over="ignore", invalid="ignore"):
-            half = z * sigma * np.sqrt(np.cumsum(np.square(impulse)))
-        return _rows(series["account_id"].iloc[0], _future(series, horizon), mid, half, "seasonal_ar")
-
-    needed = filled.select("account_id", "ds", "balance", *REGRESSORS)
-    return risk_flags(needed.groupBy("account_id").applyInPandas(fit, FORECAST_SCHEMA))
+            for h in range(horizon):
+                w_all[:, reach + h] = beta[:, 0] + step(w_all, h) + (xw[:, :, w.shape[1] + h].T * beta[:, 4:]).sum(axis=1)
+                y_all[:, reach + h] = level(w_all, y_all, h)
+                if h:
+                    pulse_w[:, reach + h] = step(pulse_w, h)
+                    pulse_y[:, reach + h] = level(pulse_w, pulse_y, h)
+            half = z * sigma[:, None] * np.sqrt(np.cumsum(np.square(pulse_y[:, reach:]), axis=1))
+        return y_all[:, reach:], half
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            series = batch.column("series")
+            bounds = series.offsets.to_numpy()
+            days = series.values.flatten() if isinstance(series.values, pa.StructArray) else series.values
+            values = [c.to_numpy(zero_copy_only=False) if i else c.cast(pa.int32()).to_numpy(zero_copy_only=False).astype(np.int64) for i, c in enumerate(days)]
+            day, balance, known = values[0], values[1], np.array(values[2:])
+            first, last = day[bounds[:-1]], day[bounds[1:] - 1]
+            length = last - first + 1
+            # Alike lengths together, as the places of a chunk are as many as its longest series has.
+            order = np.argsort(length, kind="stable")
+            order = order[length[order] >= max(min_days, 3 * reach)]
+            while len(order):
+                size = max(1, int(np.searchsorted(np.arange(1, len(order) + 1) * length[order], chunk)))
+                some, order = order[:size], order[size:]
+                counts = bounds[some + 1] - bounds[some]
+                ends = np.cumsum(counts)
+                at = np.repeat(bounds[some] - (ends - counts), counts) + np.arange(ends[-1])
+                mid, half = fit(*unpacked(ends, day[at], balance[at], known[:, at]))
+                date = last[some][:, None] + np.arange(1, horizon + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("account_id").take(pa.array(np.repeat(some, horizon))),
+                        pa.array(date.ravel().astype(np.int32)).cast(pa.date32()),
+                        *[pa.array(v.ravel()) for v in (mid, mid - half, mid + half)],
+                        pa.array(["seasonal_ar"] * mid.size),
+                    ],
+                    names=["account_id", "date", "forecast", "lower_bound", "upper_bound", "model_type"],
+                )
+
+    rows = filled if "series" in filled.columns else packed_series(filled)
+    return risk_flags(rows.mapInArrow(fitted, FORECAST_SCHEMA))
 
 
 def forecast(kind: str, days: DataFrame, filled: DataFrame, **options) -> DataFrame:

@@ -79,7 +79,7 @@ def forecast_seasonal_ar(spark, d):
     """On the order history, which is long enough for the model."""
     o = src.order_history(spark, d)
     nothing = o.select("account_id").distinct().withColumn("opening_balance", F.lit(0.0))
-    return text_date(fc.seasonal_ar_forecast(fc.filled_series(fc.daily_series(o, nothing))), "date")
+    return text_date(fc.seasonal_ar_forecast(fc.filled_series(fc.daily_series(o, nothing), packed=True)), "date")
 
 
 RISK_SQL = f"""first AS (SELECT account_id, min(date) FILTER (WHERE forecast < 0) AS first FROM fcast GROUP BY 1)"""
