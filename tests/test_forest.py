@@ -1,9 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from ledgerlight.ml import forest
+from ledgerlight.ml import forest, iforest
 from ledgerlight.ml import supervised as sup
 
 
@@ -31,7 +32,7 @@ def grown(held, tried, depth=15, seed=5):
 
 def leaves(tree, held):
     child = tree["child"].astype(np.intp)
-    return forest.walk(held.codes.T.copy(), tree["feature"].astype(np.intp), tree["bin"].astype(np.uint8), child, forest._steps(child))
+    return forest.walk(held.codes.T.copy(), tree["feature"].astype(np.intp), tree["bin"].astype(np.uint8), child, forest.levels_below(child))
 
 
 def test_chunks_do_not_change_a_tree(held, monkeypatch):
@@ -109,3 +110,25 @@ def test_forest_through_spark(spark, tmp_path):
     assert sum(share for _, share in sup.importances(model, ["a", "b"])) == pytest.approx(1)
     with pytest.raises(ValueError, match="labels"):
         sup.fit_random_forest(spark.createDataFrame([(1.0, None), (2.0, 1)], "a double, is_fraud int"), ["a"], n_trees=1)
+
+
+def test_walk_goes_where_single_rows_go():
+    """Also with values that are no numbers and with a tree of one leaf; the isolation forest's depths are the plain ones."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(5000, 4))
+    x[rng.random(x.shape) < 0.02] = np.nan
+    frames = []
+    for t, points in enumerate((rng.normal(size=(64, 4)), rng.normal(size=(40, 4)), np.zeros((3, 4)))):
+        nodes = pd.DataFrame(iforest._grow(points, np.arange(4), 6, rng), columns=["feature", "threshold", "left", "right", "path"])
+        frames.append(nodes.assign(tree=t, node=np.arange(len(nodes))))
+    model = iforest.IsolationForest.from_nodes(pd.concat(frames), list("abcd"), 64)
+
+    def path(t, row):
+        node = 0
+        while model.feature[t, node] >= 0:
+            node = (model.left if row[model.feature[t, node]] <= model.threshold[t, node] else model.right)[t, node]
+        return model.path[t, node]
+
+    some = rng.choice(len(x), 300, replace=False)
+    assert np.array_equal(model.depths(x)[some], [sum(path(t, x[i]) for t in range(3)) / 3 for i in some])
+    assert model.walked[2] == [6, 6, 0]
