@@ -80,15 +80,27 @@ def filled_series(days: DataFrame, packed: bool = False) -> DataFrame:
 
 
 def packed_series(days: DataFrame) -> DataFrame:
-    """(account_id, series): an account's days in order, as an array of (ds, balance, regressors)."""
+    """(account_id, series): an account's days as an array of (ds, balance, regressors), in any order."""
     day = F.struct("ds", F.col("balance").cast("double").alias("balance"), *[F.col(c).cast("double").alias(c) for c in REGRESSORS])
-    return days.groupBy("account_id").agg(F.array_sort(F.collect_list(day)).alias("series"))
+    return days.groupBy("account_id").agg(F.collect_list(day).alias("series"))
+
+
+def _by_day(day: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The order of the days within each account; rows of one day come as pandas sorts them."""
+    account = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    order = np.lexsort((day, account))
+    tied = (np.diff(account) == 0) & (np.diff(day[order]) == 0)
+    for a in np.unique(account[1:][tied]):
+        some = slice(bounds[a], bounds[a + 1])
+        order[some] = bounds[a] + day[some].astype(object).argsort(kind="quicksort")
+    return order
 
 
 def unpacked(ends: np.ndarray, day: np.ndarray, balance: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(lengths, balances, regressors) of the filled series of some accounts, which end at the last place of a row.
 
-    `ends` has the end of each account's observed days in the other arrays; regressors are (kind, day). Places before an
+    `ends` has the end of each account's observed days in the other arrays, `day` counts days from any one on; regressors
+    are (kind, day). Places before an
     account's first day have its first balance.
     """
     starts = np.concatenate([[0], ends[:-1]])
@@ -309,8 +321,15 @@ def seasonal_ar_forecast(filled: DataFrame, horizon: int = HORIZON, min_days: in
             days = series.values.flatten() if isinstance(series.values, pa.StructArray) else series.values
             values = [c.to_numpy(zero_copy_only=False) if i else c.cast(pa.int32()).to_numpy(zero_copy_only=False).astype(np.int64) for i, c in enumerate(days)]
             day, balance, known = values[0], values[1], np.array(values[2:])
-            first, last = day[bounds[:-1]], day[bounds[1:] - 1]
-            length = last - first + 1
+            by_day = _by_day(day, bounds)
+            day, balance, known = day[by_day], balance[by_day], known[:, by_day]
+            last = day[bounds[1:] - 1]
+            # Days between two rows are filled; a second row of one day is a step of its own.
+            start = np.zeros(len(day), dtype=bool)
+            start[bounds[:-1]] = True
+            step = np.where(start, 0, np.maximum(1, np.diff(day, prepend=day[:1])))
+            place = np.cumsum(step)
+            length = place[bounds[1:] - 1] - place[bounds[:-1]] + 1
             # Alike lengths together, as the places of a chunk are as many as its longest series has.
             order = np.argsort(length, kind="stable")
             order = order[length[order] >= max(min_days, 3 * reach)]
@@ -320,13 +339,13 @@ def seasonal_ar_forecast(filled: DataFrame, horizon: int = HORIZON, min_days: in
                 counts = bounds[some + 1] - bounds[some]
                 ends = np.cumsum(counts)
                 at = np.repeat(bounds[some] - (ends - counts), counts) + np.arange(ends[-1])
-                mid, half = fit(*unpacked(ends, day[at], balance[at], known[:, at]))
+                mid, half = fit(*unpacked(ends, place[at], balance[at], known[:, at]))
                 date = last[some][:, None] + np.arange(1, horizon + 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("account_id").take(pa.array(np.repeat(some, horizon))),
                         pa.array(date.ravel().astype(np.int32)).cast(pa.date32()),
-                        *[pa.array(v.ravel()) for v in (mid, mid - half, mid + half)],
+                        *[pa.array(v.ravel(), from_pandas=True) for v in (mid, mid - half, mid + half)],
                         pa.array(["seasonal_ar"] * mid.size),
                     ],
                     names=["account_id", "date", "forecast", "lower_bound", "upper_bound", "model_type"],

@@ -49,7 +49,8 @@ def days(spark):
 
 def rows_of(df):
     found = df.orderBy("account_id", "date").collect()
-    return [(r["account_id"], r["date"]) for r in found], np.array([[r["forecast"], r["lower_bound"], r["upper_bound"]] for r in found])
+    values = np.array([[r["forecast"], r["lower_bound"], r["upper_bound"]] for r in found], dtype=float)
+    return [(r["account_id"], r["date"]) for r in found], values
 
 
 def test_packed_series_give_what_every_day_gives(days):
@@ -68,3 +69,11 @@ def test_batches_give_what_single_series_give(days, account):
     keys, values = rows_of(fc.seasonal_ar_forecast(fc.filled_series(days, packed=True)))
     own = values[[a == account for a, _ in keys]]
     assert own == pytest.approx(np.column_stack([mid, mid - half, mid + half]), rel=1e-6)
+
+
+def test_unknown_forecasts_are_null_and_second_rows_of_a_day_count(days):
+    out = fc.seasonal_ar_forecast(fc.filled_series(days, packed=True))
+    assert out.where("account_id IS NULL AND forecast IS NULL").count() == HORIZON and out.where("isnan(forecast)").count() == 0
+    twice = days.where("account_id = 'short'").union(days.where("account_id = 'short'"))
+    for filled in (fc.filled_series(twice), fc.filled_series(twice, packed=True)):
+        assert fc.seasonal_ar_forecast(filled).count() == HORIZON
