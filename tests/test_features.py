@@ -181,3 +181,19 @@ def test_catalogues_are_produced(spark, skewed):
     adv = profiles.advanced(t, declared_windows=True)
     assert set(profiles.ADVANCED_CATALOGUE) <= set(adv.columns)
     assert with_time_cell(t).count() == 200
+
+
+def test_full_profile_in_slices_of_accounts(spark, skewed, monkeypatch):
+    """A long table is worked on slice by slice: the same rows, a hot account and a null one among them."""
+    t, _ = skewed
+    t = t.limit(600).withColumn("account_id", F.when(F.col("account_id") != "a3", F.col("account_id"))).cache()
+    opening = t.select("account_id").distinct().where("account_id IS NOT NULL").withColumn("opening_balance", F.lit(100.0))
+    accounts = opening.select("account_id", F.lit("s").alias("segment"), F.lit(None).cast("string").alias("pay_cycle"))
+    from ledgerlight.sources.canonical import calendar_of
+
+    whole = profiles.full(t, opening, calendar_of(t), accounts)
+    monkeypatch.setattr(profiles, "FULL_ROWS", 150)
+    sliced = profiles.full(t, opening, calendar_of(t), accounts)
+    assert sliced.columns == whole.columns and "full-" in sliced.inputFiles()[0]
+    rows = {r["transaction_id"]: r for r in sliced.collect()}
+    assert len(rows) == 600 and all(rows[r["transaction_id"]] == r for r in whole.collect())
